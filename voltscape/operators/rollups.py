@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
 from voltscape.functions.numeric import round_half_up, safe_divide
+from voltscape.operators.usage import calendar_days
 
 
 def local_summary(daily: DataFrame) -> DataFrame:
@@ -19,8 +20,7 @@ def local_summary(daily: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("active_days_count"),
         F.max("size_total").alias("size_total"),
     )
-    calendar = F.datediff("end_day", "start_day") + 1
-    return totals.withColumn("calendar_day_count", calendar).select(
+    return totals.withColumn("calendar_day_count", calendar_days()).select(
         "id",
         "size_total",
         "start_day",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltscape.functions.calendar import DayWindow, local_day
@@ -49,8 +49,8 @@ def station_span(usage: DataFrame, stations: DataFrame, window: DayWindow) -> Da
     return spans.select("id", "start_day", "end_day", calendar_days().alias("calendar_day_count"))
 
 
-def calendar_days():
-    return F.datediff("end_day", "start_day") + 1
+def calendar_days() -> Column:
+    return (F.datediff("end_day", "start_day") + 1).cast("bigint")
 
 
 def stations_with_usage(usage: DataFrame, stations: DataFrame, window: DayWindow) -> DataFrame:
