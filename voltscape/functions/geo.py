@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: radius of the sphere the warehouse measures on.
@@ -69,59 +69,78 @@ def ring_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, edges))
 
 
-# ---------------------------------------------------------------- distances
+# ---------------------------------------------------------------- directions and distances
+#
+# A place is a unit vector. Differences of near vectors keep their digits, the formulas stay
+# short, and the sines are taken once per row, before a join, instead of once per pair.
+# Formulas are SQL text over column names, which Spark parses in one go.
 
+Vector = tuple[str, str, str]
 
-def _angle(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    """Central angle in radians (haversine)."""
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return 2 * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
 
+def names(prefix: str) -> Vector:
+    return f"{prefix}x", f"{prefix}y", f"{prefix}z"
 
-def distance_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    return _angle(lon1, lat1, lon2, lat2) * EARTH_RADIUS_M
 
+def direction(lon: str, lat: str) -> Vector:
+    """Unit vector of a place."""
+    return (
+        f"cos(radians({lat})) * cos(radians({lon}))",
+        f"cos(radians({lat})) * sin(radians({lon}))",
+        f"sin(radians({lat}))",
+    )
 
-def _bearing(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    """Initial course from point 1 to point 2, in a form that keeps digits for near points."""
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    north = F.sin(F.radians(lat2 - lat1)) + 2 * F.sin(F.radians(lat1)) * F.cos(
-        F.radians(lat2)
-    ) * half_lon * half_lon
-    return F.atan2(F.sin(F.radians(lon2 - lon1)) * F.cos(F.radians(lat2)), north)
 
+def lon_of(v: Vector) -> str:
+    return f"degrees(atan2({v[1]}, {v[0]}))"
 
-def segment_distance_m(
-    lon: Column, lat: Column, lon1: Column, lat1: Column, lon2: Column, lat2: Column
-) -> Column:
-    """Distance from a point to the great-circle segment between two others."""
-    to_start = _angle(lon1, lat1, lon, lat)
-    to_end = _angle(lon2, lat2, lon, lat)
-    length = _angle(lon1, lat1, lon2, lat2)
-    turn = _bearing(lon1, lat1, lon, lat) - _bearing(lon1, lat1, lon2, lat2)
-    along = F.atan2(F.sin(to_start) * F.cos(turn), F.cos(to_start))
-    across = F.abs(F.asin(F.sin(to_start) * F.sin(turn)))
-    return (
-        F.when((along <= 0) | (length == 0), to_start).when(along >= length, to_end).otherwise(across)
-        * EARTH_RADIUS_M
-    )
+
+def lat_of(v: Vector) -> str:
+    return f"degrees(atan2({v[2]}, sqrt(({v[0]}) * ({v[0]}) + ({v[1]}) * ({v[1]}))))"
+
+
+def minus(a: Vector, b: Vector) -> Vector:
+    return tuple(f"({x} - {y})" for x, y in zip(a, b))
+
+
+def dot(a: Vector, b: Vector) -> str:
+    return "(" + " + ".join(f"{x} * {y}" for x, y in zip(a, b)) + ")"
+
+
+def volume(a: Vector, b: Vector, c: Vector) -> str:
+    """Determinant of three vectors."""
+    terms = (f"{a[i]} * ({b[j]} * {c[k]} - {b[k]} * {c[j]})" for i, j, k in ((0, 1, 2), (1, 2, 0), (2, 0, 1)))
+    return "(" + " + ".join(terms) + ")"
 
 
-def intermediate_point(
-    lon1: Column, lat1: Column, lon2: Column, lat2: Column, part: Column
-) -> tuple[Column, Column]:
-    """Point at `part` (0..1) of the great-circle segment, as (lon, lat)."""
-    length = _angle(lon1, lat1, lon2, lat2)
-    a = F.when(length == 0, 1 - part).otherwise(F.sin((1 - part) * length) / F.nullif(F.sin(length), F.lit(0.0)))
-    b = F.when(length == 0, part).otherwise(F.sin(part * length) / F.nullif(F.sin(length), F.lit(0.0)))
-    phi1, phi2 = F.radians(lat1), F.radians(lat2)
-    lam1, lam2 = F.radians(lon1), F.radians(lon2)
-    x = a * F.cos(phi1) * F.cos(lam1) + b * F.cos(phi2) * F.cos(lam2)
-    y = a * F.cos(phi1) * F.sin(lam1) + b * F.cos(phi2) * F.sin(lam2)
-    z = a * F.sin(phi1) + b * F.sin(phi2)
-    return F.degrees(F.atan2(y, x)), F.degrees(F.atan2(z, F.sqrt(x * x + y * y)))
+def chord_of(metres: float) -> float:
+    """Length of the straight line between unit vectors that far apart."""
+    return 2 * math.sin(metres / EARTH_RADIUS_M / 2)
+
+
+def arc_m(squared_chord: str) -> str:
+    """Distance on the sphere from the squared straight-line distance of unit vectors."""
+    return f"{2 * EARTH_RADIUS_M!r}D * asin(least(sqrt({squared_chord}) / 2, 1D))"
+
+
+def squared_chord_to_segment(to_start: Vector, start: Vector, along: Vector) -> str:
+    """Squared chord from a place to a great-circle segment.
+
+    `to_start` is place - start and `along` is end - start, both of unit vectors. Where the
+    foot of the perpendicular lies within the segment, the angle across follows from the
+    determinant; otherwise the nearer end counts.
+    """
+    to_end = minus(to_start, along)
+    length2, start2, end2 = dot(along, along), dot(to_start, to_start), dot(to_end, to_end)
+    forward, height = dot(along, to_start), volume(to_start, start, along)
+    sine2 = f"{height} * {height} / nullif({length2} - {length2} * {length2} / 4, 0D)"
+    between = (
+        f"{length2} > 0 and {forward} >= {length2} * {start2} / 4 "
+        f"and {length2} - {forward} >= {length2} * {end2} / 4"
+    )
+    # sin^2 of an angle to its squared chord, 2 - 2 cos, without losing digits near 0
+    across = f"2 * {sine2} / (1 + sqrt(greatest(1 - {sine2}, 0D)))"
+    return f"case when {between} then {across} else least({start2}, {end2}) end"
 
 
 # ---------------------------------------------------------------- cells for a search radius
@@ -142,58 +161,61 @@ class RadiusGrid:
     def height(self) -> float:
         return math.degrees(self.radius_m / EARTH_RADIUS_M) * (1 + 1e-9)
 
-    def band(self, lat: Column) -> Column:
-        return F.floor((lat + 90.0) / self.height)
+    def band(self, lat: str) -> str:
+        return f"floor(({lat} + 90D) / {self.height!r}D)"
 
-    def columns(self, band: Column) -> Column:
+    def columns(self, band: str) -> str:
         """How many columns the band has."""
         # the partner of a point in this band may lie one band closer to the pole
-        reach = F.greatest(F.abs((band - 1) * self.height - 90.0), F.abs((band + 2) * self.height - 90.0))
-        sine = math.sin(self.radius_m / EARTH_RADIUS_M) / F.cos(F.radians(F.least(reach, F.lit(90.0))))
-        width = F.degrees(F.asin(F.least(sine, F.lit(1.0)))) * (1 + 1e-9)
-        return F.when((reach >= 90.0) | (sine >= 1.0), F.lit(1).cast("bigint")).otherwise(
-            F.greatest(F.floor(360.0 / width), F.lit(1))
+        reach = f"greatest(abs(({band} - 1) * {self.height!r}D - 90D), abs(({band} + 2) * {self.height!r}D - 90D))"
+        sine = f"({math.sin(self.radius_m / EARTH_RADIUS_M)!r}D / cos(radians(least({reach}, 90D))))"
+        width = f"(degrees(asin({sine})) * {1 + 1e-9!r}D)"
+        return (
+            f"case when {reach} >= 90D or {sine} >= 1D then cast(1 as bigint) "
+            f"else greatest(floor(360D / {width}), cast(1 as bigint)) end"
         )
 
-    def column(self, lon: Column, band: Column) -> Column:
-        count = self.columns(band)
-        return F.pmod(F.floor((lon + 180.0) / 360.0 * count), count)
-
-    def cover(self, lon: Column, lat: Column) -> Column:
-        """Cells (band, col) that hold every point within the radius of (lon, lat)."""
+    def _with_columns(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("_count", F.expr(self.columns("band")))
 
-        def around(band: Column) -> Column:
-            count = self.columns(band)
-            own = self.column(lon, band)
-            cells = F.transform(
-                F.array(own - 1, own, own + 1),
-                lambda c: F.struct(band.alias("band"), F.pmod(c, count).alias("col")),
-            )
-            return F.array_distinct(cells)
+    def locate(self, df: DataFrame, lon: str, lat: str) -> DataFrame:
+        """Add the cell (`band`, `col`) of each row's point."""
+        banded = self._with_columns(df.withColumn("band", F.expr(self.band(lat))))
+        column = F.expr(f"pmod(floor(({lon} + 180D) / 360D * _count), _count)")
+        return banded.withColumn("col", column).drop("_count")
 
-        mid = self.band(lat)
-        return F.flatten(F.array(around(mid - 1), around(mid), around(mid + 1)))
+    def cover(self, df: DataFrame, lon: str, lat: str) -> DataFrame:
+        """Repeat each row for the cells (`band`, `col`) that hold every point within the radius."""
+        around = f"explode(sequence({self.band(lat)} - 1, {self.band(lat)} + 1))"
+        banded = self._with_columns(df.withColumn("band", F.expr(around)))
+        own = banded.withColumn("_own", F.expr(f"floor(({lon} + 180D) / 360D * _count)"))
+        touching = ", ".join(f"pmod(_own + {step}, _count)" for step in (-1, 0, 1))
+        return own.withColumn("col", F.expr(f"explode(array_distinct(array({touching})))")).drop("_count", "_own")
 
-    def box_cells(self, lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-        """Cells touched by the box around two points, padded by a metre.
+    def touch(self, df: DataFrame, lon1: str, lat1: str, lon2: str, lat2: str) -> DataFrame:
+        """Repeat each row for the cells the box around two points touches, padded by a metre.
 
         The box takes the shorter way round, so it may pass the antimeridian.
         """
         pad = math.degrees(1.0 / EARTH_RADIUS_M)
-        low_band = self.band(F.least(lat1, lat2) - pad)
-        high_band = self.band(F.greatest(lat1, lat2) + pad)
-        turn = F.pmod(lon2 - lon1 + 540.0, F.lit(360.0)) - 180.0
-        west = lon1 + F.least(turn, F.lit(0.0))
-        east = lon1 + F.greatest(turn, F.lit(0.0))
-
-        def in_band(band: Column) -> Column:
-            count = self.columns(band)
-            pad_lon = 360.0 * pad / (count * self.height)
-            first = F.floor((west - pad_lon + 180.0) / 360.0 * count)
-            last = F.least(F.floor((east + pad_lon + 180.0) / 360.0 * count), first + count - 1)
-            return F.transform(
-                F.sequence(first, last),
-                lambda c: F.struct(band.alias("band"), F.pmod(c, count).alias("col")),
-            )
-
-        return F.flatten(F.transform(F.sequence(low_band, high_band), in_band))
+        low, high = (self.band(f"{end}({lat1}, {lat2}) {sign} {pad!r}D") for end, sign in (("least", "-"), ("greatest", "+")))
+        turn = f"(pmod({lon2} - {lon1} + 540D, 360D) - 180D)"
+        boxed = df.selectExpr(
+            "*",
+            f"{lon1} + least({turn}, 0D) as _west",
+            f"{lon1} + greatest({turn}, 0D) as _east",
+            f"explode(sequence({low}, {high})) as band",
+        )
+        # a metre in degrees of longitude, at the narrowest the band can be
+        pad_lon = f"{360.0 * pad / self.height!r}D / _count"
+        ranged = self._with_columns(boxed).selectExpr(
+            "*",
+            f"floor((_west - {pad_lon} + 180D) / 360D * _count) as _first",
+            f"floor((_east + {pad_lon} + 180D) / 360D * _count) as _last",
+        )
+        columns = F.expr("explode(sequence(_first, least(_last, _first + _count - 1)))")
+        return (
+            ranged.withColumn("_c", columns)
+            .withColumn("col", F.expr("pmod(_c, _count)"))
+            .drop("_west", "_east", "_count", "_first", "_last", "_c")
+        )

@@ -65,3 +65,20 @@ def spread_join(
     placed_left = place(left, "_l", "_r")
     placed_right = place(right, "_r", "_l")
     return placed_left.join(placed_right, [*on, "_l", "_r"]).drop("_l", "_r")
+
+
+def salted_lookup(
+    left: DataFrame, right: DataFrame, on: list[str], right_rows: int | None = None, salts: int = 16
+) -> DataFrame:
+    """Inner equi-join whose right side has few rows per key, whatever the left side holds.
+
+    Each left key is dealt over `salts` tasks by a hash of the row, and the right side is
+    repeated as often, so no pass over the left side is needed to find its hot keys. A right
+    side of at most BROADCAST_ROWS rows (counted, unless the caller knows) is broadcast.
+    """
+    small = is_small(right) if right_rows is None else right_rows <= BROADCAST_ROWS
+    if small:
+        return left.join(F.broadcast(right), on)
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(repeated, [*on, "_salt"]).drop("_salt")

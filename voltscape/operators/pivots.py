@@ -31,21 +31,24 @@ def poi_features(counts: DataFrame, station_ids: DataFrame, classes: list[str] |
     """
     classes = class_values(counts, "superclass") if classes is None else classes
 
-    def of(name: str, measure: str) -> Column:
-        return F.avg(F.when(F.col("superclass") == name, F.col(measure)))
-
-    pivoted = counts.where(F.col("superclass").isNotNull()).groupBy("id").agg(
-        *(of(name, "poi_count").alias(f"{normalised(name)}_count") for name in classes),
-        *(of(name, "closest_distance_meters").alias(f"{normalised(name)}_dist") for name in classes),
+    measures = {"count": "poi_count", "dist": "closest_distance_meters"}
+    pivoted = counts.where("superclass is not null").groupBy("id").agg(
+        *(
+            F.expr(f"avg({measure}) filter (where superclass = {_text(name)}) as {normalised(name)}_{ending}")
+            for ending, measure in measures.items()
+            for name in classes
+        )
     )
     filled = station_ids.select("id").join(pivoted, "id", "left").fillna(0.0)
-    absent = {
-        f"{name}_dist": F.when(
-            (F.col(f"{name}_count") == 0) & (F.col(f"{name}_dist") == 0), F.lit(fixed.ABSENT_DISTANCE_M)
-        ).otherwise(F.col(f"{name}_dist"))
-        for name in map(normalised, classes)
-    }
-    return filled.withColumns(absent) if absent else filled
+    names = [normalised(name) for name in classes]
+    return filled.selectExpr(
+        "id",
+        *(f"{name}_count" for name in names),
+        *(
+            f"if({name}_count = 0 and {name}_dist = 0, {fixed.ABSENT_DISTANCE_M}D, {name}_dist) as {name}_dist"
+            for name in names
+        ),
+    )
 
 
 def road_features(roads: DataFrame, classes: list[str] | None = None) -> DataFrame:
@@ -58,17 +61,40 @@ def road_features(roads: DataFrame, classes: list[str] | None = None) -> DataFra
     found = class_values(roads, "type_road") if classes is None else classes
     wanted = sorted({*fixed.ROAD_CLASSES, *fixed.CHECKED_ROAD_CLASSES, *found})
 
-    def of(name: str, measure: str) -> Column:
-        matches = F.col("type_road") == name
-        once = F.max(F.when(matches, F.col(measure)))
-        several = F.raise_error(F.lit(f"a station has several rows of class {name}"))
-        return F.when(F.count(F.when(matches, 1)) > 1, several.cast("double")).otherwise(once.cast("double"))
-
-    distances = {name: F.coalesce(of(name, "closest_distance_meters"), F.lit(0.0)) for name in wanted}
-    return roads.groupBy("id").agg(
+    # the first is empty unless a station has several rows of a class
+    repeated = " + ".join(
+        f"if(count(*) filter (where type_road = {_text(name)}) > 1, 1, 0)" for name in wanted
+    )
+    pivoted = roads.groupBy("id").agg(
+        F.expr(f"if({repeated} > 0, raise_error('a station has several rows of one road class'), null) as _check"),
+        *_of_class(wanted),
+    )
+    absent = f"{fixed.ABSENT_DISTANCE_M}D"
+    return pivoted.where("_check is null").selectExpr(
+        "id",
         *(
-            F.when(d == 0, F.lit(fixed.ABSENT_DISTANCE_M)).otherwise(d).alias(f"road_distance_{name}")
-            for name, d in distances.items()
+            f"if(coalesce({c}, 0D) = 0, {absent}, {c}) as {c}"
+            for c in (f"`road_distance_{name}`" for name in wanted)
         ),
-        *(F.coalesce(of(name, "roads_count"), F.lit(0.0)).alias(f"road_count_{name}") for name in wanted),
+        *(f"coalesce(cast({c} as double), 0D) as {c}" for c in (f"`road_count_{name}`" for name in wanted)),
     )
+
+
+def _of_class(classes: list[str]) -> list[Column]:
+    measures = {"distance": "closest_distance_meters", "count": "roads_count"}
+    return [
+        F.expr(f"max({measure}) filter (where type_road = {_text(name)}) as `road_{kind}_{name}`")
+        for kind, measure in measures.items()
+        for name in classes
+    ]
+
+
+def _text(name: str) -> str:
+    """SQL text literal."""
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{quoted}'"
+
+
+def road_flags(roads: DataFrame, classes: list[str]) -> DataFrame:
+    """Distances and counts as found, NULL where a class is absent."""
+    return roads.groupBy("id").agg(*_of_class(classes))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltscape.functions.ordering import linear_quantiles
+from voltscape.functions.staging import stage
 
 
 def id_counts(df: DataFrame) -> DataFrame:
@@ -52,7 +53,9 @@ def description(df: DataFrame, column: str) -> DataFrame:
 
 
 def quality_report(df: DataFrame, counted: list[str], described: list[str]) -> DataFrame:
-    """All checks of a table as (check, item, value)."""
+    """All checks of a table as (check, item, value). The table is read once per check, so it
+    is written first."""
+    df = stage(df, "checked")
     parts = [id_counts(df), *(value_counts(df, c) for c in counted), *(description(df, c) for c in described)]
     return reduce(DataFrame.unionByName, parts)
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
-from voltscape.functions.joins import spread_join
-from voltscape.functions.numeric import flag, row_sum
+from voltscape.functions.joins import salted_lookup
 from voltscape.functions.ordering import linear_quantiles, running_counts
 from voltscape.operators.cleaning import columns_ending, distance_columns
 
@@ -19,22 +18,19 @@ def occupation_bins(df: DataFrame, column: str = "percentage_average") -> DataFr
     NULL fall in no bin.
     """
     bins = fixed.UTILIZATION_BINS
-    value = F.col(column)
     largest = df.agg(F.max(column)).scalar()
     marked = df.withColumn("_max", largest)
 
-    def edge(number):
-        return F.when(number == bins, F.col("_max")).otherwise(number * (F.col("_max") / bins))
-
-    below = row_sum([flag(edge(F.lit(i)) < value) for i in range(bins + 1)])
-    low, high = edge(F.col("occupation_bin") - 1), edge(F.col("occupation_bin"))
-    label = F.format_string("(%.3f, %.3f]", "occupation_low", "occupation_high")
-    return (
-        marked.withColumn("occupation_bin", F.when((value > 0) & (value <= F.col("_max")), below))
-        .withColumns({"occupation_low": low, "occupation_high": high})
-        .withColumn("occupation_rate", F.when(F.col("occupation_bin").isNotNull(), label))
-        .drop("_max")
+    def edge(number: str) -> str:
+        return f"if({number} = {bins}, _max, {number} * (_max / {bins}))"
+
+    below = " + ".join(f"if({edge(str(i))} < {column}, 1, 0)" for i in range(bins + 1))
+    binned = marked.withColumn("occupation_bin", F.expr(f"case when {column} > 0 then {below} end"))
+    ends = binned.selectExpr(
+        "*", f"{edge('(occupation_bin - 1)')} as occupation_low", f"{edge('occupation_bin')} as occupation_high"
     )
+    label = F.expr("if(occupation_bin is null, null, format_string('(%.3f, %.3f]', occupation_low, occupation_high))")
+    return ends.withColumn("occupation_rate", label).drop("_max")
 
 
 def occupation_rank(df: DataFrame) -> DataFrame:
@@ -52,18 +48,13 @@ def occupation_rank(df: DataFrame) -> DataFrame:
 
 def feature_thresholds(df: DataFrame) -> DataFrame:
     """(metric, kind, threshold): a high quantile of counts, a low one of distances."""
-    kinds = {c: ("count", fixed.COUNT_QUANTILE) for c in columns_ending(df, "_count")}
-    kinds |= {c: ("distance", fixed.DISTANCE_QUANTILE) for c in distance_columns(df)}
-    readings = [
-        F.struct(
-            F.lit(metric).alias("metric"),
-            F.col(metric).cast("double").alias("value"),
-            F.lit(probability).alias("probability"),
-        )
-        for metric, (_, probability) in kinds.items()
-    ]
-    long = df.select(F.inline(F.array(*readings)))
-    # decided by the metric's own kind, which a count column keeps even with a "road_distance_" name
+    kinds = dict.fromkeys(distance_columns(df), fixed.DISTANCE_QUANTILE)
+    kinds |= dict.fromkeys(columns_ending(df, "_count"), fixed.COUNT_QUANTILE)
+    readings = ", ".join(
+        f"struct('{metric}' as metric, cast(`{metric}` as double) as value, {probability}D as probability)"
+        for metric, probability in kinds.items()
+    )
+    long = df.selectExpr(f"inline(array({readings}))")
     kind = F.when(F.col("metric").endswith("_count"), "count").otherwise("distance")
     return linear_quantiles(long, "metric", "value", "probability").select(
         "metric", kind.alias("kind"), F.col("quantile").alias("threshold")
@@ -77,15 +68,16 @@ def feature_score(df: DataFrame, thresholds: DataFrame) -> DataFrame:
     Missing values meet no threshold, missing flags are 0.
     """
     limits = thresholds.collect()
-    met = [
-        flag(F.col(row.metric) >= row.threshold if row.kind == "count" else F.col(row.metric) <= row.threshold)
+    tests = [
+        f"`{row.metric}` {'>=' if row.kind == 'count' else '<='} {row.threshold!r}D"
         for row in limits
         if row.threshold is not None
     ]
-    flags = [F.col(name).cast("int") for name in fixed.SCORE_FLAGS if name in df.columns]
+    met = [f"if({test}, 1, 0)" for test in tests]
+    flags = [f"cast({name} as int)" for name in fixed.SCORE_FLAGS if name in df.columns]
     most = len(limits) + len(fixed.SCORE_FLAGS)
-    score = row_sum([*met, *flags]) / F.lit(float(most)) * 10
-    return df.withColumn("good_feature_score", F.greatest(F.lit(0.0), F.least(score, F.lit(10.0))))
+    share = f"({' + '.join(['0', *met, *flags])}) / {float(most)!r}D"
+    return df.withColumn("good_feature_score", F.expr(f"greatest(0D, least({share} * 10, 10D))"))
 
 
 def performance_rank(df: DataFrame, column: str = "percentage_average") -> DataFrame:
@@ -95,7 +87,7 @@ def performance_rank(df: DataFrame, column: str = "percentage_average") -> DataF
     """
     positions = running_counts(df.select(column), column).select(column, "n_before")
     rows = df.agg(F.count(F.lit(1))).scalar()
-    ranked = spread_join(df.where(F.col(column).isNotNull()), positions, [column])
+    ranked = salted_lookup(df.where(F.col(column).isNotNull()), positions, [column])
     scored = ranked.withColumn("score_performance", rows - F.col("n_before"))
     unknown = df.where(F.col(column).isNull()).withColumn("score_performance", F.lit(None).cast("bigint"))
     columns = [*df.columns, "score_performance"]

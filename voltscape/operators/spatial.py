@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
 from voltscape.functions import geo
-from voltscape.functions.joins import is_small, spread_join
+from voltscape.functions.joins import is_small, salted_lookup, spread_join
 
 WORLD_DEGREES = 360.0
 # each step down cuts a cell into 8 x 8
@@ -27,64 +25,87 @@ def one_location(stations: DataFrame) -> DataFrame:
     return ends.select("id", checked.alias("_p")).select("id", "_p.lon", "_p.lat")
 
 
+SITE, START, END, ALONG = (geo.names(prefix) for prefix in ("_p", "_a", "_b", "_d"))
+
+
+def _with_vector(df: DataFrame, columns: geo.Vector, vector: geo.Vector) -> DataFrame:
+    return df.selectExpr("*", *(f"{text} as {name}" for name, text in zip(columns, vector)))
+
+
 def _sites(places: DataFrame, grid: geo.RadiusGrid) -> DataFrame:
-    """Distinct places, repeated for every cell that may hold a partner."""
-    sites = places.select(F.col("lon").alias("site_lon"), F.col("lat").alias("site_lat")).distinct()
-    cells = F.inline(grid.cover(F.col("site_lon"), F.col("site_lat")))
-    return sites.select("site_lon", "site_lat", cells)
+    """Distinct places with their direction, repeated for every cell that may hold a partner."""
+    sites = places.selectExpr("lon as site_lon", "lat as site_lat").distinct()
+    sites = _with_vector(sites, SITE, geo.direction("site_lon", "site_lat"))
+    return grid.cover(sites, "site_lon", "site_lat")
+
+
+def _near(sites: DataFrame, located: DataFrame, squared_chord: str, radius_m: float, used: geo.Vector) -> DataFrame:
+    """Pairs of the same cell within the radius.
+
+    Few sites are broadcast, and the other side stays where it is. Many sites are joined by
+    cell with hot cells split; copies of a row would stay together there, so they go first.
+    """
+    cell = ["band", "col"]
+    if is_small(sites):
+        pairs = located.join(F.broadcast(sites), cell)
+    else:
+        pairs = spread_join(sites, located.distinct(), cell)
+    limit = geo.chord_of(radius_m) ** 2
+    close = pairs.withColumn("_chord2", F.expr(squared_chord)).where(F.col("_chord2") <= limit)
+    return close.withColumn("distance_m", F.expr(geo.arc_m("_chord2"))).drop(*cell, "_chord2", *SITE, *used)
 
 
 def points_within(places: DataFrame, points: DataFrame, radius_m: float = fixed.SEARCH_RADIUS_M) -> DataFrame:
     """Distinct places (`site_lon`, `site_lat`) with the points within the radius.
 
-    `points` needs lon and lat; its other columns are kept and `distance_m` is added.
-    Places are repeated over at most nine cells, points are not. Copies of a point row
-    collapse before the join, hot cells are split, and the distance test is part of the join.
+    `points` needs lon and lat; its other columns are kept and `distance_m` is added. Equal
+    rows of `points` may come out as one, so count different keys, not rows. Places are
+    repeated over at most nine cells, points are not, and the distance test is part of the
+    join.
     """
     grid = geo.RadiusGrid(radius_m)
-    located = points.distinct().withColumn("band", grid.band(F.col("lat")))
-    located = located.withColumn("col", grid.column(F.col("lon"), F.col("band")))
-    distance = geo.distance_m(F.col("site_lon"), F.col("site_lat"), F.col("lon"), F.col("lat"))
-    pairs = spread_join(_sites(places, grid), located, ["band", "col"]).withColumn("distance_m", distance)
-    near = (F.abs(F.col("site_lat") - F.col("lat")) <= grid.height) & (F.col("distance_m") <= radius_m)
-    return pairs.where(near).drop("band", "col")
+    located = _with_vector(grid.locate(points, "lon", "lat"), START, geo.direction("lon", "lat")).drop("lon", "lat")
+    gap = geo.minus(SITE, START)
+    return _near(_sites(places, grid), located, geo.dot(gap, gap), radius_m, START)
 
 
 def lines_within(places: DataFrame, lines: DataFrame, radius_m: float = fixed.SEARCH_RADIUS_M) -> DataFrame:
     """Distinct places with the line segments within the radius.
 
     `lines` needs `coordinates` (array of lon, lat); its other columns are kept and
-    `distance_m` to one segment is added, so the least value per line is the line's distance.
-    Long segments are cut into pieces of at most one radius along the great circle; a piece
-    only decides in which cells the segment is looked up, the distance is always measured to
-    the whole segment.
+    `distance_m` to one segment is added, so the least value per line is the line's distance;
+    a segment may come out several times. Long segments are cut along the great circle into
+    pieces of about one radius; a piece only decides in which cells the segment is looked up,
+    the distance is always measured to the whole segment.
     """
     grid = geo.RadiusGrid(radius_m)
     kept = [c for c in lines.columns if c != "coordinates"]
-    ends = ["lon1", "lat1", "lon2", "lat2"]
-    lon1, lat1, lon2, lat2 = (F.col(c) for c in ends)
-    vertices = F.col("coordinates")
     # a line of one vertex is a segment of length 0
-    starts = F.when(F.size(vertices) > 1, F.slice(vertices, F.lit(1), F.size(vertices) - 1)).otherwise(vertices)
-    stops = F.when(F.size(vertices) > 1, F.slice(vertices, F.lit(2), F.size(vertices) - 1)).otherwise(vertices)
-    segment = F.zip_with(
-        starts,
-        stops,
-        lambda a, b: F.struct(
-            a["lon"].alias("lon1"), a["lat"].alias("lat1"), b["lon"].alias("lon2"), b["lat"].alias("lat2")
-        ),
+    many = "greatest(size(coordinates) - 1, 1)"
+    starts, ends = f"slice(coordinates, 1, {many})", f"slice(coordinates, least(size(coordinates), 2), {many})"
+    segment = f"explode(zip_with({starts}, {ends}, (a, b) -> named_struct('a', a, 'b', b))) as s"
+    segments = lines.where("size(coordinates) > 0").selectExpr(*kept, segment)
+    segments = _with_vector(segments, START, geo.direction("s.a.lon", "s.a.lat"))
+    segments = _with_vector(segments, END, geo.direction("s.b.lon", "s.b.lat"))
+    segments = _with_vector(segments, ALONG, geo.minus(END, START)).drop("s", *END)
+
+    length2 = geo.dot(ALONG, ALONG)
+    slack = f"sqrt(greatest(1 - {length2} / 4, 1e-6D))"
+    pieces = f"cast(greatest(ceil({geo.arc_m(length2)} / ({radius_m!r}D * {slack})), 1) as int)"
+    cut = segments.withColumn("_n", F.expr(pieces)).withColumn("_i", F.expr("explode(sequence(0, _n - 1))"))
+    first, last = (
+        tuple(f"({a} + {d} * ({step}) / _n)" for a, d in zip(START, ALONG)) for step in ("_i", "_i + 1")
+    )
+    cut = cut.selectExpr(
+        "*",
+        f"{geo.lon_of(first)} as _lon1",
+        f"{geo.lat_of(first)} as _lat1",
+        f"{geo.lon_of(last)} as _lon2",
+        f"{geo.lat_of(last)} as _lat2",
     )
-    segments = lines.where(F.size(vertices) > 0).select(*kept, F.inline(segment))
-    pieces = F.greatest(F.ceil(geo.distance_m(lon1, lat1, lon2, lat2) / radius_m), F.lit(1)).cast("int")
-    cut = segments.withColumn("_n", pieces).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    for name, step in (("_a", F.col("_i")), ("_b", F.col("_i") + 1)):
-        lon, lat = geo.intermediate_point(lon1, lat1, lon2, lat2, step / F.col("_n"))
-        cut = cut.withColumn(name, F.struct(lon.alias("lon"), lat.alias("lat")))
-    box = grid.box_cells(F.col("_a.lon"), F.col("_a.lat"), F.col("_b.lon"), F.col("_b.lat"))
-    located = cut.select(*kept, *ends, F.inline(box)).distinct()
-    distance = geo.segment_distance_m(F.col("site_lon"), F.col("site_lat"), lon1, lat1, lon2, lat2)
-    pairs = spread_join(_sites(places, grid), located, ["band", "col"]).withColumn("distance_m", distance)
-    return pairs.where(F.col("distance_m") <= radius_m).drop("band", "col", *ends)
+    located = grid.touch(cut, "_lon1", "_lat1", "_lon2", "_lat2").select(*kept, *START, *ALONG, "band", "col")
+    chord2 = geo.squared_chord_to_segment(geo.minus(SITE, START), START, ALONG)
+    return _near(_sites(places, grid), located, chord2, radius_m, (*START, *ALONG))
 
 
 # ---------------------------------------------------------------- nearest
@@ -103,60 +124,46 @@ def nearest(places: DataFrame, points: DataFrame, key: str, value: str, leaf_poi
     step however dense the points are, and a full cell far away is dropped unopened.
     """
     sites = points.groupBy("lon", "lat").agg(F.min(F.struct(key, value)).alias("_payload"))
-    steps = _steps_needed(sites, leaf_points)
-    found = places.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("lon", "lat").distinct()
-    found = found.withColumn("_x", F.lit(0).cast("bigint")).withColumn("_y", F.lit(0).cast("bigint"))
-    by_place = Window.partitionBy("lon", "lat")
+    steps, cell_counts, site_count = _steps_needed(sites, leaf_points)
+    known = "lon is not null and lat is not null"
+    found = places.where(known).select("lon", "lat").distinct().selectExpr("*", "0L as _x", "0L as _y")
+    squared_box = (
+        "pow(greatest(_west - lon, lon - _east, 0D), 2) + pow(greatest(_south - lat, lat - _north, 0D), 2)"
+    )
     for step in range(1, steps + 1):
-        cells = _cells(sites, step)
-        # at most 64 cells under the one above, so the first steps have a bounded table
-        if CUT ** (2 * step) <= CUT**6 or is_small(cells):
-            joined = found.join(F.broadcast(cells), ["_x", "_y"])
-        else:
-            joined = spread_join(found, cells, ["_x", "_y"])
-        dx = F.greatest(F.col("_west") - F.col("lon"), F.col("lon") - F.col("_east"), F.lit(0.0))
-        dy = F.greatest(F.col("_south") - F.col("lat"), F.col("lat") - F.col("_north"), F.lit(0.0))
-        at_least = dx * dx + dy * dy
-        at_most = _squared(F.col("_any.lon"), F.col("_any.lat"))
+        # at most 64 cells lie under one cell of the step before
+        joined = salted_lookup(found, _cells(sites, step), ["_x", "_y"], right_rows=cell_counts[step])
         found = (
-            joined.select(
-                "lon", "lat", "_cx", "_cy", at_least.alias("_least"), F.min(at_most).over(by_place).alias("_most")
+            joined.selectExpr(
+                "lon", "lat", "_cx as _x", "_cy as _y",
+                f"{squared_box} as _least",
+                f"min({_squared('_any.lon', '_any.lat')}) over (partition by lon, lat) as _most",
             )
-            .where(F.col("_least") <= F.col("_most"))
-            .select("lon", "lat", F.col("_cx").alias("_x"), F.col("_cy").alias("_y"))
+            .where("_least <= _most")
+            .select("lon", "lat", "_x", "_y")
         )
-    leaves = sites.select(
-        F.col("lon").alias("_plon"),
-        F.col("lat").alias("_plat"),
-        "_payload",
-        *_cell(F.col("lon"), F.col("lat"), steps, "_x", "_y"),
-    )
-    candidates = spread_join(found, leaves, ["_x", "_y"])
-    distance = _squared(F.col("_plon"), F.col("_plat"))
+    leaves = sites.selectExpr("lon as _plon", "lat as _plat", "_payload", *_cell(steps, "_x", "_y"))
+    candidates = salted_lookup(found, leaves, ["_x", "_y"], right_rows=site_count)
     best = candidates.groupBy("lon", "lat").agg(
-        F.min(F.struct(distance.alias("d"), F.col("_payload").alias("p"))).alias("_best")
+        F.expr(f"min(struct({_squared('_plon', '_plat')} as d, _payload as p))").alias("_best")
     )
-    return best.select(
-        "lon",
-        "lat",
-        F.col(f"_best.p.{key}").alias(key),
-        F.col(f"_best.p.{value}").alias(value),
-        F.sqrt("_best.d").alias("distance_deg"),
+    return best.selectExpr(
+        "lon", "lat", f"_best.p.{key} as {key}", f"_best.p.{value} as {value}", "sqrt(_best.d) as distance_deg"
     )
 
 
-def _squared(lon: Column, lat: Column) -> Column:
-    return (F.col("lon") - lon) * (F.col("lon") - lon) + (F.col("lat") - lat) * (F.col("lat") - lat)
+def _squared(lon: str, lat: str) -> str:
+    return f"(pow(lon - {lon}, 2) + pow(lat - {lat}, 2))"
 
 
-def _cell(lon: Column, lat: Column, step: int, x: str, y: str) -> list[Column]:
+def _cell(step: int, x: str, y: str) -> list[str]:
     size = WORLD_DEGREES / CUT**step
-    return [F.floor((lon + 180.0) / size).alias(x), F.floor((lat + 90.0) / size).alias(y)]
+    return [f"floor((lon + 180D) / {size!r}D) as {x}", f"floor((lat + 90D) / {size!r}D) as {y}"]
 
 
 def _cells(sites: DataFrame, step: int) -> DataFrame:
     """Occupied cells of one step with their parent, bounding box and one of their points."""
-    cells = sites.select("lon", "lat", *_cell(F.col("lon"), F.col("lat"), step, "_cx", "_cy"))
+    cells = sites.selectExpr("lon", "lat", *_cell(step, "_cx", "_cy"))
     return (
         cells.groupBy("_cx", "_cy")
         .agg(
@@ -166,22 +173,23 @@ def _cells(sites: DataFrame, step: int) -> DataFrame:
             F.max("lat").alias("_north"),
             F.min(F.struct("lon", "lat")).alias("_any"),
         )
-        .select("*", F.floor(F.col("_cx") / CUT).alias("_x"), F.floor(F.col("_cy") / CUT).alias("_y"))
+        .selectExpr("*", f"floor(_cx / {CUT}) as _x", f"floor(_cy / {CUT}) as _y")
     )
 
 
-def _steps_needed(sites: DataFrame, leaf_points: int, most: int = 9) -> int:
-    """First step whose fullest cell holds at most `leaf_points` points (at most `most`)."""
-    levels = [
-        F.struct(F.lit(step).alias("step"), *_cell(F.col("lon"), F.col("lat"), step, "x", "y"))
-        for step in range(1, most + 1)
-    ]
-    fullest = (
-        sites.select(F.inline(F.array(*levels)))
+def _steps_needed(sites: DataFrame, leaf_points: int, most: int = 9) -> tuple[int, dict[int, int], int]:
+    """First step whose fullest cell holds at most `leaf_points` points (at most `most`),
+    the number of occupied cells per step and of points."""
+    levels = ", ".join(
+        f"struct({step} as step, {', '.join(_cell(step, 'x', 'y'))})" for step in range(1, most + 1)
+    )
+    per_step = (
+        sites.selectExpr(f"inline(array({levels}))")
         .groupBy("step", "x", "y")
         .count()
         .groupBy("step")
-        .agg(F.max("count").alias("points"))
+        .agg(F.max("count").alias("fullest"), F.count(F.lit(1)).alias("cells"), F.sum("count").alias("points"))
+        .collect()
     )
-    fits = fullest.where(F.col("points") <= leaf_points).agg(F.min("step")).first()[0]
-    return fits or most
+    steps = min((row.step for row in per_step if row.fullest <= leaf_points), default=most)
+    return steps, {row.step: row.cells for row in per_step}, max((row.points for row in per_step), default=0)

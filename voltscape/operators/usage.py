@@ -23,18 +23,20 @@ def usage_of(usage: DataFrame, stations: DataFrame, window: DayWindow) -> DataFr
     return lookup_join(in_window(usage, window), stations.select("id"), ["id"])
 
 
-def _per_station(usage: DataFrame, stations: DataFrame, window: DayWindow, keys: list[str], *measures) -> DataFrame:
-    """Aggregate usage by `keys` and attach the one row per id in `stations`.
+def _per_station(
+    usage: DataFrame, stations: DataFrame, attached: DataFrame, window: DayWindow, keys: list[str], *measures: Column
+) -> DataFrame:
+    """Aggregate usage by `keys` and join the few columns of `attached`, made from `stations`.
 
     Aggregating first means a hot station is a few rows per task before it is shuffled and
     at most one row per day when it is joined. If the stations are few, the usage rows of
     all other stations are dropped at the scan.
     """
     rows = in_window(usage, window)
-    if is_small(stations):
-        stations = F.broadcast(stations)
+    if is_small(stations.select("id")):
+        attached = F.broadcast(attached)
         rows = rows.join(F.broadcast(stations.select("id")), "id", "left_semi")
-    return rows.groupBy(*keys).agg(*measures).join(stations, "id")
+    return rows.groupBy(*keys).agg(*measures).join(attached, "id")
 
 
 def copies_per_id(stations: DataFrame) -> DataFrame:
@@ -45,7 +47,7 @@ def copies_per_id(stations: DataFrame) -> DataFrame:
 def station_span(usage: DataFrame, stations: DataFrame, window: DayWindow) -> DataFrame:
     """First and last day with usage, and the calendar days from one to the other."""
     first, last = F.min("day").alias("start_day"), F.max("day").alias("end_day")
-    spans = _per_station(usage, copies_per_id(stations), window, ["id"], first, last)
+    spans = _per_station(usage, stations, copies_per_id(stations), window, ["id"], first, last)
     return spans.select("id", "start_day", "end_day", calendar_days().alias("calendar_day_count"))
 
 
@@ -64,7 +66,7 @@ def active_stations(
 ) -> DataFrame:
     """Stations with usage on more than `more_than_days` different days."""
     days = _per_station(
-        usage, copies_per_id(stations), window, ["id"], F.count_distinct("day").alias("active_days_count")
+        usage, stations, copies_per_id(stations), window, ["id"], F.count_distinct("day").alias("active_days_count")
     )
     kept = days.where(F.col("active_days_count") > more_than_days).select("id")
     return stations.join(kept, "id", "left_semi").select("id", "capacity_kw", "size_total", "lon", "lat")
@@ -77,6 +79,7 @@ def daily_utilization(usage: DataFrame, stations: DataFrame, window: DayWindow)
     """
     daily = _per_station(
         usage,
+        stations,
         copies_per_id(stations),
         window,
         ["id", "day"],
@@ -138,7 +141,7 @@ def daily_utilization_local(usage: DataFrame, stations: DataFrame, window: DayWi
     )
     minutes = F.sum("charging_duration").alias("minutes")
     daily = (
-        _per_station(usage, sizes, window, ["id", "day"], minutes)
+        _per_station(usage, stations, sizes, window, ["id", "day"], minutes)
         .select("id", "day", "size_total", (F.col("minutes") * F.col("copies")).alias("minutes_charged_day"))
         .repartition("id")
     )

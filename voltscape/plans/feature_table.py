@@ -13,7 +13,7 @@ from voltscape.functions.staging import stage
 from voltscape.operators import cleaning, features, pivots, scoring
 from voltscape.operators.proximity import poi_proximity, road_proximity
 from voltscape.operators.spatial import nearest
-from voltscape.operators.usage import stations_with_usage, utilization_summary
+from voltscape.operators.usage import utilization_summary
 from voltscape.plans.station_profile import static_with_usage, station_static
 
 
@@ -28,9 +28,10 @@ class Surroundings:
 def station_base(
     usage: DataFrame, stations: DataFrame, all_stations: DataFrame, window: DayWindow
 ) -> DataFrame:
-    """Usage summary and description per station."""
-    summary = utilization_summary(usage, stations, window)
-    return static_with_usage(summary, station_static(usage, stations, all_stations, window))
+    """Usage summary and description per station; the summary's spans serve both, so the
+    fact is scanned once."""
+    summary = stage(utilization_summary(usage, stations, window), "summary")
+    return static_with_usage(summary, station_static(summary, stations, all_stations))
 
 
 def station_with_poi(base: DataFrame, poi_counts: DataFrame, classes: list[str] | None = None) -> DataFrame:
@@ -61,7 +62,7 @@ def merged_features(
     written once.
     """
     base = stage(station_base(usage, stations, all_stations, window), "base")
-    near = stations_with_usage(usage, stations, window).select("id", "lon", "lat")
+    near = base.select("id", "lon", "lat")
     poi_counts = stage(poi_proximity(near, around.pois, around.categories, names=False), "poi")
     road_counts = stage(road_proximity(near, around.roads, names=False), "road")
     segmented = cleaning.with_pois(station_with_poi(base, poi_counts))

@@ -5,23 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltscape.functions.calendar import DayWindow
-from voltscape.operators.usage import station_span
 
-
-def station_static(
-    usage: DataFrame, stations: DataFrame, all_stations: DataFrame, window: DayWindow
-) -> DataFrame:
-    """Description of every station with usage and the length of its span.
+def station_static(spans: DataFrame, stations: DataFrame, all_stations: DataFrame) -> DataFrame:
+    """Description of every station that has a span, and the span's length.
 
     Address, title and country come from the unfiltered station table; rows that agree on
     them collapse before the join.
     """
-    days = station_span(usage, stations, window).select("id", "calendar_day_count")
     own = stations.groupBy("id", "capacity_kw").agg(
         F.max("operator").alias("operator"), F.max(F.struct("lon", "lat")).alias("_place")
     )
     described = all_stations.select("id", "address", "title", "country_name").distinct()
+    days = spans.select("id", "calendar_day_count").distinct()
     return own.join(days, "id").join(described, "id").select(
         "id",
         "operator",

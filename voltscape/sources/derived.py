@@ -6,9 +6,13 @@ sides start from the same rows.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltscape.fixed_values import POI_CLASSES
+
 STATION = """
 select c_custkey as id,
        case when c_mktsegment in ('BUILDING','AUTOMOBILE','MACHINERY') then 'nobil' else 'sw' end as source,
@@ -90,46 +94,67 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def _derive(self, text: str, *tables: str) -> DataFrame:
         return self.spark.sql(text, **{name: self.table(name) for name in tables})
 
-    @property
+    @cached_property
     def stations(self) -> DataFrame:
         return self._derive(STATION, "customer", "nation")
 
-    @property
+    @cached_property
     def usage_long(self) -> DataFrame:
         """Six and a half years, some ten rows per station."""
         return self._derive(USAGE_LONG.replace("__HOUR__", LONG_HOUR), "orders")
 
-    @property
+    @cached_property
     def usage_short(self) -> DataFrame:
         """One month of true hours."""
         return self._derive(USAGE_SHORT.replace("__HOUR__", SHORT_HOUR), "events")
 
-    @property
+    @cached_property
     def pois(self) -> DataFrame:
         return self._derive(POI.replace("__ANCHOR__", ANCHOR), "part")
 
-    @property
+    @cached_property
     def categories(self) -> DataFrame:
         return self._derive(CATEGORY)
 
-    @property
+    @cached_property
     def roads(self) -> DataFrame:
         """Raw road rows; the geometry is an array of vertices."""
         rows = self._derive(ROAD, "orders")
         vertices = F.array(*(F.struct(F.col(f"x{i}").alias("lon"), F.col(f"y{i}").alias("lat")) for i in (1, 2)))
         return rows.select("id", "class", "name", "country", vertices.alias("coordinates"))
 
-    @property
+    @cached_property
     def population(self) -> DataFrame:
         return self._derive(POPULATION, "supplier")
 
-    @property
+    @cached_property
     def boundary(self) -> DataFrame:
         return self._derive(BOUNDARY)
+
+    @cached_property
+    def station_flags(self) -> DataFrame:
+        """Counts per class and the distance to a shopping center, from the order table."""
+        return self._derive(station_flags_sql(), "orders", "customer")
+
+
+def station_flags_sql() -> str:
+    counts = ",\n".join(
+        f"sum(case when o_orderkey % 15 = {i} then o_orderkey % 17 else 0 end) as poi_count_{name}"
+        for i, name in enumerate(POI_CLASSES)
+    )
+    center = POI_CLASSES.index("shopping_center")
+    return f"""
+select o_custkey as id, min(c_nationkey) as city, {counts},
+       min(case when o_orderkey % 15 = {center} then o_totalprice/500 end) as poi_distance_shopping_center
+from {{orders}} join {{customer}} on o_custkey = c_custkey group by o_custkey
+"""
