@@ -107,10 +107,8 @@ def dot(a: Vector, b: Vector) -> str:
     return "(" + " + ".join(f"{x} * {y}" for x, y in zip(a, b)) + ")"
 
 
-def volume(a: Vector, b: Vector, c: Vector) -> str:
-    """Determinant of three vectors."""
-    terms = (f"{a[i]} * ({b[j]} * {c[k]} - {b[k]} * {c[j]})" for i, j, k in ((0, 1, 2), (1, 2, 0), (2, 0, 1)))
-    return "(" + " + ".join(terms) + ")"
+def cross(a: Vector, b: Vector) -> Vector:
+    return tuple(f"({a[j]} * {b[k]} - {a[k]} * {b[j]})" for j, k in ((1, 2), (2, 0), (0, 1)))
 
 
 def chord_of(metres: float) -> float:
@@ -123,23 +121,21 @@ def arc_m(squared_chord: str) -> str:
     return f"{2 * EARTH_RADIUS_M!r}D * asin(least(sqrt({squared_chord}) / 2, 1D))"
 
 
-def squared_chord_to_segment(to_start: Vector, start: Vector, along: Vector) -> str:
+def squared_chord_to_segment(to_start: Vector, along: Vector, length2: str, pole: Vector) -> str:
     """Squared chord from a place to a great-circle segment.
 
-    `to_start` is place - start and `along` is end - start, both of unit vectors. Where the
-    foot of the perpendicular lies within the segment, the angle across follows from the
-    determinant; otherwise the nearer end counts.
+    `to_start` is place - start and `along` is end - start, both of unit vectors, `length2`
+    the squared length of `along`, and `pole` the unit normal of the circle (NULL if start and
+    end coincide). Where the foot of the perpendicular lies within the segment, the sine of
+    the angle across is the part of `to_start` along the pole; otherwise the nearer end counts.
     """
-    to_end = minus(to_start, along)
-    length2, start2, end2 = dot(along, along), dot(to_start, to_start), dot(to_end, to_end)
-    forward, height = dot(along, to_start), volume(to_start, start, along)
-    sine2 = f"{height} * {height} / nullif({length2} - {length2} * {length2} / 4, 0D)"
+    start2, forward, sine = dot(to_start, to_start), dot(along, to_start), dot(pole, to_start)
+    end2 = f"({start2} - 2 * {forward} + {length2})"
     between = (
-        f"{length2} > 0 and {forward} >= {length2} * {start2} / 4 "
-        f"and {length2} - {forward} >= {length2} * {end2} / 4"
+        f"{length2} > 0 and {forward} >= {length2} * {start2} / 4 and {length2} - {forward} >= {length2} * {end2} / 4"
     )
     # sin^2 of an angle to its squared chord, 2 - 2 cos, without losing digits near 0
-    across = f"2 * {sine2} / (1 + sqrt(greatest(1 - {sine2}, 0D)))"
+    across = f"2 * {sine} * {sine} / (1 + sqrt(1 - least({sine} * {sine}, 1D)))"
     return f"case when {between} then {across} else least({start2}, {end2}) end"
 
 
@@ -192,13 +188,22 @@ class RadiusGrid:
         touching = ", ".join(f"pmod(_own + {step}, _count)" for step in (-1, 0, 1))
         return own.withColumn("col", F.expr(f"explode(array_distinct(array({touching})))")).drop("_count", "_own")
 
-    def touch(self, df: DataFrame, lon1: str, lat1: str, lon2: str, lat2: str) -> DataFrame:
-        """Repeat each row for the cells the box around two points touches, padded by a metre.
+    def touch(self, df: DataFrame, lon1: str, lat1: str, lon2: str, lat2: str, arc_m: float) -> DataFrame:
+        """Repeat each row for the cells that the great circle between two points, at most
+        `arc_m` apart, touches.
 
-        The box takes the shorter way round, so it may pass the antimeridian.
+        The box around the points is padded by a metre and by what the arc may rise above its
+        ends. It takes the shorter way round, so it may pass the antimeridian.
         """
         pad = math.degrees(1.0 / EARTH_RADIUS_M)
-        low, high = (self.band(f"{end}({lat1}, {lat2}) {sign} {pad!r}D") for end, sign in (("least", "-"), ("greatest", "+")))
+        # over an arc s the circle rises by about s^2 tan(lat) / 8
+        rise = math.degrees((arc_m / EARTH_RADIUS_M) ** 2 / 7)
+        steepest = f"tan(radians(least(greatest(abs({lat1}), abs({lat2})), 89.9D)))"
+        pad_lat = f"({pad!r}D + {rise!r}D * {steepest})"
+        low, high = (
+            self.band(f"greatest({end}({lat1}, {lat2}) {sign} {pad_lat}, -90D)")
+            for end, sign in (("least", "-"), ("greatest", "+"))
+        )
         turn = f"(pmod({lon2} - {lon1} + 540D, 360D) - 180D)"
         boxed = df.selectExpr(
             "*",

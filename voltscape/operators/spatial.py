@@ -25,7 +25,9 @@ def one_location(stations: DataFrame) -> DataFrame:
     return ends.select("id", checked.alias("_p")).select("id", "_p.lon", "_p.lat")
 
 
-SITE, START, END, ALONG = (geo.names(prefix) for prefix in ("_p", "_a", "_b", "_d"))
+SITE, START, END, ALONG, POLE = (geo.names(prefix) for prefix in ("_p", "_a", "_b", "_d", "_m"))
+# a segment is looked up in pieces of at most this many radii
+PIECE_RADII = 2
 
 
 def _with_vector(df: DataFrame, columns: geo.Vector, vector: geo.Vector) -> DataFrame:
@@ -39,7 +41,7 @@ def _sites(places: DataFrame, grid: geo.RadiusGrid) -> DataFrame:
     return grid.cover(sites, "site_lon", "site_lat")
 
 
-def _near(sites: DataFrame, located: DataFrame, squared_chord: str, radius_m: float, used: geo.Vector) -> DataFrame:
+def _near(sites: DataFrame, located: DataFrame, squared_chord: str, radius_m: float, used: tuple[str, ...]) -> DataFrame:
     """Pairs of the same cell within the radius.
 
     Few sites are broadcast, and the other side stays where it is. Many sites are joined by
@@ -75,7 +77,7 @@ def lines_within(places: DataFrame, lines: DataFrame, radius_m: float = fixed.SE
     `lines` needs `coordinates` (array of lon, lat); its other columns are kept and
     `distance_m` to one segment is added, so the least value per line is the line's distance;
     a segment may come out several times. Long segments are cut along the great circle into
-    pieces of about one radius; a piece only decides in which cells the segment is looked up,
+    pieces of about two radii; a piece only decides in which cells the segment is looked up,
     the distance is always measured to the whole segment.
     """
     grid = geo.RadiusGrid(radius_m)
@@ -88,10 +90,14 @@ def lines_within(places: DataFrame, lines: DataFrame, radius_m: float = fixed.SE
     segments = _with_vector(segments, START, geo.direction("s.a.lon", "s.a.lat"))
     segments = _with_vector(segments, END, geo.direction("s.b.lon", "s.b.lat"))
     segments = _with_vector(segments, ALONG, geo.minus(END, START)).drop("s", *END)
-
-    length2 = geo.dot(ALONG, ALONG)
-    slack = f"sqrt(greatest(1 - {length2} / 4, 1e-6D))"
-    pieces = f"cast(greatest(ceil({geo.arc_m(length2)} / ({radius_m!r}D * {slack})), 1) as int)"
+    segments = segments.withColumn("_length2", F.expr(geo.dot(ALONG, ALONG)))
+    # |start x along|, from lengths alone
+    normal = "nullif(sqrt(_length2 - _length2 * _length2 / 4), 0D)"
+    segments = _with_vector(segments, POLE, tuple(f"{c} / {normal}" for c in geo.cross(START, ALONG)))
+
+    # equal steps along the chord are longer on the sphere halfway
+    slack = "sqrt(greatest(1 - _length2 / 4, 1e-6D))"
+    pieces = f"cast(greatest(ceil({geo.arc_m('_length2')} / ({PIECE_RADII * radius_m!r}D * {slack})), 1) as int)"
     cut = segments.withColumn("_n", F.expr(pieces)).withColumn("_i", F.expr("explode(sequence(0, _n - 1))"))
     first, last = (
         tuple(f"({a} + {d} * ({step}) / _n)" for a, d in zip(START, ALONG)) for step in ("_i", "_i + 1")
@@ -103,9 +109,11 @@ def lines_within(places: DataFrame, lines: DataFrame, radius_m: float = fixed.SE
         f"{geo.lon_of(last)} as _lon2",
         f"{geo.lat_of(last)} as _lat2",
     )
-    located = grid.touch(cut, "_lon1", "_lat1", "_lon2", "_lat2").select(*kept, *START, *ALONG, "band", "col")
-    chord2 = geo.squared_chord_to_segment(geo.minus(SITE, START), START, ALONG)
-    return _near(_sites(places, grid), located, chord2, radius_m, (*START, *ALONG))
+    used = (*START, *ALONG, "_length2", *POLE)
+    touched = grid.touch(cut, "_lon1", "_lat1", "_lon2", "_lat2", PIECE_RADII * radius_m)
+    located = touched.select(*kept, *used, "band", "col")
+    chord2 = geo.squared_chord_to_segment(geo.minus(SITE, START), ALONG, "_length2", POLE)
+    return _near(_sites(places, grid), located, chord2, radius_m, used)
 
 
 # ---------------------------------------------------------------- nearest
@@ -191,5 +199,7 @@ def _steps_needed(sites: DataFrame, leaf_points: int, most: int = 9) -> tuple[in
         .agg(F.max("count").alias("fullest"), F.count(F.lit(1)).alias("cells"), F.sum("count").alias("points"))
         .collect()
     )
-    steps = min((row.step for row in per_step if row.fullest <= leaf_points), default=most)
+    enough = (row.step for row in per_step if row.fullest <= leaf_points)
+    # without points there is nothing to walk down
+    steps = min(enough, default=most) if per_step else 0
     return steps, {row.step: row.cells for row in per_step}, max((row.points for row in per_step), default=0)

@@ -248,7 +248,7 @@ select * from base_poi where id not in (
 select id, pop_key, population, sqrt(d2) as distance_deg from (
   select s.id, p.pop_key, p.population, pow(s.lon - p.lon, 2) + pow(s.lat - p.lat, 2) as d2,
          row_number() over (partition by s.id order by pow(s.lon - p.lon, 2) + pow(s.lat - p.lat, 2), p.pop_key) as k
-  from station s cross join pop_points p) t where k = 1""",
+  from station s left join pop_points p on true) t where k = 1""",
 }
 
 
@@ -284,7 +284,7 @@ COMPLETE_SKIP = "occupation_bin is not null and operator is not null and percent
 STEPS["enriched"] = f"""
 select m.* exclude (m), n.population, 67.5 * (cafe_and_restaurant_count > 0)::int + 30 * (hobby_count > 0)::int
        + 30 * (home_count > 0)::int + 30 * (service_count > 0)::int as total_time_spent
-from merged_bins m join nearest n on m.id = n.id where {COMPLETE_SKIP}"""
+from merged_bins m left join nearest n on m.id = n.id where {COMPLETE_SKIP}"""
 
 POI_METRICS = {f"{c}_count": 0.7 for c in ("cafe_and_restaurant", "hobby", "home", "service")} | {
     f"{c}_dist": 0.3 for c in ("cafe_and_restaurant", "hobby", "home", "service")
