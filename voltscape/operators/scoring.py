@@ -74,7 +74,7 @@ def feature_score(df: DataFrame, thresholds: DataFrame) -> DataFrame:
         if row.threshold is not None
     ]
     met = [f"if({test}, 1, 0)" for test in tests]
-    flags = [f"cast({name} as int)" for name in fixed.SCORE_FLAGS if name in df.columns]
+    flags = [f"coalesce(cast({name} as int), 0)" for name in fixed.SCORE_FLAGS if name in df.columns]
     most = len(limits) + len(fixed.SCORE_FLAGS)
     share = f"({' + '.join(['0', *met, *flags])}) / {float(most)!r}D"
     return df.withColumn("good_feature_score", F.expr(f"greatest(0D, least({share} * 10, 10D))"))
