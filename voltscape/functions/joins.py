@@ -12,8 +12,8 @@ ROWS_PER_TASK = 200_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `max_rows` rows; reads no more than needed to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether `df` has at most `max_rows` rows (a plain count, so no single task sees them)."""
+    return df.count() <= max_rows
 
 
 def lookup_join(
@@ -68,16 +68,15 @@ def spread_join(
 
 
 def salted_lookup(
-    left: DataFrame, right: DataFrame, on: list[str], right_rows: int | None = None, salts: int = 16
+    left: DataFrame, right: DataFrame, on: list[str], right_rows: int, salts: int = 16
 ) -> DataFrame:
     """Inner equi-join whose right side has few rows per key, whatever the left side holds.
 
     Each left key is dealt over `salts` tasks by a hash of the row, and the right side is
     repeated as often, so no pass over the left side is needed to find its hot keys. A right
-    side of at most BROADCAST_ROWS rows (counted, unless the caller knows) is broadcast.
+    side known to have at most BROADCAST_ROWS rows is broadcast.
     """
-    small = is_small(right) if right_rows is None else right_rows <= BROADCAST_ROWS
-    if small:
+    if right_rows <= BROADCAST_ROWS:
         return left.join(F.broadcast(right), on)
     dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -102,7 +102,8 @@ def near_shops(
     totals = stations.groupBy(city).agg(F.sum("shop_count").alias("_city_shops"))
     share = F.when(F.col("_city_shops") > 0, F.try_divide(F.col("shop_count"), F.col("_city_shops"))).otherwise(0.0)
     near = (share > least_share) | (F.col("distance_to_shopping_center") < center_within_m)
-    return stations.join(totals, city, "left").withColumn("is_near_shops", flag(near)).drop("_city_shops")
+    joined = stations.join(totals, city, "left")
+    return joined.withColumn("is_near_shops", flag(near)).drop("_city_shops")
 
 
 def road_context(df: DataFrame) -> DataFrame:

@@ -75,8 +75,12 @@ def _per_station(
     stations: DataFrame, pairs: DataFrame, group: str, measures: list[Column], count: str
 ) -> DataFrame:
     """Aggregate per place, then give every station the rows of its place."""
-    around = pairs.groupBy("site_lon", "site_lat", group).agg(*measures)
-    located = one_location(stations)
-    at_place = (F.col("lon") == F.col("site_lon")) & (F.col("lat") == F.col("site_lat"))
-    joined = located.join(around, at_place, "left").drop("site_lon", "site_lat")
-    return joined.withColumn(count, F.coalesce(count, F.lit(0)))
+    around = (
+        pairs.groupBy("site_lon", "site_lat", group)
+        .agg(*measures)
+        .withColumnsRenamed({"site_lon": "lon", "site_lat": "lat"})
+    )
+    # one row per station on the left, one per place and class on the right
+    joined = one_location(stations).join(around, ["lon", "lat"], "left")
+    columns = ["id", "lon", "lat", group, *(c for c in around.columns if c not in ("lon", "lat", group))]
+    return joined.select(*columns).withColumn(count, F.coalesce(count, F.lit(0)))

@@ -83,12 +83,13 @@ def feature_score(df: DataFrame, thresholds: DataFrame) -> DataFrame:
 def performance_rank(df: DataFrame, column: str = "percentage_average") -> DataFrame:
     """`score_performance`: 1 for the highest value; equal values share the larger number.
 
-    Rows without a value get NULL.
+    Rows without a value get NULL. Reads `df` several times: write it first if it is costly.
     """
     positions = running_counts(df.select(column), column).select(column, "n_before")
-    rows = df.agg(F.count(F.lit(1))).scalar()
-    ranked = salted_lookup(df.where(F.col(column).isNotNull()), positions, [column])
-    scored = ranked.withColumn("score_performance", rows - F.col("n_before"))
+    rows = df.count()
+    # there are no more positions than rows
+    ranked = salted_lookup(df.where(F.col(column).isNotNull()), positions, [column], right_rows=rows)
+    scored = ranked.withColumn("score_performance", F.lit(rows) - F.col("n_before"))
     unknown = df.where(F.col(column).isNull()).withColumn("score_performance", F.lit(None).cast("bigint"))
     columns = [*df.columns, "score_performance"]
     return scored.select(*columns).unionByName(unknown.select(*columns))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
 from voltscape.functions import geo
-from voltscape.functions.joins import is_small, salted_lookup, spread_join
+from voltscape.functions.joins import BROADCAST_ROWS, is_small, salted_lookup, spread_join
 
 WORLD_DEGREES = 360.0
+# cells a place may be repeated over
+MOST_CELLS = 9
 # each step down cuts a cell into 8 x 8
 CUT = 8
 
@@ -41,18 +43,20 @@ def _sites(places: DataFrame, grid: geo.RadiusGrid) -> DataFrame:
     return grid.cover(sites, "site_lon", "site_lat")
 
 
-def _near(sites: DataFrame, located: DataFrame, squared_chord: str, radius_m: float, used: tuple[str, ...]) -> DataFrame:
-    """Pairs of the same cell within the radius.
+def _near(
+    places: DataFrame, located: DataFrame, grid: geo.RadiusGrid, squared_chord: str, used: tuple[str, ...]
+) -> DataFrame:
+    """Pairs of a place and a located row within the radius.
 
     Few sites are broadcast, and the other side stays where it is. Many sites are joined by
     cell with hot cells split; copies of a row would stay together there, so they go first.
     """
-    cell = ["band", "col"]
-    if is_small(sites):
+    cell, sites = ["band", "col"], _sites(places, grid)
+    if is_small(places, BROADCAST_ROWS // MOST_CELLS):
         pairs = located.join(F.broadcast(sites), cell)
     else:
         pairs = spread_join(sites, located.distinct(), cell)
-    limit = geo.chord_of(radius_m) ** 2
+    limit = geo.chord_of(grid.radius_m) ** 2
     close = pairs.withColumn("_chord2", F.expr(squared_chord)).where(F.col("_chord2") <= limit)
     return close.withColumn("distance_m", F.expr(geo.arc_m("_chord2"))).drop(*cell, "_chord2", *SITE, *used)
 
@@ -68,7 +72,7 @@ def points_within(places: DataFrame, points: DataFrame, radius_m: float = fixed.
     grid = geo.RadiusGrid(radius_m)
     located = _with_vector(grid.locate(points, "lon", "lat"), START, geo.direction("lon", "lat")).drop("lon", "lat")
     gap = geo.minus(SITE, START)
-    return _near(_sites(places, grid), located, geo.dot(gap, gap), radius_m, START)
+    return _near(places, located, grid, geo.dot(gap, gap), START)
 
 
 def lines_within(places: DataFrame, lines: DataFrame, radius_m: float = fixed.SEARCH_RADIUS_M) -> DataFrame:
@@ -113,7 +117,7 @@ def lines_within(places: DataFrame, lines: DataFrame, radius_m: float = fixed.SE
     touched = grid.touch(cut, "_lon1", "_lat1", "_lon2", "_lat2", PIECE_RADII * radius_m)
     located = touched.select(*kept, *used, "band", "col")
     chord2 = geo.squared_chord_to_segment(geo.minus(SITE, START), ALONG, "_length2", POLE)
-    return _near(_sites(places, grid), located, chord2, radius_m, used)
+    return _near(places, located, grid, chord2, used)
 
 
 # ---------------------------------------------------------------- nearest

@@ -14,10 +14,6 @@ def operator_matches(df: DataFrame, pattern: str = fixed.OPERATOR_PATTERN) -> Da
     return df.where(F.coalesce(F.col("operator").ilike(pattern), F.lit(False)))
 
 
-def _seeded(seed: int) -> Column:
-    return F.xxhash64(F.col("id"), F.lit(seed))
-
-
 def sample_ids(df: DataFrame, n: int, order: Column) -> DataFrame:
     """Exactly `n` different ids, first by `order`; an error if there are fewer."""
     ids = df.select("id").distinct()
@@ -80,14 +76,16 @@ def split_assign(
     """Add `split`: all rows of `test_stations` matching stations are test rows, a share of
     all rows, drawn from the others, is validation, and what is left is train.
 
-    The draw follows a hash of the id and the seed, or `order` if given.
+    Stations are drawn by a hash of the id and the seed, rows by a hash of the whole row, so
+    that the rows of one id are drawn apart; a given `order` decides both instead.
     """
-    order = _seeded(seed) if order is None else order
-    test_ids = sample_ids(operator_matches(candidates), test_stations, order)
+    by_id = F.xxhash64(F.col("id"), F.lit(seed)) if order is None else order
+    by_row = F.xxhash64(*map(F.col, df.columns), F.lit(seed)) if order is None else order
+    test_ids = sample_ids(operator_matches(candidates), test_stations, by_id)
     # as many rows as asked for at most, so a bounded broadcast
     test_ids = F.broadcast(test_ids)
     test = df.join(test_ids, "id", "left_semi")
-    others = df.join(test_ids, "id", "left_anti").withColumn("_order", order)
+    others = df.join(test_ids, "id", "left_anti").withColumn("_order", by_row)
     validation, train = cut_rows(others, int(validation_share * df.count()), "_order")
     parts = {"test": test, "validation": validation, "train": train}
     labelled = [part.select(*df.columns, F.lit(name).alias("split")) for name, part in parts.items()]
