@@ -185,9 +185,10 @@ def test_spread_join_splits_hot_keys_without_loss(spark):
     left = spark.range(300).selectExpr("if(id < 200, 0, id) as k", "id as l")
     right = spark.range(300).selectExpr("if(id < 120, 0, id) as k", "id as r")
     plain = left.join(right, "k")
-    spread = joins.spread_join(left, right, ["k"], rows_per_task=16)
-    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect()))
-    assert spread.columns == ["k", "l", "r"]
+    for limits in ({"rows_per_task": 16}, {"pairs_per_task": 100}, {"rows_per_task": 50, "pairs_per_task": 1}, {}):
+        spread = joins.spread_join(left, right, ["k"], **limits)
+        assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect()))
+        assert spread.columns == ["k", "l", "r"]
 
 
 def test_salted_lookup_equals_join(spark):

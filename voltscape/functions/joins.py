@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # a broadcast of this many narrow rows stays well under 100 MB
 BROADCAST_ROWS = 500_000
-# rows of one key that a single join task should handle
-ROWS_PER_TASK = 200_000
+# rows and pairs of one key that a single join task should handle
+ROWS_PER_TASK = 50_000
+PAIRS_PER_TASK = 5_000_000
+# the same for a fact joined with one dimension row per key
+FACT_ROWS_PER_TASK = 5_000_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -22,49 +25,52 @@ def lookup_join(
     """Inner join of a big side with a dimension: broadcast if small, else spread."""
     if is_small(small, max_rows):
         return big.join(F.broadcast(small), on)
-    return spread_join(big, small, on)
+    return spread_join(big, small, on, rows_per_task=FACT_ROWS_PER_TASK)
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: list[str], rows_per_task: int = ROWS_PER_TASK
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    rows_per_task: int = ROWS_PER_TASK,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """Inner equi-join that splits hot keys over several tasks.
 
-    Keys with more than `rows_per_task` rows on either side are cut into
-    left parts x right parts. A row's part follows from a hash of its values, so a re-run
-    task places it alike; the other side is repeated once per part. The table of hot keys
-    has at most (rows of both sides) / rows_per_task rows, which bounds its broadcast.
+    A key with too many rows on one side, or too many pairs, is cut into left parts x right
+    parts, in the proportion that repeats the fewest rows. A row's part follows from a hash of
+    its values, so a re-run task places it alike; the other side is repeated once per part.
+    A hot key has more than rows_per_task, or more than sqrt(pairs_per_task), rows, which
+    bounds the table of hot keys that is broadcast.
     Exact copies of a row share a part: remove or count them first where they matter.
     """
 
     def sizes(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*on).agg(F.count(F.lit(1)).alias(name))
-
-    def parts(name: str) -> Column:
-        return F.ceil(F.col(name) / F.lit(rows_per_task)).cast("int")
+        return df.groupBy(*on).agg(F.count(F.lit(1)).cast("double").alias(name))
 
+    wanted = f"greatest(ceil(_l * _r / {pairs_per_task}), 1)"
     hot = (
         sizes(left, "_l")
         .join(sizes(right, "_r"), on)
-        .where((F.col("_l") > rows_per_task) | (F.col("_r") > rows_per_task))
-        .select(*on, parts("_l").alias("_lparts"), parts("_r").alias("_rparts"))
+        .where(f"_l > {rows_per_task} or _r > {rows_per_task} or _l * _r > {pairs_per_task}")
+        .selectExpr(*on, "_l", "_r", f"{wanted} as _parts")
+        .selectExpr(
+            *on, "_r", "_parts", f"cast(greatest(ceil(_l / {rows_per_task}), ceil(sqrt(_parts * _l / _r))) as int) as _lparts"
+        )
+        .selectExpr(
+            *on, "_lparts", f"cast(greatest(ceil(_r / {rows_per_task}), ceil(_parts / _lparts)) as int) as _rparts"
+        )
     )
 
     def place(df: DataFrame, own: str, other: str) -> DataFrame:
-        one = F.lit(1)
-        own_parts = F.coalesce(F.col(f"{own}parts"), one)
-        other_parts = F.coalesce(F.col(f"{other}parts"), one)
-        return (
-            df.withColumn("_hash", F.xxhash64(*df.columns))
-            .join(F.broadcast(hot), on, "left")
-            .withColumn(own, F.pmod(F.col("_hash"), own_parts).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), other_parts - 1)))
-            .drop("_hash", "_lparts", "_rparts")
+        hashed = df.withColumn("_hash", F.xxhash64(*df.columns)).join(F.broadcast(hot), on, "left")
+        return hashed.selectExpr(
+            *df.columns,
+            f"cast(pmod(_hash, coalesce({own}parts, 1)) as int) as {own}",
+            f"explode(sequence(0, coalesce({other}parts, 1) - 1)) as {other}",
         )
 
-    placed_left = place(left, "_l", "_r")
-    placed_right = place(right, "_r", "_l")
-    return placed_left.join(placed_right, [*on, "_l", "_r"]).drop("_l", "_r")
+    return place(left, "_l", "_r").join(place(right, "_r", "_l"), [*on, "_l", "_r"]).drop("_l", "_r")
 
 
 def salted_lookup(
