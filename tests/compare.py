@@ -41,6 +41,10 @@ def results(name: str, spark: SparkSession, folder: str, connection) -> tuple:
     from voltscape import oracle, registry
 
     frame = registry.run(name, spark, folder)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    # no cross join and no Python in any plan
+    for banned in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
+        assert banned not in plan, f"{banned} in the plan of {name}"
     cursor = connection.execute(oracle.sql(name))
     names = [column[0] for column in cursor.description]
     return _rows(frame.columns, frame.collect()), _rows(names, cursor.fetchall())

@@ -24,7 +24,7 @@ def r2(x: str) -> str:
 
 
 def r6(x: str) -> str:
-    return f"floor({x} * 1e6 + 0.5) / 1e6"
+    return f"cast(round(cast({x} as decimal(38,10)), 6) as double)"
 
 
 def r3(x: str) -> str:
@@ -263,6 +263,17 @@ def _merged() -> str:
 
 
 STEPS["merged"] = _merged()
+# one document per customer: a closed way of four nodes, an open way, a relation of both
+STEPS["extract_rings"] = """
+select c_custkey as document, 'way/' || c_custkey as area, 'outer' as role, k as position,
+       10 + (c_custkey % 500) / 100.0 + [0, 0.01, 0.01, 0][k % 4 + 1] as lon,
+       60 + (c_custkey % 700) / 100.0 + [0, 0, 0.01, 0.01][k % 4 + 1] as lat
+from customer, range(5) t(k) where c_custkey % 3 <> 0
+union all
+select c_custkey, 'relation/' || c_custkey, case when w = 0 then 'inner' else 'outer' end, k,
+       10 + (c_custkey % 500) / 100.0 + [0, 0.01, 0.01, 0][k % 4 + 1],
+       60 + (c_custkey % 700) / 100.0 + [0, 0, 0.01, 0.01][k % 4 + 1]
+from customer, range(2) u(w), range(5) t(k) where c_custkey % 3 <> 1 and (w = 0 or k < 2)"""
 
 
 def bins(table: str) -> str:
@@ -577,6 +588,7 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
         union all select 'home_dist', '75%', quantile_cont(home_dist, 0.75::double) from poi_wide""",
         ["value"],
     ),
+    "residential_areas": ("select * from extract_rings", ["lon", "lat"]),
     "final_features": (final_features(), []),
 }
 STEPS["active"] = active("x.source = 'sw' and x.capacity_kw > 100")

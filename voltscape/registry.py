@@ -38,6 +38,10 @@ POI_SUPERCLASSES = ["Cafe and restaurant", "Hobby", "Home", "Service"]
 SEED = 42
 
 
+# through decimals, so that the last bits of a sum of doubles decide no tie
+SIX = "cast(round(cast({} as decimal(38,10)), 6) as double)"
+
+
 def report(df: DataFrame) -> DataFrame:
     """Whole numbers as bigint and doubles to six digits, so results compare exactly."""
 
@@ -48,7 +52,7 @@ def report(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, whole):
             return f"cast({name} as bigint) as {name}"
         if isinstance(field.dataType, T.DoubleType):
-            return f"cast(floor({name} * 1e6D + 0.5D) as double) / 1e6D as {name}"
+            return f"{SIX.format(name)} as {name}"
         return name
 
     return df.selectExpr(*map(plain, df.schema.fields))
@@ -378,7 +382,7 @@ def feature_score(i: Inputs) -> DataFrame:
 def performance_rank(i: Inputs) -> DataFrame:
     known = summary_of(i).where(F.col("percentage_average").isNotNull())
     # compared to six digits, so that rounding noise makes no order
-    rounded = known.select("id", (F.floor(F.col("percentage_average") * 1e6 + 0.5) / 1e6).alias("percentage_average"))
+    rounded = known.selectExpr("id", f"{SIX.format('percentage_average')} as percentage_average")
     return scoring.performance_rank(stage(rounded, "usage"))
 
 
@@ -411,6 +415,13 @@ def sample_report(i: Inputs) -> DataFrame:
     return quality.sample_rows(summary_of(i), ["start_day", "calendar_day_count"])
 
 
+def residential_areas(i: Inputs) -> DataFrame:
+    rings = tables.residential_rings(tables.extract_elements(i.extracts, "document"))
+    return rings.select("document", "area", "role", F.posexplode("coordinates").alias("position", "p")).select(
+        "document", "area", "role", "position", "p.lon", "p.lat"
+    )
+
+
 def surroundings(i: Inputs) -> feature_table.Surroundings:
     return feature_table.Surroundings(i.pois, i.categories, i.roads, population_scan(i))
 
@@ -477,6 +488,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "split_assign": split_assign,
     "quality_report": quality_report,
     "sample_report": sample_report,
+    "residential_areas": residential_areas,
     "final_features": final_features,
 }
 

@@ -109,7 +109,12 @@ elements array<struct<
 def read_extracts(spark: SparkSession, path: str) -> DataFrame:
     """Elements of map-extract documents, one row per element, with their `document`."""
     documents = spark.read.schema(EXTRACT).json(path, multiLine=True)
-    return documents.select(F.input_file_name().alias("document"), F.inline("elements"))
+    return extract_elements(documents.withColumn("document", F.input_file_name()), "document")
+
+
+def extract_elements(documents: DataFrame, document: str) -> DataFrame:
+    """One row per element of each document."""
+    return documents.select(F.col(document).alias("document"), F.inline("elements"))
 
 
 def way_lines(elements: DataFrame) -> DataFrame:
