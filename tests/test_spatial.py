@@ -109,9 +109,9 @@ def test_nearest_equals_brute_force(spark, monkeypatch, small):
     rng = random.Random(6)
     # a dense town, a few far points, equal distances and copies
     points = [(rng.gauss(10, 0.01), rng.gauss(60, 0.01)) for _ in range(600)]
-    points += [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(20)] + [(0.0, 1.0), (0.0, -1.0), (0.0, 1.0)]
+    points += [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(20)] + [(0.0, 1.0), (0.0, -1.0), (0.0, 1.0), (180.0, 90.0), (-200.0, -95.0)]
     frame = spark.createDataFrame([(len(points) - i, float(i), *p) for i, p in enumerate(points)], "k bigint, v double, lon double, lat double")
-    places = [(0.0, 0.0), (10.0, 60.0), (10.4, 60.2), (-170.0, -80.0), (179.9, 89.9)]
+    places = [(0.0, 0.0), (10.0, 60.0), (10.4, 60.2), (-170.0, -80.0), (179.9, 89.9), (180.0, 88.0), (-190.0, -90.0)]
     places += [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(40)]
     places += [(rng.gauss(10, 0.02), rng.gauss(60, 0.02)) for _ in range(60)]
     sites = spark.createDataFrame([*places, places[0], (None, 1.0)], "lon double, lat double")

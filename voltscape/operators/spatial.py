@@ -137,14 +137,19 @@ def nearest(places: DataFrame, points: DataFrame, key: str, value: str, leaf_poi
     """
     sites = points.groupBy("lon", "lat").agg(F.min(F.struct(key, value)).alias("_payload"))
     steps, cell_counts, site_count = _steps_needed(sites, leaf_points)
-    known = "lon is not null and lat is not null"
-    found = places.where(known).select("lon", "lat").distinct().selectExpr("*", "0L as _x", "0L as _y")
+    known = places.where("lon is not null and lat is not null").select("lon", "lat").distinct()
+    if not steps:
+        return known.selectExpr("lon", "lat", *(f"null as {c}" for c in (key, value)), "0D as distance_deg").limit(0)
+    # the first step may lead to any of its cells
+    any_cell = f"explode(sequence(0L, {CUT - 1}L))"
+    found = known.selectExpr("*", f"{any_cell} as _cx").selectExpr("*", f"{any_cell} as _cy")
     squared_box = (
         "pow(greatest(_west - lon, lon - _east, 0D), 2) + pow(greatest(_south - lat, lat - _north, 0D), 2)"
     )
     for step in range(1, steps + 1):
         # at most 64 cells lie under one cell of the step before
-        joined = salted_lookup(found, _cells(sites, step), ["_x", "_y"], right_rows=cell_counts[step])
+        on = ["_cx", "_cy"] if step == 1 else ["_x", "_y"]
+        joined = salted_lookup(found, _cells(sites, step), on, right_rows=cell_counts[step])
         found = (
             joined.selectExpr(
                 "lon", "lat", "_cx as _x", "_cy as _y",
@@ -169,8 +174,12 @@ def _squared(lon: str, lat: str) -> str:
 
 
 def _cell(step: int, x: str, y: str) -> list[str]:
-    size = WORLD_DEGREES / CUT**step
-    return [f"floor((lon + 180D) / {size!r}D) as {x}", f"floor((lat + 90D) / {size!r}D) as {y}"]
+    # points on or beyond the edge of the world belong to its outermost cells
+    size, last = WORLD_DEGREES / CUT**step, CUT**step - 1
+    return [
+        f"least(greatest(floor(({c} + {shift}D) / {size!r}D), 0L), {last}L) as {name}"
+        for c, shift, name in (("lon", 180, x), ("lat", 90, y))
+    ]
 
 
 def _cells(sites: DataFrame, step: int) -> DataFrame:
@@ -204,6 +213,5 @@ def _steps_needed(sites: DataFrame, leaf_points: int, most: int = 9) -> tuple[in
         .collect()
     )
     enough = (row.step for row in per_step if row.fullest <= leaf_points)
-    # without points there is nothing to walk down
     steps = min(enough, default=most) if per_step else 0
     return steps, {row.step: row.cells for row in per_step}, max((row.points for row in per_step), default=0)
