@@ -29,7 +29,8 @@ def poi_proximity(
     """Per station and superclass: number of POIs in the radius and the least distance.
 
     With `names`, also their different names (NULL if none has one). Stations without POIs
-    keep one row with NULL superclass, count 0 and NULL distance.
+    keep one row with NULL superclass, count 0 and NULL distance. `stations` is read several
+    times: write it first if it is costly.
     """
     columns = ["poi_id", "superclass", "lon", "lat", *(["name"] if names else [])]
     named = classify(pois.withColumnRenamed("id", "poi_id"), categories).select(*columns)
@@ -48,7 +49,8 @@ def road_proximity(
     """Per station and road class: number of roads in the radius and the least distance.
 
     `roads` has id, class, name and `coordinates`. Stations without roads keep one row with
-    NULL class, count 0 and NULL distance.
+    NULL class, count 0 and NULL distance. `stations` is read several times: write it first if
+    it is costly.
     """
     kept = ["class", *(["name"] if names else []), "coordinates"]
     lines = roads.select(F.col("id").alias("road_id"), *kept)

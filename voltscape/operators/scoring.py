@@ -47,7 +47,10 @@ def occupation_rank(df: DataFrame) -> DataFrame:
 
 
 def feature_thresholds(df: DataFrame) -> DataFrame:
-    """(metric, kind, threshold): a high quantile of counts, a low one of distances."""
+    """(metric, kind, threshold): a high quantile of counts, a low one of distances.
+
+    Reads `df` several times: write it first if it is costly.
+    """
     kinds = dict.fromkeys(distance_columns(df), fixed.DISTANCE_QUANTILE)
     kinds |= dict.fromkeys(columns_ending(df, "_count"), fixed.COUNT_QUANTILE)
     readings = ", ".join(

@@ -28,7 +28,8 @@ def cut_rows(df: DataFrame, n: int, order: str) -> tuple[DataFrame, DataFrame]:
 
     The number of rows per `order` value gives the value at which the cut falls; all other
     rows are decided by one comparison. Only the rows at that value are looked at closely:
-    equal rows are counted, put in order, and split by number.
+    equal rows are counted, put in order, and split by number. Reads `df` several times: write
+    it first if it is costly.
     """
     if n <= 0:
         return df.limit(0), df

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from voltscape.functions.calendar import DayWindow
 from voltscape.functions.numeric import round_half_even

@@ -272,7 +272,8 @@ def poi_within_500m(i: Inputs) -> DataFrame:
     points = i.pois.select(F.col("id").alias("poi_id"), "lon", "lat")
     pairs = points_within(i.stations, points).select("site_lon", "site_lat", "poi_id", "distance_m")
     here = i.stations.select("id", F.col("lon").alias("site_lon"), F.col("lat").alias("site_lat"))
-    return here.join(pairs, ["site_lon", "site_lat"], "left").select("id", "poi_id", F.expr("cast(floor(distance_m * 1e3D + 0.5D) as double) / 1e3D as distance_m"))
+    millimetres = "cast(floor(distance_m * 1e3D + 0.5D) as double) / 1e3D as distance_m"
+    return here.join(pairs, ["site_lon", "site_lat"], "left").selectExpr("id", "poi_id", millimetres)
 
 
 def metres(df: DataFrame) -> DataFrame:

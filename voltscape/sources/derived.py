@@ -157,11 +157,13 @@ class Inputs:
         no_tags = "cast(null as map<string, string>)"
         corners = [(0, 0), (0.01, 0), (0.01, 0.01), (0, 0.01)]
         nodes = [node.format(k=k, x=x, y=y, none=none, no_tags=no_tags) for k, (x, y) in enumerate(corners)]
-        other = "named_struct('type', '{t}', 'id', {i}, 'lat', cast(null as double), 'lon', cast(null as double), 'nodes', {n}, 'members', {m}, 'tags', {g})"
+        nowhere = "'lat', cast(null as double), 'lon', cast(null as double)"
+        other = "named_struct('type', '{t}', 'id', {i}, " + nowhere + ", 'nodes', {n}, 'members', {m}, 'tags', {g})"
         home = "if({}, map('landuse', 'residential'), " + no_tags + ")"
         ring = other.format(t="way", i="c_custkey", n="array(0L, 1L, 2L, 3L, 0L)", m=none, g=home.format("c_custkey % 3 <> 0"))
         line = other.format(t="way", i="-c_custkey - 1", n="array(0L, 1L)", m=none, g=no_tags)
-        members = "array(named_struct('type', 'way', 'ref', c_custkey, 'role', 'inner'), named_struct('type', 'way', 'ref', -c_custkey - 1, 'role', 'outer'))"
+        member = "named_struct('type', 'way', 'ref', {}, 'role', '{}')"
+        members = f"array({member.format('c_custkey', 'inner')}, {member.format('-c_custkey - 1', 'outer')})"
         relation = other.format(t="relation", i="c_custkey", n="cast(null as array<bigint>)", m=members, g=home.format("c_custkey % 3 <> 1"))
         return self.table("customer").selectExpr(
             "c_custkey as document", f"array({', '.join([*nodes, ring, line, relation])}) as elements"

@@ -90,9 +90,10 @@ def boundary_edges(documents: DataFrame, column: str) -> DataFrame:
         rings,
         lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))),
     )
+    missing = F.raise_error(F.lit("document has no polygon geometry")).cast("array<array<struct<lon:double,lat:double>>>")
     return (
         documents.select(geometry.alias("_geometry"))
-        .select(F.coalesce(named, F.raise_error(F.lit("document has no polygon geometry")).cast("array<array<struct<lon:double,lat:double>>>")).alias("_rings"))
+        .select(F.coalesce(named, missing).alias("_rings"))
         .select(F.inline(geo.ring_edges(F.col("_rings"))))
     )
 
