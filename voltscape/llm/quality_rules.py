@@ -36,8 +36,8 @@ DIMENSIONS = len(STATISTICS)
 HALF = 0.5
 STEPS = 4
 #: Squared Mahalanobis distance above which a document is rejected. For six normal statistics
-#: one document in 10^7 lies beyond 44; the tails of real text are heavier.
-CUTOFF = 60.0
+#: one document in two million lies beyond 40.
+CUTOFF = 40.0
 
 
 def repeat_words(words: list[bytes]) -> int:

@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltscape.llm import decontaminate, mixing, pii, quality_rules, simhash
+from voltscape.functions.staging import stage
+from voltscape.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    mixing,
+    pii,
+    quality_knn,
+    quality_rules,
+    repeats,
+    simhash,
+    warc,
+)
 from voltscape.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,16 +32,49 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.archived(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return captures.selectExpr(
+        "cast(page_id as bigint) as page_id",
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "cast(refers_to as bigint) as refers_to",
+    )
+
+
+def op3_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_knn.predictions(docs.select("doc_id", "text"), labels.select("doc_id", "quality"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.digests(stage(chat.examples(turns.union(extra)), "examples"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
     return found.selectExpr("doc_id", "item_id", "score", "start", "end", "n_seeds", "sha2(passage, 256) as passage_sha256")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.selectExpr("doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) as kept_sha256")
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.known_licenses(spark))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.quality(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "lang", "source", *quality_rules.COUNTS, "base_failed", "d2", "kept")
@@ -54,5 +99,16 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_mix_sources, op4_simhash, op6_decontaminate, op9_quality_rules, op10_personal_data)
+    for f in (
+        op1_mix_sources,
+        op2_warc,
+        op3_quality_knn,
+        op4_simhash,
+        op5_chat,
+        op6_decontaminate,
+        op7_repeats,
+        op8_licenses,
+        op9_quality_rules,
+        op10_personal_data,
+    )
 }

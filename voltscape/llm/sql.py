@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from voltscape.llm import licenses
+
 OP1 = r"""
 with sized as (
     select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
@@ -42,4 +44,76 @@ select doc_id, source, size, source_size, target,
 from summed
 """
 
-ORACLES: dict[str, str] = {"op1_mix_sources": OP1}
+OP2 = r"""
+with hashed as (
+    select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as hex from pages
+),
+digests as (
+    select page_id, payload_bytes, hex, (
+        select string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            (((('0x' || substr(hex, 1 + 10 * (i // 8), 10))::bigint >> (35 - 5 * (i % 8))) & 31) + 1)::bigint, 1), '' order by i)
+        from range(0, 32) t(i)) as payload_digest
+    from hashed
+),
+firsts as (select hex, min(page_id) as first_page from digests group by hex)
+select page_id, payload_bytes, payload_digest,
+    case when first_page is null or page_id = first_page then 'response' else 'revisit' end as record_type,
+    case when page_id = first_page then null else first_page end as refers_to
+from digests join firsts using (hex)
+"""
+
+OP5 = r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+    union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized as (
+    select *, role = 'assistant' as reply, row_number() over w as pos,
+        sum(length(regexp_replace(text, '(<<|<|\[)(\\*)(/?(?:s>|INST\]|SYS>>))', '\1\\\2\3', 'g')) + length(role) + 8) over w as upto
+    from turns window w as (partition by conv_id order by turn, role, text rows unbounded preceding)
+),
+ends as (
+    select conv_id, max(pos) as last_pos, max(upto) as total, coalesce(max(pos) filter (where reply), 0) as last_reply from sized group by conv_id
+)
+select s.conv_id, count(*)::bigint as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by pos)) as turns_sha256,
+    coalesce(sum(length(text)) filter (where reply), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by pos) filter (where reply), '')) as loss_sha256,
+    (coalesce(sum(upto) filter (where reply), 0) + case when any_value(last_reply < last_pos) then any_value(total) else 0 end)::bigint as formatted_chars
+from sized s join ends e on s.conv_id is not distinct from e.conv_id group by s.conv_id
+"""
+
+
+def _canonical(text: str) -> str:
+    plain = (
+        f"translate(regexp_replace({text}, '(?mi)^[ \\t]*(copyright|\\(c\\)|©)[^\\n]*[0-9]{{4}}[^\\n]*$', ' ', 'g'), "
+        "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    found = f"' ' || regexp_replace({plain}, '[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+', '  ', 'g') || ' '"
+    for old, new in licenses.SPELLINGS:
+        found = f"replace({found}, ' {old.replace(' ', '  ')} ', ' {new.replace(' ', '  ')} ')"
+    return f"trim(replace({found}, '  ', ' '))"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_KNOWN = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in (*licenses.TEXTS, *licenses.NOTICES))
+OP8 = f"""
+with known as (
+    select sha256({_canonical('text')}) as digest, min(license_id) as license_id
+    from (values {_KNOWN}) as t(license_id, text) group by 1
+),
+docs as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+lines as (select r, unnest(string_split(text, chr(10))) as line from docs),
+cited as (
+    select r, string_agg(distinct license_id, ',' order by license_id) as line_licenses, count(*) as n
+    from (select r, sha256({_canonical('line')}) as digest from lines) join known using (digest) group by r
+)
+select doc_id, digest, license_id, coalesce(line_licenses, '') as line_licenses, coalesce(n, 0)::bigint as n_license_lines
+from (select *, sha256({_canonical('text')}) as digest from docs) left join known using (digest) left join cited using (r)
+"""
+
+ORACLES: dict[str, str] = {"op1_mix_sources": OP1, "op2_warc": OP2, "op5_chat": OP5, "op8_licenses": OP8}
