@@ -11,7 +11,7 @@ from voltscape.llm.common import WORD, attach
 #: Copies are counted in units of 1e-9, so every sum is an exact integer.
 UNIT = 1_000_000_000
 #: Rows that one sorted bucket should hold.
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 20_000
 
 _SIZE = f"coalesce(regexp_count(text, r'{WORD}'), 0L)"
 #: Sizes below 16 are a class each; above, an octave is cut into eight.
@@ -63,9 +63,10 @@ def planned(
     share: float = 1.0,
     max_repeat: int = 3,
     seed: int = 0,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """All rows and columns of `docs` (doc_id, text, source, any more) with size, source_size,
-    target and copies: how often the mix takes the row.
+    """All rows of `docs` (doc_id, text, source, any more), with all columns or those of
+    `carry`, and size, source_size, target and copies: how often the mix takes the row.
 
     Systematic sampling: a row of a source is expected target / source_size times. Expected
     copies are summed over the source in order of size class and a hash of doc_id, one random
@@ -82,7 +83,7 @@ def planned(
     next to each other; rows alike in every ordering column are interchangeable. An empty table
     gives an empty result. Columns of `docs` named like a result column are replaced.
     """
-    kept = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "copies")]
+    kept = [c for c in carry or docs.columns if c.lower() not in ("size", "source_size", "target", "copies")]
     hashed = _hash32(f"concat('{seed}:', coalesce(cast(doc_id as string), ''))")
     # the row travels as one struct, so its column names meet no others
     packed = docs.select(F.struct(*kept).alias("_row"), "doc_id", "source", F.expr(_SIZE).alias("_size"))

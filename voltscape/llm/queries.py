@@ -25,8 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    planned = mixing.planned(docs)
+    planned = mixing.planned(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
     return planned.selectExpr(
         "doc_id", "source", "size", "source_size", "target", "copies", "copies * size as taken"
     )
