@@ -22,15 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_rows(df: DataFrame, schema: str, kernel: Callable[[dict[str, list]], dict[str, list]]) -> DataFrame:
-    """`kernel` turns the columns of one Arrow batch (lists) into the columns of the result."""
+#: Bytes of an Arrow batch that a kernel gets at a time.
+PIECE_BYTES = 4 << 20
+
+
+def map_rows(
+    df: DataFrame, schema: str, kernel: Callable[[dict[str, list]], dict[str, list]], piece: int = PIECE_BYTES
+) -> DataFrame:
+    """`kernel` turns columns (lists) of some rows into columns of the result. It gets about
+    `piece` bytes at a time, one row at least, so that neither side of it is large."""
     wanted = StructType.fromDDL(schema)
     arrow = to_arrow_schema(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = kernel({name: batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names)})
-            yield pa.RecordBatch.from_pydict(found, schema=arrow)
+            rows = max(1, batch.num_rows * piece // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                found = kernel({name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)})
+                yield pa.RecordBatch.from_pydict(found, schema=arrow)
 
     return df.mapInArrow(run, wanted)
 

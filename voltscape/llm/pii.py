@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltscape.functions.staging import stage
-from voltscape.llm.common import attach, map_rows
+from voltscape.llm.common import PIECE_BYTES, attach, map_rows
 from voltscape.llm.decontaminate import tokens
 
 KINDS = ("email", "ip", "card", "phone")
@@ -145,7 +145,8 @@ def _term_counts(docs: DataFrame) -> DataFrame:
                 counts.update(set(tokens(text)))
         return {"term": [t.decode("utf-8", "replace") for t in counts], "n": list(counts.values())}
 
-    return map_rows(docs.select("text"), "term string, n long", kernel).groupBy("term").agg(F.sum("n").alias("n_term"))
+    # the more texts are counted together, the fewer rows are shuffled
+    return map_rows(docs.select("text"), "term string, n long", kernel, 4 * PIECE_BYTES).groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
 def disclosures(docs: DataFrame, found: DataFrame, threshold: float = GENERALISE) -> DataFrame:

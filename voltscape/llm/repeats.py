@@ -201,8 +201,8 @@ def _in_buckets(contexts: DataFrame, size: int) -> DataFrame:
     arrow = to_arrow_schema(wanted)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for batch in batches for r in batch.to_pylist()]
-        rows.sort(key=lambda r: (r["anchor"], r["context"]))
+        found = {(r["anchor"], r["context"]): r for batch in batches for r in batch.to_pylist()}
+        rows = [found[key] for key in sorted(found)]
         at = 0
         while at < len(rows):
             stop, starts = at, 0
@@ -276,15 +276,15 @@ def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
         F.sum(F.size("starts")).alias("n"), F.min(F.struct("doc_id", "hash", F.col("starts")[0].alias("start"))).alias("_at")
     )
     texts = _texts(docs).withColumnsRenamed({"doc_id": "_id", "hash": "_hash"}).where(f"length(text) >= {size}")
-    # equal rows are one text
+    # equal rows give a context twice
     placed = first.join(texts, F.expr("_at.doc_id <=> _id and _at.hash = _hash")).selectExpr(
         "anchor", "context", "windows", "n", f"substring(text, cast(_at.start + 1 as int), windows - 1 + {size}) as data"
     )
-    contexts = stage(placed.dropDuplicates(["anchor", "context"]), "bytes")
+    contexts = stage(placed, "bytes")
     full = stage(contexts.groupBy("anchor").count().where(f"count > {BUCKET_CONTEXTS}").select("anchor"), "full")
     within = stage(
         _in_buckets(attach(contexts, full, ["anchor"], "left_anti"), size).union(
-            _by_digest(attach(contexts, full, ["anchor"], "left_semi"), size)
+            _by_digest(attach(contexts, full, ["anchor"], "left_semi").dropDuplicates(["anchor", "context"]), size)
         ),
         "repeats",
     )
