@@ -11,6 +11,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from voltscape import registry  # noqa: E402
+from voltscape.functions import staging  # noqa: E402
 from voltscape.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -57,6 +58,7 @@ def main() -> None:
             start = time.perf_counter()
             registry.run(name, spark, folder).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - start, 3)
+            staging.clear(spark)
     print(
         json.dumps(
             {

@@ -1,13 +1,14 @@
 """Sources, pivots, cleaning and derived columns on small literal frames."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
 from voltscape.functions import geo, staging
-from voltscape.operators import cleaning, features, pivots
+from voltscape.operators import cleaning, features, pivots, scoring
 from voltscape.sources import tables
 
 
@@ -121,9 +122,54 @@ def test_road_features_refuse_repeated_classes(spark):
         pivots.road_features(roads(spark, [(1, "motorway", 1, 3.0)])).collect()
 
 
-def test_class_values_are_bounded(spark):
-    with pytest.raises(ValueError):
-        pivots.class_values(spark.range(600).selectExpr("cast(id as string) as c"), "c")
+def test_poi_features_accept_any_class_name(spark):
+    names = ["Food & drink", "24h-shop", "Café", "O'Neill", "tick`ed", "a.b"]
+    counts = spark.createDataFrame(
+        [(1, name, k + 1, 10.0 * k) for k, name in enumerate(names)],
+        "id bigint, superclass string, poi_count bigint, closest_distance_meters double",
+    )
+    rows = {r.id: r.asDict() for r in pivots.poi_features(counts, spark.range(1, 3)).collect()}
+    for k, name in enumerate(names):
+        column = name.lower().replace(" ", "_")
+        assert rows[1][f"{column}_count"] == k + 1.0 and rows[1][f"{column}_dist"] == 10.0 * k
+        assert rows[2][f"{column}_count"] == 0.0 and rows[2][f"{column}_dist"] == 1000.0
+
+
+def test_poi_features_refuse_names_that_become_equal(spark):
+    counts = spark.createDataFrame(
+        [(1, "Home shop", 1, 1.0), (1, "home_shop", 1, 1.0)],
+        "id bigint, superclass string, poi_count bigint, closest_distance_meters double",
+    )
+    with pytest.raises(ValueError, match="home_shop"):
+        pivots.poi_features(counts, spark.range(1, 2))
+
+
+def test_poi_features_have_one_row_per_id_and_any_number_of_classes(spark):
+    counts = spark.range(600).selectExpr(
+        "id % 2 as id", "concat('c', id) as superclass", "1L as poi_count", "2.0D as closest_distance_meters"
+    )
+    found = pivots.poi_features(counts, spark.createDataFrame([(0,), (0,), (1,)], "id bigint"))
+    assert found.count() == 2 and len(found.columns) == 1201
+    assert pivots.poi_features(counts.limit(0), spark.range(2)).count() == 2
+
+
+def test_one_row_per_id(spark):
+    frame = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (1, "a", 2), (2, None, 3)], "id bigint, `a b` string, c int")
+    assert sorted(map(tuple, cleaning.one_row_per_id(frame).collect())) == [(1, "a", 2), (2, None, 3)]
+
+
+def test_performance_rank_keeps_rows_without_a_value(spark):
+    frame = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 7.0), (4, None)], "id bigint, percentage_average double")
+    ranks = {r.id: r.score_performance for r in scoring.performance_rank(frame).collect()}
+    assert ranks == {1: 4, 2: 4, 3: 2, 4: None}
+
+
+def test_staged_folders_can_be_cleared(spark):
+    staged = staging.stage(spark.range(3), "cleared")
+    folder = staged.inputFiles()[0].removeprefix("file:").rpartition("/")[0]
+    assert os.path.isdir(folder)
+    assert staging.clear(spark) >= 1 and not os.path.exists(folder)
+    assert staging.clear(spark) == 0
 
 
 def test_with_signal_drops_all_rows_of_an_id(spark):

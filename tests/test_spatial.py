@@ -197,3 +197,18 @@ def test_salted_lookup_equals_join(spark):
     for known in (300, joins.BROADCAST_ROWS + 1):
         looked = joins.salted_lookup(left, right, ["k"], right_rows=known)
         assert sorted(map(tuple, looked.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+
+
+def test_repeated_rows_give_the_same_pairs_on_both_paths(spark, monkeypatch):
+    sites = spark.createDataFrame([(10.0, 60.0), (10.0, 60.0), (10.001, 60.0)], "lon double, lat double")
+    pois = spark.createDataFrame([(1, 10.0, 60.001)] * 3 + [(2, 10.002, 60.0)], "poi_id bigint, lon double, lat double")
+    lines = spark.createDataFrame(
+        [(1, [(10.0, 60.0), (10.01, 60.0), (10.01, 60.01)])] * 2, "road_id bigint, coordinates array<struct<lon: double, lat: double>>"
+    )
+    found = {}
+    for few in (True, False):
+        monkeypatch.setattr(spatial, "is_small", lambda df, n=0, few=few: few)
+        pairs = spatial.points_within(sites, pois).select("site_lon", "poi_id").collect()
+        roads = spatial.lines_within(sites, lines).selectExpr("site_lon", "road_id", "round(distance_m, 3) as d").collect()
+        found[few] = sorted(map(tuple, pairs)), sorted(map(tuple, roads))
+    assert found[True] == found[False] and len(found[True][0]) == 8

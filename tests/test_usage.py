@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from voltscape import registry
 from voltscape.functions import joins
 from voltscape.functions.calendar import DayWindow, last_day_of_previous_month, local_day
 from voltscape.functions.numeric import round_half_even, round_half_up, safe_divide
@@ -75,6 +76,16 @@ def test_window_reaches_the_scan(spark, tmp_path):
         assert "capacity_kw" not in scan
 
 
+@pytest.mark.parametrize(
+    "name", ["usage_window", "usage_window_local", "hourly_detail", "daily_utilization", "station_timeseries", "station_span"]
+)
+def test_registered_windows_reach_the_scan(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = plan_of(registry.run(name, spark, "/root/testdata/sf0.001"))
+    scans = [line for line in plan.splitlines() if "parquet" in line and ("orders" in line or "events" in line)]
+    assert scans and all("GreaterThanOrEqual(" in line and "LessThan(" in line for line in scans)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -14,10 +14,6 @@ ROAD_COUNTRY_SWITZERLAND = "Switzerland"
 
 # Windows.
 LOCAL_ZONE = "Europe/Oslo"
-USAGE_START = date(2024, 9, 1)
-HOURLY_END = date(2025, 9, 15)
-ACTIVE_START = date(2024, 7, 1)
-MIN_ACTIVE_DAYS = 100
 POPULATION_NEWER_THAN = date(2019, 1, 1)
 
 # Proximity.

@@ -2,36 +2,45 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Folders written by each application, until they are cleared.
+_written: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a scratch folder only in local mode."""
-    folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="voltscape-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    """The folder in spark.checkpoint.dir; where that is unset, one in the warehouse, which all
+    executors reach as well. The session is left as it is."""
+    folder = spark.conf.get(SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once and read it back.
 
     Cuts the lineage, survives lost executors, and gives later plans column pruning and
-    file statistics. Use it where one result feeds several aggregations.
+    file statistics. Use it where one result feeds several aggregations. The files stay until
+    `clear`, as a result that is still to be computed may read them.
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what this application has staged; call it when its results are written. Returns
+    the number of folders."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)

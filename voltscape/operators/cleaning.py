@@ -33,6 +33,13 @@ def complete_rows(df: DataFrame) -> DataFrame:
     return df.na.drop("any")
 
 
+def one_row_per_id(df: DataFrame) -> DataFrame:
+    """One row per id: of several the first by all columns in their order, NULL first."""
+    others = [c for c in df.columns if c != "id"]
+    first = df.groupBy("id").agg(F.min(F.struct(*(f"`{c}`" for c in others))).alias("_first"))
+    return first.select("id", "_first.*").select(*(f"`{c}`" for c in df.columns))
+
+
 def ensure_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """Add the missing columns as 0."""
     missing = {name: F.lit(0) for name in names if name not in df.columns}

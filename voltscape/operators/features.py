@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
 from voltscape.functions.geo import point_lat, point_lon
+from voltscape.functions.joins import lookup_join
 from voltscape.functions.numeric import flag, row_sum
 from voltscape.operators.cleaning import ensure_columns
 
@@ -102,7 +103,10 @@ def near_shops(
     totals = stations.groupBy(city).agg(F.sum("shop_count").alias("_city_shops"))
     share = F.when(F.col("_city_shops") > 0, F.try_divide(F.col("shop_count"), F.col("_city_shops"))).otherwise(0.0)
     near = (share > least_share) | (F.col("distance_to_shopping_center") < center_within_m)
-    joined = stations.join(totals, city, "left")
+    # a city with very many stations is spread over tasks
+    known = lookup_join(stations.where(F.col(city).isNotNull()), totals.where(F.col(city).isNotNull()), [city])
+    unknown = stations.where(F.col(city).isNull()).withColumn("_city_shops", F.lit(None).cast("bigint"))
+    joined = known.unionByName(unknown)
     return joined.withColumn("is_near_shops", flag(near)).drop("_city_shops")
 
 

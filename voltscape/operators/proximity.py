@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
+from voltscape.functions.joins import is_small
 from voltscape.operators.spatial import lines_within, one_location, points_within
 
 
@@ -16,7 +17,8 @@ def superclasses(categories: DataFrame) -> DataFrame:
 
 def classify(pois: DataFrame, categories: DataFrame) -> DataFrame:
     """POIs with their superclass; several if several match, NULL if none does."""
-    return pois.join(superclasses(categories), "fclass", "left")
+    classes = superclasses(categories)
+    return pois.join(F.broadcast(classes) if is_small(classes) else classes, "fclass", "left")
 
 
 def poi_proximity(

@@ -46,16 +46,16 @@ def _sites(places: DataFrame, grid: geo.RadiusGrid) -> DataFrame:
 def _near(
     places: DataFrame, located: DataFrame, grid: geo.RadiusGrid, squared_chord: str, used: tuple[str, ...]
 ) -> DataFrame:
-    """Pairs of a place and a located row within the radius.
+    """Pairs of a place and a located row within the radius, for each located row of its own.
 
     Few sites are broadcast, and the other side stays where it is. Many sites are joined by
-    cell with hot cells split; copies of a row would stay together there, so they go first.
+    cell with hot cells split. Both give the same rows.
     """
     cell, sites = ["band", "col"], _sites(places, grid)
     if is_small(places, BROADCAST_ROWS // MOST_CELLS):
         pairs = located.join(F.broadcast(sites), cell)
     else:
-        pairs = spread_join(sites, located.distinct(), cell)
+        pairs = spread_join(sites, located, cell)
     limit = geo.chord_of(grid.radius_m) ** 2
     close = pairs.withColumn("_chord2", F.expr(squared_chord)).where(F.col("_chord2") <= limit)
     return close.withColumn("distance_m", F.expr(geo.arc_m("_chord2"))).drop(*cell, "_chord2", *SITE, *used)
@@ -64,9 +64,8 @@ def _near(
 def points_within(places: DataFrame, points: DataFrame, radius_m: float = fixed.SEARCH_RADIUS_M) -> DataFrame:
     """Distinct places (`site_lon`, `site_lat`) with the points within the radius.
 
-    `points` needs lon and lat; its other columns are kept and `distance_m` is added. Equal
-    rows of `points` may come out as one, so count different keys, not rows. Places are
-    repeated over at most nine cells, points are not, and the distance test is part of the
+    `points` needs lon and lat; its other columns are kept and `distance_m` is added; equal rows
+    of `points` are points of their own. Places are repeated over at most nine cells, points are not, and the distance test is part of the
     join.
     """
     grid = geo.RadiusGrid(radius_m)

@@ -142,6 +142,7 @@ NEAR_LAT = "p.lat between s.lat - 0.0046 and s.lat + 0.0046"
 
 STEPS: dict[str, str] = {
     "station": _source(derived.STATION),
+    "station_all": _source(derived.LISTED_TWICE),
     "usage_long": _source(
         derived.USAGE_LONG.replace("__HOUR__", "o_orderdate + to_hours(cast(o_orderkey % 24 as int))")
     ),
@@ -218,7 +219,7 @@ where k = 1""",
     "static": """
 select s.id, max(s.operator) as operator, s.capacity_kw, st.address, st.title, st.country_name,
        p.calendar_day_count, max(s.lon) as lon, max(s.lat) as lat
-from spans p join elig s on p.id = s.id join station st on s.id = st.id
+from spans p join elig s on p.id = s.id join station_all st on s.id = st.id
 group by s.id, s.capacity_kw, st.address, st.title, st.country_name, p.calendar_day_count""",
     "base": """
 select u.*, t.operator, t.capacity_kw, t.address, t.title, t.country_name, t.lon, t.lat
@@ -295,7 +296,9 @@ COMPLETE_SKIP = "occupation_bin is not null and operator is not null and percent
 STEPS["enriched"] = f"""
 select m.* exclude (m), n.population, 67.5 * (cafe_and_restaurant_count > 0)::int + 30 * (hobby_count > 0)::int
        + 30 * (home_count > 0)::int + 30 * (service_count > 0)::int as total_time_spent
-from merged_bins m left join nearest n on m.id = n.id where {COMPLETE_SKIP}"""
+from (select * from merged_bins where {COMPLETE_SKIP}
+      qualify row_number() over (partition by id order by station_name, country_name) = 1) m
+left join nearest n on m.id = n.id"""
 
 POI_METRICS = {f"{c}_count": 0.7 for c in ("cafe_and_restaurant", "hobby", "home", "service")} | {
     f"{c}_dist": 0.3 for c in ("cafe_and_restaurant", "hobby", "home", "service")
@@ -533,8 +536,9 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
         f"select id, good_feature_score from ({score('base_poi', BASE_METRICS)}) t", ["good_feature_score"],
     ),
     "performance_rank": (
-        f"""select id, p as percentage_average, count(*) over () - rank() over (order by p) + 1 as score_performance
-            from (select id, {r6('percentage_average')} as p from summary where percentage_average is not null) t""",
+        f"""select id, p as percentage_average,
+                   case when p is not null then count(*) over () - rank() over (order by p nulls last) + 1 end as score_performance
+            from (select id, {r6('percentage_average')} as p from summary) t""",
         [],
     ),
     "local_center": (
@@ -545,7 +549,7 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
     ),
     "near_shops": (
         f"""select f.id, {SHOPS} as shop_count,
-                   case when (case when c.total > 0 then ({SHOPS}) / c.total else 0 end) > 0.005
+                   case when (case when c.total > 0 then ({SHOPS}) / c.total else 0 end) > 0.2
                           or poi_distance_shopping_center < 500 then 1 else 0 end as is_near_shops
             from flags f join (select city, sum({SHOPS}) as total from flags group by city) c on f.city = c.city""",
         [],

@@ -91,8 +91,11 @@ def final_features(
     window: DayWindow,
     around: Surroundings,
 ) -> DataFrame:
-    """The whole chain. Bins come before incomplete rows go, scores before the group sums."""
+    """The whole chain, one row per id. Bins come before incomplete rows go, and a station listed
+    under several addresses becomes one row before anything is ranked or scored; scores come
+    before the group sums."""
     merged = stage(merged_features(usage, stations, all_stations, window, around), "merged")
     complete = cleaning.complete_rows(scoring.occupation_bins(merged))
-    enriched = stage(features.time_spent(with_population(complete, around.population)), "enriched")
+    single = cleaning.one_row_per_id(with_population(complete, around.population))
+    enriched = stage(features.time_spent(single), "enriched")
     return derived(scored(enriched)).withColumnRenamed("lon", "lng")

@@ -33,8 +33,6 @@ SHORT_LOCAL = DayWindow.until_last_month(date(2024, 1, 1), SHORT_AS_OF, fixed.LO
 HOURLY = DayWindow(date(2024, 1, 5), date(2024, 1, 25))
 # Days of the short month that count as active.
 ACTIVE_DAYS = 15
-ROAD_CLASSES = ["motorway", "trunk", "primary", "secondary", "residential"]
-POI_SUPERCLASSES = ["Cafe and restaurant", "Hobby", "Home", "Service"]
 SEED = 42
 
 
@@ -101,7 +99,7 @@ def wkt_lines(i: Inputs) -> DataFrame:
 
 
 def csv_roundtrip(i: Inputs) -> DataFrame:
-    monthly = rollups.monthly_utilization(usage.daily_utilization_local(i.usage_long, norway(i), LONG_LOCAL))
+    monthly = rollups.monthly_utilization(usage.daily_utilization_local(i.usage_long(LONG_LOCAL), norway(i), LONG_LOCAL))
     frame = series.monthly_series(monthly)
     path = fresh_path(i.spark, "csv")
     tables.write_csv(frame, path)
@@ -142,32 +140,32 @@ def operator_match(i: Inputs) -> DataFrame:
 
 
 def usage_window(i: Inputs) -> DataFrame:
-    return usage.usage_of(i.usage_long, norway(i), LATE).select("id", "day", "charging_duration")
+    return usage.usage_of(i.usage_long(LATE), norway(i), LATE).select("id", "day", "charging_duration")
 
 
 def usage_window_local(i: Inputs) -> DataFrame:
-    return usage.usage_of(i.usage_short, norway(i), SHORT_LOCAL).select("id", "hour", "day", "charging_duration")
+    return usage.usage_of(i.usage_short(SHORT_LOCAL), norway(i), SHORT_LOCAL).select("id", "hour", "day", "charging_duration")
 
 
 def hourly_detail(i: Inputs) -> DataFrame:
-    return usage.hourly_detail(i.usage_short, norway(i), HOURLY).orderBy("id", "hour")
+    return usage.hourly_detail(i.usage_short(HOURLY), norway(i), HOURLY).orderBy("id", "hour")
 
 
 def station_span(i: Inputs) -> DataFrame:
-    return usage.station_span(i.usage_long, norway(i), LONG)
+    return usage.station_span(i.usage_long(LONG), norway(i), LONG)
 
 
 def active_stations(i: Inputs) -> DataFrame:
     rule = st.SWITZERLAND_UNAPPROVED
-    return usage.active_stations(i.usage_short, st.eligible(i.stations, rule), SHORT, ACTIVE_DAYS)
+    return usage.active_stations(i.usage_short(SHORT), st.eligible(i.stations, rule), SHORT, ACTIVE_DAYS)
 
 
 def daily_utilization(i: Inputs) -> DataFrame:
-    return usage.daily_utilization(i.usage_short, norway(i), SHORT)
+    return usage.daily_utilization(i.usage_short(SHORT), norway(i), SHORT)
 
 
 def summary_of(i: Inputs) -> DataFrame:
-    return usage.utilization_summary(i.usage_long, norway(i), LONG)
+    return usage.utilization_summary(i.usage_long(LONG), norway(i), LONG)
 
 
 def utilization_summary(i: Inputs) -> DataFrame:
@@ -175,11 +173,11 @@ def utilization_summary(i: Inputs) -> DataFrame:
 
 
 def daily_of(i: Inputs) -> DataFrame:
-    return usage.daily_utilization_local(i.usage_long, norway(i), LONG_LOCAL)
+    return usage.daily_utilization_local(i.usage_long(LONG_LOCAL), norway(i), LONG_LOCAL)
 
 
 def daily_utilization_local(i: Inputs) -> DataFrame:
-    return usage.daily_utilization_local(i.usage_short, norway(i), SHORT_LOCAL)
+    return usage.daily_utilization_local(i.usage_short(SHORT_LOCAL), norway(i), SHORT_LOCAL)
 
 
 def monthly_of(i: Inputs) -> DataFrame:
@@ -232,7 +230,7 @@ def timeseries_weeks(i: Inputs) -> DataFrame:
 
 
 def timeseries(i: Inputs) -> DataFrame:
-    profile = station_timeseries(i.usage_long, norway(i), LONG_LOCAL)
+    profile = station_timeseries(i.usage_long(LONG_LOCAL), norway(i), LONG_LOCAL)
     return profile.select(
         "id",
         "size_total",
@@ -253,8 +251,8 @@ def timeseries(i: Inputs) -> DataFrame:
 
 
 def static_of(i: Inputs) -> DataFrame:
-    spans = usage.station_span(i.usage_long, norway(i), LONG)
-    return station_profile.station_static(spans, norway(i), i.stations)
+    spans = usage.station_span(i.usage_long(LONG), norway(i), LONG)
+    return station_profile.station_static(spans, norway(i), i.all_stations)
 
 
 def station_static(i: Inputs) -> DataFrame:
@@ -262,7 +260,7 @@ def station_static(i: Inputs) -> DataFrame:
 
 
 def base_of(i: Inputs) -> DataFrame:
-    return feature_table.station_base(i.usage_long, norway(i), i.stations, LONG)
+    return feature_table.station_base(i.usage_long(LONG), norway(i), i.all_stations, LONG)
 
 
 # ---------------------------------------------------------------- surroundings
@@ -283,7 +281,7 @@ def metres(df: DataFrame) -> DataFrame:
 
 
 def poi_counts(i: Inputs, names: bool = False) -> DataFrame:
-    near = stage(usage.stations_with_usage(i.usage_long, norway(i), LONG), "near")
+    near = stage(usage.stations_with_usage(i.usage_long(LONG), norway(i), LONG), "near")
     return poi_proximity(near, i.pois, i.categories, names=names)
 
 
@@ -294,33 +292,33 @@ def poi_superclass(i: Inputs) -> DataFrame:
 
 
 def road_counts(i: Inputs, names: bool = False) -> DataFrame:
-    near = stage(usage.stations_with_usage(i.usage_long, norway(i), LONG), "near")
+    near = stage(usage.stations_with_usage(i.usage_long(LONG), norway(i), LONG), "near")
     return road_proximity(near, i.roads, names=names)
 
 
 def road_within_500m(i: Inputs) -> DataFrame:
     rule = st.SWITZERLAND_UNAPPROVED
     active = stage(
-        usage.active_stations(i.usage_short, st.eligible(i.stations, rule), SHORT, ACTIVE_DAYS), "active"
+        usage.active_stations(i.usage_short(SHORT), st.eligible(i.stations, rule), SHORT, ACTIVE_DAYS), "active"
     )
     found = metres(road_proximity(active, i.roads))
     return found.withColumn("roads_names", F.array_join("roads_names", "|")).orderBy("id", F.desc("roads_count"))
 
 
 def poi_features(i: Inputs) -> DataFrame:
-    return pivots.poi_features(poi_counts(i), summary_of(i), POI_SUPERCLASSES)
+    return pivots.poi_features(stage(poi_counts(i), "poi"), summary_of(i))
 
 
 def road_features(i: Inputs) -> DataFrame:
-    return pivots.road_features(road_counts(i), ROAD_CLASSES)
+    return pivots.road_features(stage(road_counts(i), "road"))
 
 
 def with_poi(i: Inputs) -> DataFrame:
-    return feature_table.station_with_poi(base_of(i), poi_counts(i), POI_SUPERCLASSES)
+    return feature_table.station_with_poi(base_of(i), stage(poi_counts(i), "poi"))
 
 
 def with_road(i: Inputs) -> DataFrame:
-    return feature_table.station_with_road(base_of(i), road_counts(i), ROAD_CLASSES)
+    return feature_table.station_with_road(base_of(i), stage(road_counts(i), "road"))
 
 
 def nearest_population(i: Inputs) -> DataFrame:
@@ -346,7 +344,7 @@ def clean_complete(i: Inputs) -> DataFrame:
 
 
 def merge_features(i: Inputs) -> DataFrame:
-    return feature_table.merged_features(i.usage_long, norway(i), i.stations, LONG, surroundings(i))
+    return feature_table.merged_features(i.usage_long(LONG), norway(i), i.all_stations, LONG, surroundings(i))
 
 
 def occupation_bins(i: Inputs) -> DataFrame:
@@ -381,9 +379,8 @@ def feature_score(i: Inputs) -> DataFrame:
 
 
 def performance_rank(i: Inputs) -> DataFrame:
-    known = summary_of(i).where(F.col("percentage_average").isNotNull())
     # compared to six digits, so that rounding noise makes no order
-    rounded = known.selectExpr("id", f"{SIX.format('percentage_average')} as percentage_average")
+    rounded = summary_of(i).selectExpr("id", f"{SIX.format('percentage_average')} as percentage_average")
     return scoring.performance_rank(stage(rounded, "usage"))
 
 
@@ -392,13 +389,12 @@ def local_center(i: Inputs) -> DataFrame:
 
 
 def near_shops(i: Inputs) -> DataFrame:
-    # a city here holds hundreds of stations, so a smaller share counts as many shops
-    near = features.near_shops(features.shop_count(i.station_flags), "city", least_share=0.005)
+    near = features.near_shops(features.shop_count(i.station_flags), "city")
     return near.select("id", "shop_count", "is_near_shops")
 
 
 def road_context(i: Inputs) -> DataFrame:
-    flags = features.road_context(pivots.road_flags(road_counts(i), ROAD_CLASSES))
+    flags = features.road_context(pivots.road_flags(stage(road_counts(i), "road")))
     return flags.select("id", "is_motorway", "is_highway_area", "is_residential_area")
 
 
@@ -428,7 +424,7 @@ def surroundings(i: Inputs) -> feature_table.Surroundings:
 
 
 def final_features(i: Inputs) -> DataFrame:
-    return feature_table.final_features(i.usage_long, norway(i), i.stations, LONG, surroundings(i))
+    return feature_table.final_features(i.usage_long(LONG), norway(i), i.all_stations, LONG, surroundings(i))
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {

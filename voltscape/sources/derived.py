@@ -6,12 +6,14 @@ sides start from the same rows.
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltscape.fixed_values import POI_CLASSES
+from voltscape.functions.calendar import DayWindow
 
 STATION = """
 select c_custkey as id,
@@ -20,7 +22,7 @@ select c_custkey as id,
        22 + (c_custkey*37) % 300 as capacity_kw,
        c_custkey % 6 as size_total,
        case when n_regionkey < 3 then 'Norway' else 'Sweden' end as country_name,
-       case c_custkey % 5 when 0 then 'Uno-X Mobility' when 1 then 'UNO charge'
+       case c_custkey % 5 when 0 then 'Uno Mobility' when 1 then 'UNO charge'
                           when 3 then 'Circle' when 4 then 'Mer' end as operator,
        c_name as title, concat('Street ', cast(c_custkey % 50 as varchar(10))) as address,
        10.56e0 + ((c_custkey*7919) % 7610)/1000.0e0 as lon,
@@ -28,6 +30,15 @@ select c_custkey as id,
 from {customer} join {nation} on c_nationkey = n_nationkey
 """
 
+# Some stations are listed twice in the unfiltered table, under another address and title.
+LISTED_TWICE = """
+select * from {station}
+union all
+select id, 'other' as source, is_approved, capacity_kw, size_total, 'Norge' as country_name, operator,
+       concat(title, ' (old)') as title, concat('Yard ', cast(id % 50 as varchar(10))) as address, lon, lat
+from {station} where id % 7 = 0
+"""
+
 USAGE_LONG = """
 select o_custkey as id, __HOUR__ as hour, o_totalprice/1000 as charging_duration,
        o_custkey % 6 as size_total, 22 + (o_custkey*37) % 300 as capacity_kw
@@ -88,6 +99,13 @@ SHORT_HOUR = "date_trunc('hour', cast(ts as timestamp))"
 ANCHOR = "p_partkey div 10"
 
 
+def _around(df: DataFrame, column: str, window: DayWindow) -> DataFrame:
+    """Rows whose stored time lies in the window, a day wider on either side: the hour is derived
+    from it, and this range reaches the file scan."""
+    first, last = window.start - timedelta(days=1), window.end + timedelta(days=2)
+    return df.where((F.col(column) >= F.lit(first)) & (F.col(column) < F.lit(last)))
+
+
 class Inputs:
     """The input relations over one folder of Parquet tables."""
 
@@ -101,22 +119,27 @@ class Inputs:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
-    def _derive(self, text: str, *tables: str) -> DataFrame:
-        return self.spark.sql(text, **{name: self.table(name) for name in tables})
+    def _derive(self, text: str, *tables: str, **frames: DataFrame) -> DataFrame:
+        return self.spark.sql(text, **{name: self.table(name) for name in tables}, **frames)
 
     @cached_property
     def stations(self) -> DataFrame:
         return self._derive(STATION, "customer", "nation")
 
     @cached_property
-    def usage_long(self) -> DataFrame:
-        """Six and a half years, some ten rows per station."""
-        return self._derive(USAGE_LONG.replace("__HOUR__", LONG_HOUR), "orders")
+    def all_stations(self) -> DataFrame:
+        """The unfiltered station table."""
+        return self._derive(LISTED_TWICE, station=self.stations)
 
-    @cached_property
-    def usage_short(self) -> DataFrame:
-        """One month of true hours."""
-        return self._derive(USAGE_SHORT.replace("__HOUR__", SHORT_HOUR), "events")
+    def usage_long(self, window: DayWindow) -> DataFrame:
+        """Six and a half years, some ten rows per station: the rows a window may need."""
+        rows = _around(self.table("orders"), "o_orderdate", window)
+        return self._derive(USAGE_LONG.replace("__HOUR__", LONG_HOUR), orders=rows)
+
+    def usage_short(self, window: DayWindow) -> DataFrame:
+        """One month of true hours: the rows a window may need."""
+        rows = _around(self.table("events"), "ts", window)
+        return self._derive(USAGE_SHORT.replace("__HOUR__", SHORT_HOUR), events=rows)
 
     @cached_property
     def pois(self) -> DataFrame:
@@ -177,7 +200,7 @@ def station_flags_sql() -> str:
     )
     center = POI_CLASSES.index("shopping_center")
     return f"""
-select o_custkey as id, min(c_nationkey) as city, {counts},
+select o_custkey as id, o_custkey - o_custkey % 3 as city, {counts},
        min(case when o_orderkey % 15 = {center} then o_totalprice/500 end) as poi_distance_shopping_center
 from {{orders}} join {{customer}} on o_custkey = c_custkey group by o_custkey
 """
