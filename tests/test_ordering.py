@@ -16,11 +16,11 @@ def values(seed, n):
     return [0.25 if rng.random() < 0.34 else round(rng.gauss(0, 1), 2) for _ in range(n)]
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 64])
-def test_running_counts(spark, buckets):
+@pytest.mark.parametrize("ranges", [None, 2, 7, 64])
+def test_running_counts(spark, ranges):
     data = values(1, 500)
     frame = spark.createDataFrame([(v,) for v in [*data, None]], "v double")
-    got = {r.v: (r.n, r.n_before) for r in running_counts(frame, "v", buckets=buckets).collect()}
+    got = {r.v: (r.n, r.n_before) for r in running_counts(frame, "v", ranges=ranges).collect()}
     assert got == {v: (data.count(v), sum(x < v for x in data)) for v in set(data)}
 
 
@@ -84,19 +84,24 @@ def test_score(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 30, 99, 100])
-def test_cut_rows_is_exact_and_whole(spark, n):
+def test_marked_rows_are_exact_and_whole(spark, n):
     # a third of the rows are copies of one row, so the cut falls into copies
     frame = spark.createDataFrame([(0 if i % 3 else i, i % 3) for i in range(100)], "id bigint, x int").withColumn("o", F.col("id") % 7)
-    first, rest = split.cut_rows(frame, n, "o")
-    assert (first.count(), rest.count()) == (n, 100 - n)
-    assert sorted(map(tuple, first.unionAll(rest).collect())) == sorted(map(tuple, frame.collect()))
+    frame = frame.union(spark.createDataFrame([(1, 1, None)] * 4, "id bigint, x int, o bigint"))
+    marked = split.marked_first(frame, n, "o", "m")
+    first, rest = marked.where("m").drop("m"), marked.where("not m").drop("m")
+    assert (first.count(), rest.count()) == (n, 104 - n)
+    assert sorted(map(str, first.unionAll(rest).collect())) == sorted(map(str, frame.collect()))
+    assert not first.where("o is null").count()
     if 0 < n < 100:
         assert first.agg(F.max("o")).first()[0] <= rest.agg(F.min("o")).first()[0]
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
 
 
-def test_cut_rows_needs_enough(spark):
+def test_marked_rows_need_enough(spark):
     with pytest.raises(ValueError):
-        split.cut_rows(spark.range(3).withColumn("o", F.col("id")), 4, "o")
+        split.marked_first(spark.range(3).withColumn("o", F.col("id")), 4, "o", "m")
 
 
 def test_repeated_rows_in_chunks(spark):

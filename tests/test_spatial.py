@@ -191,11 +191,11 @@ def test_spread_join_splits_hot_keys_without_loss(spark):
         assert spread.columns == ["k", "l", "r"]
 
 
-def test_salted_lookup_equals_join(spark):
+def test_lookup_pairs_equals_join(spark):
     left = spark.range(300).selectExpr("if(id < 200, 0, id) as k", "id as l")
     right = spark.range(300).selectExpr("id as k", "id * 2 as r")
     for known in (300, joins.BROADCAST_ROWS + 1):
-        looked = joins.salted_lookup(left, right, ["k"], right_rows=known)
+        looked = joins.lookup_pairs(left, right, ["k"], right_rows=known)
         assert sorted(map(tuple, looked.collect())) == sorted(map(tuple, left.join(right, "k").collect()))
 
 

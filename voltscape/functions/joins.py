@@ -73,17 +73,11 @@ def spread_join(
     return place(left, "_l", "_r").join(place(right, "_r", "_l"), [*on, "_l", "_r"]).drop("_l", "_r")
 
 
-def salted_lookup(
-    left: DataFrame, right: DataFrame, on: list[str], right_rows: int, salts: int = 16
-) -> DataFrame:
+def lookup_pairs(left: DataFrame, right: DataFrame, on: list[str], right_rows: int) -> DataFrame:
     """Inner equi-join whose right side has few rows per key, whatever the left side holds.
 
-    Each left key is dealt over `salts` tasks by a hash of the row, and the right side is
-    repeated as often, so no pass over the left side is needed to find its hot keys. A right
-    side known to have at most BROADCAST_ROWS rows is broadcast.
+    A right side known to have at most BROADCAST_ROWS rows is broadcast. Beyond that both sides
+    are shuffled, and adaptive execution cuts the partitions of hot left keys, repeating only
+    the right rows that go with them.
     """
-    if right_rows <= BROADCAST_ROWS:
-        return left.join(F.broadcast(right), on)
-    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(repeated, [*on, "_salt"]).drop("_salt")
+    return left.join(F.broadcast(right) if right_rows <= BROADCAST_ROWS else right, on)

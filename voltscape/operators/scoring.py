@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
-from voltscape.functions.joins import salted_lookup
+from voltscape.functions.joins import lookup_pairs
 from voltscape.functions.ordering import linear_quantiles, running_counts
 from voltscape.operators.cleaning import columns_ending, distance_columns
 
@@ -49,7 +49,7 @@ def occupation_rank(df: DataFrame) -> DataFrame:
 def feature_thresholds(df: DataFrame) -> DataFrame:
     """(metric, kind, threshold): a high quantile of counts, a low one of distances.
 
-    Reads `df` several times: write it first if it is costly.
+    Reads `df` once.
     """
     kinds = dict.fromkeys(distance_columns(df), fixed.DISTANCE_QUANTILE)
     kinds |= dict.fromkeys(columns_ending(df, "_count"), fixed.COUNT_QUANTILE)
@@ -91,7 +91,7 @@ def performance_rank(df: DataFrame, column: str = "percentage_average") -> DataF
     positions = running_counts(df.select(column), column).select(column, "n_before")
     rows = df.count()
     # there are no more positions than rows
-    ranked = salted_lookup(df.where(F.col(column).isNotNull()), positions, [column], right_rows=rows)
+    ranked = lookup_pairs(df.where(F.col(column).isNotNull()), positions, [column], right_rows=rows)
     scored = ranked.withColumn("score_performance", F.lit(rows) - F.col("n_before"))
     unknown = df.where(F.col(column).isNull()).withColumn("score_performance", F.lit(None).cast("bigint"))
     columns = [*df.columns, "score_performance"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
 from voltscape.functions import geo
-from voltscape.functions.joins import BROADCAST_ROWS, is_small, salted_lookup, spread_join
+from voltscape.functions.joins import BROADCAST_ROWS, is_small, lookup_pairs, spread_join
 
 WORLD_DEGREES = 360.0
 # cells a place may be repeated over
@@ -148,7 +148,7 @@ def nearest(places: DataFrame, points: DataFrame, key: str, value: str, leaf_poi
     for step in range(1, steps + 1):
         # at most 64 cells lie under one cell of the step before
         on = ["_cx", "_cy"] if step == 1 else ["_x", "_y"]
-        joined = salted_lookup(found, _cells(sites, step), on, right_rows=cell_counts[step])
+        joined = lookup_pairs(found, _cells(sites, step), on, right_rows=cell_counts[step])
         found = (
             joined.selectExpr(
                 "lon", "lat", "_cx as _x", "_cy as _y",
@@ -159,7 +159,7 @@ def nearest(places: DataFrame, points: DataFrame, key: str, value: str, leaf_poi
             .select("lon", "lat", "_x", "_y")
         )
     leaves = sites.selectExpr("lon as _plon", "lat as _plat", "_payload", *_cell(steps, "_x", "_y"))
-    candidates = salted_lookup(found, leaves, ["_x", "_y"], right_rows=site_count)
+    candidates = lookup_pairs(found, leaves, ["_x", "_y"], right_rows=site_count)
     best = candidates.groupBy("lon", "lat").agg(
         F.expr(f"min(struct({_squared('_plon', '_plat')} as d, _payload as p))").alias("_best")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
 from voltscape.functions.ordering import running_counts
+from voltscape.functions.staging import stage
 
 
 def operator_matches(df: DataFrame, pattern: str = fixed.OPERATOR_PATTERN) -> DataFrame:
@@ -23,38 +24,48 @@ def sample_ids(df: DataFrame, n: int, order: Column) -> DataFrame:
     return drawn
 
 
-def cut_rows(df: DataFrame, n: int, order: str) -> tuple[DataFrame, DataFrame]:
-    """(first `n` rows by the `order` column, the rest), without sorting the rows.
+def marked_first(df: DataFrame, n: int, order: str, mark: str) -> DataFrame:
+    """`df` with `mark`: whether a row is among the first `n` by the `order` column.
 
-    The number of rows per `order` value gives the value at which the cut falls; all other
-    rows are decided by one comparison. Only the rows at that value are looked at closely:
-    equal rows are counted, put in order, and split by number. Reads `df` several times: write
-    it first if it is costly.
+    The number of rows per `order` value gives the value at which the cut falls, and the number of
+    rows per hash of the row gives the place among the rows with that value: two comparisons
+    decide all rows but those with this value and hash. These are equal rows (of different rows
+    with one hash there are hardly any); they are counted and split by number. Reads `df`
+    several times: write it first if it is costly. Fails if there are fewer than `n` rows.
     """
     if n <= 0:
-        return df.limit(0), df
-    at = (
-        running_counts(df.select(order), order)
-        .where((F.col("n_before") < n) & (F.col("n_before") + F.col("n") >= n))
-        .first()
-    )
+        return df.withColumn(mark, F.lit(False))
+    at = _cut(df, order, n)
     if at is None:
         raise ValueError(f"fewer than {n} rows")
-    value, still = F.lit(at[order]), n - at["n_before"]
-    key = F.col(order)
-    by_content = Window.orderBy(*df.columns).rowsBetween(Window.unboundedPreceding, -1)
-    ties = (
-        df.where(key == value)
-        .groupBy(*df.columns)
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    key, value = F.col(order), F.lit(at[order])
+    still = n - at["n_before"]
+    among = _cut(hashed.where(key == value).select("_hash"), "_hash", still)
+    spot, left = F.lit(among["_hash"]), still - among["n_before"]
+    undecided = (key == value) & (F.col("_hash") == spot)
+    clear = hashed.where(~F.coalesce(undecided, F.lit(False))).withColumn(
+        mark, F.coalesce((key < value) | ((key == value) & (F.col("_hash") < spot)), F.lit(False))
+    )
+    # one row for each content with this hash
+    by_content = Window.partitionBy("_hash").orderBy(*df.columns).rowsBetween(Window.unboundedPreceding, -1)
+    counted = (
+        hashed.where(undecided)
+        .groupBy("_hash", *df.columns)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(by_content), F.lit(0)))
-        .withColumn("_in", F.least(F.greatest(still - F.col("_before"), F.lit(0)), F.col("_rows")))
-    )
-    first = df.where(key < value).unionByName(_repeated(ties, F.col("_in"), df.columns))
-    rest = df.where((key > value) | key.isNull()).unionByName(
-        _repeated(ties, F.col("_rows") - F.col("_in"), df.columns)
+        .withColumn("_in", F.least(F.greatest(F.lit(left) - F.col("_before"), F.lit(0)), F.col("_rows")))
     )
-    return first, rest
+    columns = [*df.columns, mark]
+    inside = _repeated(counted.withColumn(mark, F.lit(True)), F.col("_in"), columns)
+    outside = _repeated(counted.withColumn(mark, F.lit(False)), F.col("_rows") - F.col("_in"), columns)
+    return clear.select(*columns).unionByName(inside).unionByName(outside)
+
+
+def _cut(df: DataFrame, column: str, n: int):
+    """The value of `column` at which the first `n` rows end, and its counts."""
+    found = running_counts(df.select(column), column)
+    return found.where((F.col("n_before") < n) & (F.col("n_before") + F.col("n") >= n)).first()
 
 
 def _repeated(df: DataFrame, times: Column, columns: list[str], chunk: int = 10_000) -> DataFrame:
@@ -85,9 +96,10 @@ def split_assign(
     test_ids = sample_ids(operator_matches(candidates), test_stations, by_id)
     # as many rows as asked for at most, so a bounded broadcast
     test_ids = F.broadcast(test_ids)
-    test = df.join(test_ids, "id", "left_semi")
-    others = df.join(test_ids, "id", "left_anti").withColumn("_order", by_row)
-    validation, train = cut_rows(others, int(validation_share * df.count()), "_order")
-    parts = {"test": test, "validation": validation, "train": train}
-    labelled = [part.select(*df.columns, F.lit(name).alias("split")) for name, part in parts.items()]
-    return labelled[0].unionByName(labelled[1]).unionByName(labelled[2])
+    named = test_ids.select("id", F.lit(True).alias("_test"))
+    marked = df.join(named, "id", "left").select(*df.columns, F.coalesce("_test", F.lit(False)).alias("_test"))
+    keyed = stage(marked.withColumn("_order", F.when(~F.col("_test"), by_row)), "split")
+    # test rows have no order, so they are never among the first
+    drawn = marked_first(keyed, int(validation_share * keyed.count()), "_order", "_drawn")
+    part = F.when(F.col("_test"), "test").when(F.col("_drawn"), "validation").otherwise("train")
+    return drawn.select(*df.columns, part.alias("split"))
