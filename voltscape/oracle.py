@@ -151,7 +151,9 @@ STEPS: dict[str, str] = {
     "category": _source(derived.CATEGORY),
     "road_rows": _source(derived.ROAD),
     "population_all": _source(derived.POPULATION),
-    "boundary": _source(derived.BOUNDARY),
+    "boundary": """
+select * from (values (11.0, 65.2, 14.5, 65.0), (14.5, 65.0, 14.0, 67.0), (14.0, 67.0, 17.8, 68.2),
+                      (17.8, 68.2, 16.0, 69.4), (16.0, 69.4, 11.0, 65.2)) as t(x1, y1, x2, y2)""",
     "flags": _source(derived.station_flags_sql()),
     "elig": "select * from station where source = 'nobil' and is_approved and capacity_kw >= 50 and country_name = 'Norway'",
     "inside": """
@@ -269,12 +271,12 @@ STEPS["extract_rings"] = """
 select c_custkey as document, 'way/' || c_custkey as area, 'outer' as role, k as position,
        10 + (c_custkey % 500) / 100.0 + [0, 0.01, 0.01, 0][k % 4 + 1] as lon,
        60 + (c_custkey % 700) / 100.0 + [0, 0, 0.01, 0.01][k % 4 + 1] as lat
-from customer, range(5) t(k) where c_custkey % 3 <> 0
+from customer, range(5) t(k) where c_custkey % 3 <> 0 and c_custkey % 5 <> 0
 union all
 select c_custkey, 'relation/' || c_custkey, case when w = 0 then 'inner' else 'outer' end, k,
        10 + (c_custkey % 500) / 100.0 + [0, 0.01, 0.01, 0][k % 4 + 1],
        60 + (c_custkey % 700) / 100.0 + [0, 0, 0.01, 0.01][k % 4 + 1]
-from customer, range(2) u(w), range(5) t(k) where c_custkey % 3 <> 1 and (w = 0 or k < 2)"""
+from customer, range(2) u(w), range(5) t(k) where c_custkey % 3 <> 1 and ((w = 0 and c_custkey % 5 <> 0) or (w = 1 and k < 2))"""
 
 
 def bins(table: str) -> str:
@@ -593,6 +595,7 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
         ["value"],
     ),
     "residential_areas": ("select * from extract_rings", ["lon", "lat"]),
+    "incomplete_ways": ("select c_custkey as document, c_custkey as way, 1 as missing from customer where c_custkey % 5 = 0", []),
     "final_features": (final_features(), []),
 }
 STEPS["active"] = active("x.source = 'sw' and x.capacity_kw > 100")

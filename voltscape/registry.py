@@ -413,12 +413,17 @@ def sample_report(i: Inputs) -> DataFrame:
 
 
 def residential_areas(i: Inputs) -> DataFrame:
-    rings = tables.residential_rings(tables.extract_elements(i.extracts, "document"))
+    rings = tables.residential_rings(i.extracts)
     return rings.select("document", "area", "role", F.posexplode("coordinates").alias("position", "p")).select(
-        "document", "area", "role", "position", "p.lon", "p.lat"
+        F.col("document").cast("bigint").alias("document"), "area", "role", "position", "p.lon", "p.lat"
     )
 
 
+def incomplete_ways(i: Inputs) -> DataFrame:
+    found = tables.incomplete_ways(i.extracts)
+    return found.select(F.col("document").cast("bigint").alias("document"), "way", "missing")
+
+
 def surroundings(i: Inputs) -> feature_table.Surroundings:
     return feature_table.Surroundings(i.pois, i.categories, i.roads, population_scan(i))
 
@@ -486,6 +491,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "quality_report": quality_report,
     "sample_report": sample_report,
     "residential_areas": residential_areas,
+    "incomplete_ways": incomplete_ways,
     "final_features": final_features,
 }
 

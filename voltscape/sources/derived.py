@@ -6,14 +6,17 @@ sides start from the same rows.
 
 from __future__ import annotations
 
+import json
 from datetime import timedelta
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltscape.fixed_values import POI_CLASSES
 from voltscape.functions.calendar import DayWindow
+from voltscape.functions.staging import fresh_path
+from voltscape.sources import tables
 
 STATION = """
 select c_custkey as id,
@@ -88,11 +91,7 @@ select s_suppkey as pop_key,
 from {supplier}
 """
 
-BOUNDARY = """
-select * from (values (11.0e0,65.2e0,14.5e0,65.0e0), (14.5e0,65.0e0,14.0e0,67.0e0),
-                      (14.0e0,67.0e0,17.8e0,68.2e0), (17.8e0,68.2e0,16.0e0,69.4e0),
-                      (16.0e0,69.4e0,11.0e0,65.2e0)) as t(x1, y1, x2, y2)
-"""
+BOUNDARY = ((11.0, 65.2), (14.5, 65.0), (14.0, 67.0), (17.8, 68.2), (16.0, 69.4))
 
 LONG_HOUR = "cast(o_orderdate as timestamp) + make_dt_interval(0, cast(o_orderkey % 24 as int))"
 SHORT_HOUR = "date_trunc('hour', cast(ts as timestamp))"
@@ -106,6 +105,10 @@ def _around(df: DataFrame, column: str, window: DayWindow) -> DataFrame:
     return df.where((F.col(column) >= F.lit(first)) & (F.col(column) < F.lit(last)))
 
 
+def _point_text() -> Column:
+    return F.format_string("POINT (%.6f %.6f)", "lon", "lat").alias("geometry")
+
+
 class Inputs:
     """The input relations over one folder of Parquet tables."""
 
@@ -143,7 +146,9 @@ class Inputs:
 
     @cached_property
     def pois(self) -> DataFrame:
-        return self._derive(POI.replace("__ANCHOR__", ANCHOR), "part")
+        """Points of interest; their places arrive as text."""
+        rows = self._derive(POI.replace("__ANCHOR__", ANCHOR), "part")
+        return tables.read_points(rows.select("id", "fclass", "name", _point_text()), "geometry").drop("geometry")
 
     @cached_property
     def categories(self) -> DataFrame:
@@ -158,11 +163,24 @@ class Inputs:
 
     @cached_property
     def population(self) -> DataFrame:
-        return self._derive(POPULATION, "supplier")
+        """Population points; their places arrive as text."""
+        rows = self._derive(POPULATION, "supplier")
+        text = rows.select("pop_key", "population", "last_updated", _point_text())
+        return tables.read_points(text, "geometry").drop("geometry")
 
     @cached_property
     def boundary(self) -> DataFrame:
-        return self._derive(BOUNDARY)
+        """Edges of a GeoJSON file: the boundary is the first of its two features."""
+        ring = [[x, y] for x, y in (*BOUNDARY, BOUNDARY[0])]
+        other = [[[0, 0], [1, 0], [1, 1], [0, 0]]]
+        features = [
+            {"type": "Feature", "properties": {}, "geometry": {"type": "Polygon", "coordinates": rings}}
+            for rings in ([ring], other)
+        ]
+        path = fresh_path(self.spark, "boundary")
+        text = json.dumps({"type": "FeatureCollection", "features": features}, indent=1)
+        self.spark.createDataFrame([(text,)], "value string").write.text(path)
+        return tables.read_boundary(self.spark, path)
 
     @cached_property
     def station_flags(self) -> DataFrame:
@@ -171,7 +189,8 @@ class Inputs:
 
     @cached_property
     def extracts(self) -> DataFrame:
-        """One map extract per customer: a closed way, an open way and a relation of both."""
+        """Elements of one map extract per customer, written as JSON and read back: a closed way,
+        an open way and a relation of both. Every fifth lacks the last node of the closed way."""
         node = (
             "named_struct('type', 'node', 'id', {k}L, 'lat', 60 + (c_custkey % 700) / 100.0D + {y}D, "
             "'lon', 10 + (c_custkey % 500) / 100.0D + {x}D, 'nodes', cast(null as array<bigint>), 'members', {none}, 'tags', {no_tags})"
@@ -188,9 +207,13 @@ class Inputs:
         member = "named_struct('type', 'way', 'ref', {}, 'role', '{}')"
         members = f"array({member.format('c_custkey', 'inner')}, {member.format('-c_custkey - 1', 'outer')})"
         relation = other.format(t="relation", i="c_custkey", n="cast(null as array<bigint>)", m=members, g=home.format("c_custkey % 3 <> 1"))
-        return self.table("customer").selectExpr(
-            "c_custkey as document", f"array({', '.join([*nodes, ring, line, relation])}) as elements"
+        some = f"if(c_custkey % 5 = 0, array({', '.join(nodes[:3])}), array({', '.join(nodes)}))"
+        documents = self.table("customer").selectExpr(
+            "cast(c_custkey as string) as document", f"concat({some}, array({ring}, {line}, {relation})) as elements"
         )
+        path = fresh_path(self.spark, "extracts")
+        documents.write.json(path)
+        return tables.read_extracts(self.spark, path, lines=True)
 
 
 def station_flags_sql() -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,10 +107,14 @@ elements array<struct<
 """
 
 
-def read_extracts(spark: SparkSession, path: str) -> DataFrame:
-    """Elements of map-extract documents, one row per element, with their `document`."""
-    documents = spark.read.schema(EXTRACT).json(path, multiLine=True)
-    return extract_elements(documents.withColumn("document", F.input_file_name()), "document")
+def read_extracts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Elements of map-extract documents, one row per element, with their `document`.
+
+    A file holds one document, or with `lines` one on each line. A document is named by its
+    `document` member, or else by its file.
+    """
+    documents = spark.read.schema(f"document string, {EXTRACT}").json(path, multiLine=not lines)
+    return extract_elements(documents.withColumn("document", F.coalesce("document", F.input_file_name())), "document")
 
 
 def extract_elements(documents: DataFrame, document: str) -> DataFrame:
@@ -118,32 +122,54 @@ def extract_elements(documents: DataFrame, document: str) -> DataFrame:
     return documents.select(F.col(document).alias("document"), F.inline("elements"))
 
 
-def way_lines(elements: DataFrame) -> DataFrame:
-    """Each way of a document with its vertices in order and whether it is a closed ring.
-
-    Node ids are joined within the document. The vertices of one way are one row's value.
-    """
-    nodes = elements.where(F.col("type") == "node").select("document", F.col("id").alias("node"), "lon", "lat")
-    nodes = nodes.dropDuplicates(["document", "node"])
-    ways = elements.where(F.col("type") == "way").select(
-        "document", F.col("id").alias("way"), "tags", "nodes"
-    ).dropDuplicates(["document", "way"])
+def _ways(elements: DataFrame) -> DataFrame:
+    """Ways of each document with their vertices in order; a vertex whose node the document
+    lacks is NULL. Of several nodes or ways with one id the smallest counts."""
+    nodes = (
+        elements.where(F.col("type") == "node")
+        .groupBy("document", F.col("id").alias("node"))
+        .agg(F.min(F.struct("lon", "lat")).alias("_at"))
+    )
+    ways = (
+        elements.where(F.col("type") == "way")
+        .groupBy("document", F.col("id").alias("way"))
+        .agg(F.min(F.struct("nodes", F.to_json("tags").alias("tags"))).alias("_way"))
+        .select("document", "way", "_way.nodes", F.from_json("_way.tags", "map<string, string>").alias("tags"))
+    )
     links = ways.select("document", "way", F.posexplode("nodes").alias("position", "node"))
     vertices = (
-        links.join(nodes, ["document", "node"])
+        links.join(nodes, ["document", "node"], "left")
         .groupBy("document", "way")
-        .agg(F.sort_array(F.collect_list(F.struct("position", "lon", "lat"))).alias("_v"))
+        .agg(F.sort_array(F.collect_list(F.struct("position", "_at"))).alias("_v"))
     )
+    return ways.join(vertices, ["document", "way"])
+
+
+def _missing() -> Column:
+    return F.size(F.filter("_v", lambda v: v["_at"].isNull()))
+
+
+def way_lines(elements: DataFrame) -> DataFrame:
+    """Each whole way of a document with its vertices in order and whether it is a closed ring.
+
+    Node ids are joined within the document. A way of which the document lacks a node is no
+    line: incomplete_ways lists it. The vertices of one way are one row's value.
+    """
     closed = (F.size("nodes") > 3) & (F.try_element_at("nodes", F.lit(1)) == F.try_element_at("nodes", F.lit(-1)))
-    return ways.join(vertices, ["document", "way"]).select(
+    return _ways(elements).where(_missing() == 0).select(
         "document",
         "way",
         "tags",
-        F.transform("_v", lambda v: F.struct(v["lon"].alias("lon"), v["lat"].alias("lat"))).alias("coordinates"),
+        F.transform("_v", lambda v: v["_at"]).alias("coordinates"),
         F.coalesce(closed, F.lit(False)).alias("closed"),
     )
 
 
+def incomplete_ways(elements: DataFrame) -> DataFrame:
+    """(document, way, missing): ways with vertices whose node the document lacks."""
+    return _ways(elements).select("document", "way", _missing().alias("missing")).where("missing > 0")
+
+
 def residential_rings(elements: DataFrame) -> DataFrame:
     """Rings of residential areas: tagged closed ways, and the ways of tagged relations.
 
