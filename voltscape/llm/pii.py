@@ -167,7 +167,8 @@ def disclosures(docs: DataFrame, found: DataFrame, threshold: float = GENERALISE
     values = found.selectExpr("inline(array_distinct(found))").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value"))
     both = stage(both.join(values, ["kind", "value"]), "pairs")
     wanted = stage(both.select("term").distinct(), "terms")
-    known = attach(_term_counts(docs), wanted, ["term"], "left_semi")
+    # an inner join, as a semi-join would be moved below the counting and meet every batch's counts
+    known = attach(_term_counts(docs), wanted, ["term"])
     share = f"ln({total}D * n_both / (cast(n_value as double) * greatest(n_term, n_both))) / nullif(ln({total}D / n_value), 0D)"
     return both.join(known, "term").selectExpr("kind", "value", "term", f"{share} as share").where(f"share >= {threshold}")
 
