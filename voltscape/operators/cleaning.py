@@ -71,5 +71,5 @@ def fill_counts(df: DataFrame) -> DataFrame:
 
 
 def rounded(df: DataFrame, columns: list[str], rounding) -> DataFrame:
-    done: dict[str, Column] = {c: rounding(F.col(c)) for c in columns if c in df.columns}
+    done: dict[str, Column] = {c: rounding(F.col(f"`{c}`")) for c in columns if c in df.columns}
     return df.withColumns(done) if done else df

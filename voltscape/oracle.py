@@ -92,13 +92,26 @@ SEASON = "case " + " ".join(
 SEASON_ORDER = "case season " + " ".join(f"when '{n}' then {k}" for k, n in enumerate(fixed.SEASONS)) + " end"
 
 
+POI_NAMES = {
+    "Cafe and restaurant": "cafe_and_restaurant", "Hobby": "hobby", "Home": "home", "Service": "service",
+    "Food & drink": "food_&_drink", "24h-shop": "24h-shop",
+}
+
+
+def q(column: str) -> str:
+    return f'"{column}"'
+
+
 def poi_pivot() -> str:
-    names = [("Cafe and restaurant", "cafe_and_restaurant"), ("Hobby", "hobby"), ("Home", "home"), ("Service", "service")]
-    counts = ", ".join(f"coalesce(avg(p.poi_count) filter (where p.superclass = '{a}'), 0) as {b}_count" for a, b in names)
-    dists = ", ".join(f"coalesce(avg(p.dist) filter (where p.superclass = '{a}'), 0) as {b}_dist0" for a, b in names)
-    fixed_up = ", ".join(f"case when {b}_count = 0 and {b}_dist0 = 0 then 1000 else {b}_dist0 end as {b}_dist" for _, b in names)
+    names = POI_NAMES.items()
+    counts = ", ".join(f"coalesce(avg(p.poi_count) filter (where p.superclass = '{a}'), 0) as {q(b + '_count')}" for a, b in names)
+    dists = ", ".join(f"coalesce(avg(p.dist) filter (where p.superclass = '{a}'), 0) as {q(b + '_dist0')}" for a, b in names)
+    fixed_up = ", ".join(
+        f"case when {q(b + '_count')} = 0 and {q(b + '_dist0')} = 0 then 1000 else {q(b + '_dist0')} end as {q(b + '_dist')}"
+        for _, b in names
+    )
     return f"""
-select id, {', '.join(f'{b}_count' for _, b in names)}, {fixed_up} from (
+select id, {', '.join(q(b + '_count') for _, b in names)}, {fixed_up} from (
   select s.id, {counts}, {dists} from summary s left join poi_near p on s.id = p.id group by s.id) t"""
 
 
@@ -259,10 +272,10 @@ def _merged() -> str:
     kept = ["id", "size_total", "calendar_day_count", "active_days_count", "percentage_average",
             "average_daily_minutes", "capacity_kw", "title", "country_name", "lon", "lat"]
     roads = [f"road_distance_{c}" for c in WANTED_ROADS] + [f"road_count_{c}" for c in WANTED_ROADS]
-    pois = [f"{c}_{m}" for m in ("count", "dist") for c in ("cafe_and_restaurant", "hobby", "home", "service")]
+    pois = [f"{c}_{m}" for m in ("count", "dist") for c in POI_NAMES.values()]
     names = fixed.FEATURE_NAMES
     left = ", ".join(f"r.{c} as {names.get(c, c)}" for c in kept + roads)
-    return f"select {left}, p.operator, {', '.join(f'p.{c}' for c in pois)} from road_clean r left join poi_clean p on r.id = p.id"
+    return f"select {left}, p.operator, {', '.join(f'p.{q(c)}' for c in pois)} from road_clean r left join poi_clean p on r.id = p.id"
 
 
 STEPS["merged"] = _merged()
@@ -302,9 +315,7 @@ from (select * from merged_bins where {COMPLETE_SKIP}
       qualify row_number() over (partition by id order by station_name, country_name) = 1) m
 left join nearest n on m.id = n.id"""
 
-POI_METRICS = {f"{c}_count": 0.7 for c in ("cafe_and_restaurant", "hobby", "home", "service")} | {
-    f"{c}_dist": 0.3 for c in ("cafe_and_restaurant", "hobby", "home", "service")
-}
+POI_METRICS = {f"{c}_count": 0.7 for c in POI_NAMES.values()} | {f"{c}_dist": 0.3 for c in POI_NAMES.values()}
 BASE_METRICS = {"calendar_day_count": 0.7, "active_days_count": 0.7} | POI_METRICS
 ROAD_METRICS = {
     new: (0.7 if new.endswith("_count") else 0.3) for old, new in fixed.FEATURE_NAMES.items() if old.startswith("road_")
@@ -314,15 +325,15 @@ ROAD_METRICS = {
 def thresholds(table: str, metrics: dict[str, float]) -> str:
     return " union all ".join(
         f"select '{c}' as metric, '{'count' if p == 0.7 else 'distance'}' as kind, "
-        f"quantile_cont(cast({c} as double), {p}::double) as threshold from {table}"
+        f"quantile_cont(cast({q(c)} as double), {p}::double) as threshold from {table}"
         for c, p in metrics.items()
     )
 
 
 def score(table: str, metrics: dict[str, float]) -> str:
-    limits = ", ".join(f"quantile_cont(cast({c} as double), {p}::double) as t_{c}" for c, p in metrics.items())
+    limits = ", ".join(f"quantile_cont(cast({q(c)} as double), {p}::double) as {q('t_' + c)}" for c, p in metrics.items())
     met = " + ".join(
-        f"case when a.{c} {'>=' if p == 0.7 else '<='} t.t_{c} then 1 else 0 end" for c, p in metrics.items()
+        f"case when a.{q(c)} {'>=' if p == 0.7 else '<='} t.{q('t_' + c)} then 1 else 0 end" for c, p in metrics.items()
     )
     return f"""
 select a.*, greatest(0, least(10, ({met}) / {float(len(metrics) + 2)} * 10)) as good_feature_score
@@ -351,7 +362,7 @@ def rounded(table: str, columns: list[str]) -> str:
     """`table` with `columns` to six digits, distances to the millimetre."""
     if not columns:
         return f"select * from {table}"
-    done = (f"{r3(c) if is_distance(c) else r6(c)} as {c}" for c in columns)
+    done = (f"{r3(q(c)) if is_distance(c) else r6(q(c))} as {q(c)}" for c in columns)
     return f"select * replace ({', '.join(done)}) from {table}"
 
 
@@ -376,7 +387,7 @@ FINAL_ADDED = [c for c in (f"{n}_count" for members in fixed.POI_GROUPS.values()
 
 def final_features() -> str:
     def half_even(c: str) -> str:
-        return f"cast(round_even(cast({c} as double), 2) as double)"
+        return f"cast(round_even(cast({q(c)} as double), 2) as double)"
 
     added = [c for c in dict.fromkeys(FINAL_ADDED) if c not in FINAL_COUNT]
     plain = ["id", "size_total", "capacity_kw", "station_name", "country_name", "operator",
@@ -385,7 +396,7 @@ def final_features() -> str:
     return f"""
 select {', '.join(plain)}, {r6('lon')} as lng, {', '.join(f'{r6(c)} as {c}' for c in six)},
        printf('(%.3f, %.3f]', occupation_low, occupation_high) as occupation_rate,
-       {', '.join(f'{half_even(c)} as {c}' for c in FINAL_DIST + FINAL_COUNT)},
+       {', '.join(f'{half_even(c)} as {q(c)}' for c in FINAL_DIST + FINAL_COUNT)},
        {', '.join(f'cast(0 as double) as {c}' for c in added)},
        {half_even('population')} as population, {half_even('total_time_spent')} as total_time_spent,
        {half_even('good_feature_score')} as good_feature_score,

@@ -277,7 +277,7 @@ def poi_within_500m(i: Inputs) -> DataFrame:
 def metres(df: DataFrame) -> DataFrame:
     """Distances to the millimetre: the last bits depend on the sine in use."""
     columns = [c for c in df.columns if c.endswith("_dist") or c.startswith(("road_distance_", "closest_distance"))]
-    return df.withColumns({c: F.expr(f"cast(floor({c} * 1e3D + 0.5D) as double) / 1e3D") for c in columns})
+    return df.withColumns({c: F.expr(f"cast(floor(`{c}` * 1e3D + 0.5D) as double) / 1e3D") for c in columns})
 
 
 def poi_counts(i: Inputs, names: bool = False) -> DataFrame:

@@ -66,6 +66,8 @@ select * from (values ('Cafe and restaurant', array('ECONOMY', 'LARGE')),
                       ('Hobby', array('LARGE')),
                       ('Home', array('MEDIUM')),
                       ('Service', array('PROMO')),
+                      ('Food & drink', array('ECONOMY')),
+                      ('24h-shop', array('PROMO', 'SMALL')),
                       (null, array('SMALL'))) as t(superclass, subclass)
 """
 
