@@ -415,9 +415,10 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
     ),
     "population_scan": ("select * from pop_points", ["lon", "lat"]),
     "road_scan": (
-        """select id, class, name, x1 as lon1, y1 as lat1, x2 as lon2, y2 as lat2 from road_rows
-           where country = 'Switzerland'""",
-        ["lon1", "lat1", "lon2", "lat2"],
+        """select id, class, name, position, lon, lat from (
+             select *, 0 as position, x1 as lon, y1 as lat from road_rows
+             union all select *, 1, x2, y2 from road_rows) r where country = 'Switzerland'""",
+        ["lon", "lat"],
     ),
     "wkt_points": ("select id, lon as lng, lat from poi", ["lng", "lat"]),
     "wkt_lines": (
@@ -467,9 +468,10 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
     "month_share_average": ("select * from share_avg", ["month_share_avg"]),
     "season_totals": ("select * from seasons", []),
     "peak_month": (
-        """select p.id, n.months, p.peak_month from peak_m p
-           join (select id, count(*) as months from month_util group by id) n on p.id = n.id""",
-        [],
+        """select p.id, p.peak_month, row_number() over (partition by p.id order by n.month_num) - 1 as position,
+                  n.month_num, n.month_avg_utilization_pct
+           from peak_m p join month_util n on p.id = n.id""",
+        ["month_avg_utilization_pct"],
     ),
     "peak_season": ("select * from peak_s", []),
     "timeseries_months": (
@@ -522,7 +524,7 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
     "station_with_road": ("select * from base_road", BASE_DOUBLE + ROAD_DIST),
     "clean_poi": ("select w.* from poi_wide w where w.id in (select id from poi_clean)", POI_DIST),
     "clean_road": (
-        "select id, operator, " + ", ".join(f"road_distance_{c}" for c in fixed.CHECKED_ROAD_CLASSES) + " from road_clean",
+        "select id, operator, " + ", ".join(f"road_distance_{c}" for c in fixed.CHECKED_ROAD_CLASSES) + " from road_clean where id % 11 <> 0",
         [f"road_distance_{c}" for c in fixed.CHECKED_ROAD_CLASSES],
     ),
     "clean_complete": (f"select id, operator, occupation_bin from base_bins where {COMPLETE_SKIP}", []),

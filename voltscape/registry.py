@@ -78,8 +78,10 @@ def population_scan(i: Inputs) -> DataFrame:
 
 
 def road_scan(i: Inputs) -> DataFrame:
-    ends = [F.col("coordinates")[k][c].alias(f"{c}{k + 1}") for k in (0, 1) for c in ("lon", "lat")]
-    return roads_of(i.roads, fixed.ROAD_COUNTRY_SWITZERLAND).select("id", "class", "name", *ends)
+    rows = roads_of(i.roads, fixed.ROAD_COUNTRY_SWITZERLAND)
+    return rows.select("id", "class", "name", F.posexplode("coordinates").alias("position", "p")).select(
+        "id", "class", "name", "position", "p.lon", "p.lat"
+    )
 
 
 def wkt_points(i: Inputs) -> DataFrame:
@@ -88,10 +90,8 @@ def wkt_points(i: Inputs) -> DataFrame:
 
 
 def wkt_lines(i: Inputs) -> DataFrame:
-    c = F.col("coordinates")
-    text = F.format_string(
-        "LINESTRING (%.6f %.6f, %.6f %.6f)", c[0]["lon"], c[0]["lat"], c[1]["lon"], c[1]["lat"]
-    )
+    vertices = F.transform("coordinates", lambda c: F.format_string("%.6f %.6f", c["lon"], c["lat"]))
+    text = F.concat(F.lit("LINESTRING ("), F.array_join(vertices, ", "), F.lit(")"))
     lines = tables.read_lines(i.roads.select("id", text.alias("geometry")), "geometry")
     return lines.select("id", F.posexplode("coordinates").alias("position", "p")).select(
         "id", "position", "p.lon", "p.lat"
@@ -205,7 +205,10 @@ def season_totals(i: Inputs) -> DataFrame:
 
 
 def peak_month(i: Inputs) -> DataFrame:
-    return series.peak_month(month_of_year(i)).select("id", F.size("month_util").alias("months"), "peak_month")
+    months = series.peak_month(month_of_year(i))
+    return months.select("id", "peak_month", F.posexplode("month_util").alias("position", "m")).select(
+        "id", "peak_month", "position", "m.*"
+    )
 
 
 def peak_season(i: Inputs) -> DataFrame:
@@ -336,7 +339,10 @@ def clean_poi(i: Inputs) -> DataFrame:
 
 
 def clean_road(i: Inputs) -> DataFrame:
-    return cleaning.with_roads(stage(with_road(i), "road")).select("id", "operator", *cleaning.CHECKED_ROAD_COLUMNS)
+    # a road table that lacks some stations: these have no road at all and go
+    known = stage(road_counts(i), "road").where("id % 11 <> 0")
+    joined = stage(feature_table.station_with_road(base_of(i), known), "road")
+    return cleaning.with_roads(joined).select("id", "operator", *cleaning.CHECKED_ROAD_COLUMNS)
 
 
 def clean_complete(i: Inputs) -> DataFrame:
