@@ -123,10 +123,10 @@ def fit(docs: DataFrame, labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
     found = map_rows(texts, "h long, label int, term array<short>, n array<float>", kernel).orderBy("h", "label").limit(2 * rows)
     table = found.toArrow()
     counts = np.zeros((table.num_rows, TERMS), np.float32)
-    lengths = np.array([len(x) for x in table["term"].to_pylist()], np.int64)
-    at = np.repeat(np.arange(len(lengths)), lengths)
-    if len(at):
-        counts[at, np.concatenate([x for x in table["term"].to_pylist()]).astype(int)] = np.concatenate(table["n"].to_pylist())
+    if table.num_rows:
+        terms, n = (table[c].combine_chunks() for c in ("term", "n"))
+        row = np.repeat(np.arange(table.num_rows), np.diff(terms.offsets.to_numpy()))
+        counts[row, terms.flatten().to_numpy()] = n.flatten().to_numpy()
     labels = np.array(table["label"].to_pylist(), float)
     idf = inverse_frequencies(docs)
     weights = _weighted(counts, idf)
