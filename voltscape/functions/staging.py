@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,11 +38,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clear(spark: SparkSession) -> int:
-    """Delete what this application has staged; call it when its results are written. Returns
-    the number of folders."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
-    for path in paths:
+def clear(spark: SparkSession, but: int = 0) -> int:
+    """Delete what this application has staged, except the first `but` folders; call it when its
+    results are written. Returns the number of folders."""
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    gone, paths[but:] = paths[but:], []
+    for path in gone:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    return len(paths)
+    return len(gone)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes at the end: the result must be written by then."""
+    kept = len(_written.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        clear(spark, kept)
