@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltscape.functions.staging import stage
+from voltscape.functions.staging import fresh_path, temporary
 from voltscape.llm import decontaminate, mixing, pii, quality_rules, simhash
 from voltscape.llm.common import table
 
@@ -47,7 +47,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other; each result is written once, and what a stage has written
+    on its way goes with it. The last result stays until `staging.clear`."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = fresh_path(spark, name.replace(" ", "-"))
+        with temporary(spark):
+            step(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -22,6 +22,8 @@ from voltscape.llm.common import attach
 ARCHIVE_BYTES = 16 << 20
 #: Captures that one merge task holds.
 RANGE_ROWS = 200_000
+#: Capture time where the pages tell none: a second per page_id, within three years from 2024.
+DATE = "timestamp_seconds(1704067200 + pmod(coalesce(cast(page_id as bigint), 0L), 94608000L))"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: Two empty lines end a record; the text sink writes them after each.
 _RECORD_END = "\r\n\r\n"
@@ -34,7 +36,7 @@ def base32(hexadecimal: str) -> str:
     return f"concat({', '.join(letters)})"
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "timestamp_seconds(1704067200 + coalesce(page_id, 0))") -> None:
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = DATE) -> None:
     """Write one WARC record per row of `pages` (page_id, url, html, any more) below `path`.
 
     The payload is the html in UTF-8, NULL empty. Of records with equal payloads of at least
