@@ -52,6 +52,19 @@ def test_equals_brute_force(spark, monkeypatch, contexts):
     assert check(spark, mixed_rows()) > 10_000
 
 
+def test_groups_cover_what_is_removed(spark):
+    rows = mixed_rows()
+    texts = {i: t.encode() for i, t, *_ in rows}
+    groups, spans = {}, {i: [] for i in texts}
+    for r in repeats.repeats(documents(spark, rows), SIZE).collect():
+        groups.setdefault(r.grp, set()).add(texts[r.doc_id][r.start : r.start + r.length])
+        spans[r.doc_id].append((r.start, r.start + r.length))
+    # all members of a group are one string
+    assert all(len(strings) == 1 and len(next(iter(strings))) >= SIZE for strings in groups.values())
+    removed = {r.doc_id: r.n_removed for r in repeats.without_repeats(documents(spark, rows), SIZE).collect()}
+    assert {i: sum(b - a for a, b in repeats.merged(own)) for i, own in spans.items()} == removed
+
+
 def test_long_texts_in_parts(spark, monkeypatch):
     monkeypatch.setattr(repeats, "PART", 128)
     check(spark, mixed_rows()[:80] + [(900, prose(1, 3000), "en", "a"), (901, "x" + prose(1, 3000), "en", "a")])

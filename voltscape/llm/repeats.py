@@ -192,12 +192,10 @@ def _common(a: bytes, b: bytes) -> int:
     return first if n and apart[first] else n
 
 
-_REPEAT = "anchor long, context long, grp long, start int, length int"
-
-
-def _in_buckets(contexts: DataFrame, size: int) -> DataFrame:
-    """Repeats among the contexts of each anchor, a partition's buckets at a time."""
-    wanted = StructType.fromDDL(_REPEAT)
+def _in_buckets(contexts: DataFrame, size: int, schema: str, kernel) -> DataFrame:
+    """`kernel` over the contexts of a partition, whole buckets at a time: it gets the rows and the
+    maximal repeats among them, and gives columns of `schema`."""
+    wanted = StructType.fromDDL(schema)
     arrow = to_arrow_schema(wanted)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,20 +209,33 @@ def _in_buckets(contexts: DataFrame, size: int) -> DataFrame:
                 stop += 1
             part = rows[at:stop]
             at = stop
-            texts = [r["data"] for r in part]
-            repeats = maximal(texts, [r["anchor"] for r in part], [r["windows"] for r in part], size)
-            out = [
-                (part[t]["anchor"], part[t]["context"], _named(texts[t][start : start + length]), start, length)
-                for _, t, start, length in repeats
-            ]
-            # a context that occurs several times is a repeat as a whole
-            out += [(r["anchor"], r["context"], _named(r["data"]), 0, len(r["data"])) for r in part if r["n"] > 1]
+            repeated = maximal([r["data"] for r in part], [r["anchor"] for r in part], [r["windows"] for r in part], size)
+            out = kernel(part, repeated)
             if out:
                 yield pa.RecordBatch.from_pydict(dict(zip(arrow.names, map(list, zip(*out)))), schema=arrow)
 
     return contexts.repartition("anchor").mapInArrow(compare, wanted)
 
 
+def _groups_of(part: list[dict], repeated: list[tuple[int, int, int, int]]) -> list[tuple]:
+    """A row for each group and member; a context that occurs several times is a group as a whole."""
+    out = [
+        (part[t]["anchor"], part[t]["context"], _named(part[t]["data"][start : start + length]), start, length)
+        for _, t, start, length in repeated
+    ]
+    return out + [(r["anchor"], r["context"], _named(r["data"]), 0, len(r["data"])) for r in part if r["n"] > 1]
+
+
+def _spans_of(part: list[dict], repeated: list[tuple[int, int, int, int]]) -> list[tuple]:
+    """One row for each context with repeats: what all its groups cover together."""
+    spans: dict[int, list[tuple[int, int]]] = {t: [(0, len(r["data"]))] for t, r in enumerate(part) if r["n"] > 1}
+    for _, t, start, length in repeated:
+        spans.setdefault(t, []).append((start, start + length))
+    return [
+        (part[t]["anchor"], part[t]["context"], [{"a": a, "b": b} for a, b in merged(own)]) for t, own in spans.items()
+    ]
+
+
 def _named(data: bytes) -> int:
     return xxhash.xxh64_intdigest(data) - (1 << 63)
 
@@ -249,28 +260,19 @@ def _by_digest(contexts: DataFrame, size: int) -> DataFrame:
         kernel,
     )
     often = strings.groupBy("high", "low").agg(F.sum("n").alias("_n")).where("_n > 1").select("high", "low")
-    found = strings.join(often, ["high", "low"])
-    return found.selectExpr("anchor", "context", "high as grp", "start", f"{size} as length")
+    return strings.join(often, ["high", "low"]).selectExpr("anchor", "context", "high as grp", "start", f"{size} as length")
 
 
-def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(grp, doc_id, hash, start, length): repeated strings of at least `size` bytes, as groups
-    with all their occurrences; start and length are bytes, hash is that of the text.
-
-    A repeat is maximal within the contexts it lies in (see the module): a longer string common to
-    two texts comes out as overlapping groups, one per anchor on its way, that together cover it.
-    Only contexts whose anchor occurs elsewhere leave the first scan's rows; of equal contexts one
-    is fetched as bytes, so a group of copies costs one comparison however large it is.
-    """
+def _compared(docs: DataFrame, size: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(alike, differ, bounded, full): occurrences of contexts whose anchor occurs elsewhere, in the
+    same context only or also in others; and the different contexts of the latter as bytes, one of
+    equal ones, in buckets of at most BUCKET_CONTEXTS and in fuller ones."""
     found = stage(_occurrences(docs, size), "contexts")
     anchors = found.groupBy("anchor").agg(
         F.sum(F.size("starts")).alias("_n"), F.min("context").alias("_a"), F.max("context").alias("_b")
     )
     anchors = anchors.where("_n > 1").selectExpr("anchor", "_a = _b as _same")
     shared = stage(found.join(anchors, "anchor"), "shared")
-    alike = shared.where("_same").selectExpr(
-        "context as grp", "doc_id", "hash", "explode(starts) as start", f"windows - 1 + {size} as length"
-    )
     differ = shared.where("not _same")
     first = differ.groupBy("anchor", "context", "windows").agg(
         F.sum(F.size("starts")).alias("n"), F.min(F.struct("doc_id", "hash", F.col("starts")[0].alias("start"))).alias("_at")
@@ -282,16 +284,44 @@ def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     )
     contexts = stage(placed, "bytes")
     full = stage(contexts.groupBy("anchor").count().where(f"count > {BUCKET_CONTEXTS}").select("anchor"), "full")
-    within = stage(
-        _in_buckets(attach(contexts, full, ["anchor"], "left_anti"), size).union(
-            _by_digest(attach(contexts, full, ["anchor"], "left_semi").dropDuplicates(["anchor", "context"]), size)
-        ),
-        "repeats",
+    return (
+        shared.where("_same"),
+        differ,
+        attach(contexts, full, ["anchor"], "left_anti"),
+        attach(contexts, full, ["anchor"], "left_semi").dropDuplicates(["anchor", "context"]),
     )
+
+
+def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
+    """(grp, doc_id, hash, start, length): repeated strings of at least `size` bytes, as groups
+    with all their occurrences; start and length are bytes, hash is that of the text.
+
+    A repeat is maximal within the contexts it lies in (see the module): a longer string common to
+    two texts comes out as overlapping groups, one per anchor on its way, that together cover it.
+    Groups may hold one another, so their occurrences can be many more than the texts.
+    """
+    alike, differ, bounded, full = _compared(docs, size)
+    schema = "anchor long, context long, grp long, start int, length int"
+    within = stage(_in_buckets(bounded, size, schema, _groups_of).union(_by_digest(full, size)), "repeats")
+    whole = alike.selectExpr("context as grp", "doc_id", "hash", "explode(starts) as start", f"windows - 1 + {size} as length")
     spread = differ.join(within, ["anchor", "context"]).selectExpr(
         "grp", "doc_id", "hash", "start", "length", "explode(starts) as _first"
     )
-    return alike.union(spread.selectExpr("grp", "doc_id", "hash", "_first + start", "length"))
+    return whole.union(spread.selectExpr("grp", "doc_id", "hash", "_first + start", "length"))
+
+
+def covered(docs: DataFrame, size: int = SIZE) -> DataFrame:
+    """(doc_id, hash, starts, spans): the contexts with repeats, at which bytes of the text they
+    start and which of their own bytes the groups of `repeats` cover. One row for each context and
+    text, whatever the number of groups."""
+    alike, differ, bounded, full = _compared(docs, size)
+    schema = "anchor long, context long, spans array<struct<a: int, b: int>>"
+    strings = _by_digest(full, size).groupBy("anchor", "context").agg(
+        F.expr("collect_set(struct(start as a, start + length as b)) as spans")
+    )
+    within = stage(_in_buckets(bounded, size, schema, _spans_of).union(strings), "spans")
+    whole = alike.selectExpr("doc_id", "hash", "starts", f"array(struct(0 as a, windows - 1 + {size} as b)) as spans")
+    return whole.union(differ.join(within, ["anchor", "context"]).select("doc_id", "hash", "starts", "spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -306,9 +336,9 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _with_spans(docs: DataFrame, size: int) -> DataFrame:
-    spans = repeats(docs, size).selectExpr("doc_id as _id", "hash as _hash", "struct(start as a, start + length as b) as s")
-    per_doc = spans.groupBy("_id", "_hash").agg(F.collect_set("s").alias("spans"))
-    return _texts(docs).join(per_doc, F.expr("doc_id <=> _id and hash = _hash"), "left").select("doc_id", "text", "spans")
+    found = covered(docs, size).selectExpr("doc_id as _id", "hash as _hash", "struct(starts, spans) as s")
+    per_doc = found.groupBy("_id", "_hash").agg(F.collect_list("s").alias("found"))
+    return _texts(docs).join(per_doc, F.expr("doc_id <=> _id and hash = _hash"), "left").select("doc_id", "text", "found")
 
 
 def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -324,8 +354,8 @@ def without_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
     def kernel(batch: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"doc_id": batch["doc_id"], "n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
-        for data, spans in zip(batch["text"], batch["spans"]):
-            gone = merged([(s["a"], s["b"]) for s in spans or []])
+        for data, found in zip(batch["text"], batch["found"]):
+            gone = merged([(at + s["a"], at + s["b"]) for f in found or [] for at in f["starts"] for s in f["spans"]])
             parts, at = [], 0
             for a, b in gone:
                 parts.append(data[at:a])
