@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voltscape import fixed_values as fixed
 from voltscape.functions import geo
 from voltscape.functions.joins import BROADCAST_ROWS, is_small, lookup_pairs, spread_join
+from voltscape.functions.staging import stage
 
 WORLD_DEGREES = 360.0
 # cells a place may be repeated over
@@ -134,7 +135,8 @@ def nearest(places: DataFrame, points: DataFrame, key: str, value: str, leaf_poi
     cell - and looks only into their occupied children. So a place follows a few cells per
     step however dense the points are, and a full cell far away is dropped unopened.
     """
-    sites = points.groupBy("lon", "lat").agg(F.min(F.struct(key, value)).alias("_payload"))
+    # every step reads the points: once from their source, then from here
+    sites = stage(points.groupBy("lon", "lat").agg(F.min(F.struct(key, value)).alias("_payload")), "sites")
     steps, cell_counts, site_count = _steps_needed(sites, leaf_points)
     known = places.where("lon is not null and lat is not null").select("lon", "lat").distinct()
     if not steps:
