@@ -61,3 +61,20 @@ def test_odd_rows(spark):
     assert len({r.digest for r in got if r.doc_id in (1, 2, 3)}) == 1
     assert licenses.scan(documents(spark, []), known).count() == 0
     assert {r.license_id for r in licenses.scan(documents(spark, rows), known.limit(0)).collect()} == {None}
+
+
+def test_whole_licenses(spark):
+    """Full texts as they are passed on: titled, with a holder's line, without the appendix."""
+    held = "Copyright (c) 2020 X"
+    files = dict(licenses._long_texts())
+    named = [(name, text) for name, text in licenses._long_texts()]
+    named += [("MIT", f"MIT License\n\n{held}\n\n{MIT}"), ("MIT", f"The MIT License (MIT)\n{held}\nAll rights reserved.\n\n{MIT}")]
+    named += [("BSD-2-Clause", f"BSD 2-Clause License\n\n{held}, Y\n\n{files['BSD-2-Clause']}")]
+    named += [("Apache-2.0", files["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 X"))]
+    named += [("Apache-2.0", files["Apache-2.0"].split("APPENDIX")[0]), ("GPL-3.0-only", files["GPL-3.0-only"].split("How to Apply")[0])]
+    named += [("GPL-2.0-only", files["GPL-2.0-only"].split("Version 2, June 1991\n", 1)[1])]
+    named += [(None, f"MIT License\n\n{held}"), (None, files["Apache-2.0"][:5000])]
+    rows = [(i, text, "en", "a") for i, (_, text) in enumerate(named)]
+    got = {r.doc_id: r.license_id for r in licenses.scan(documents(spark, rows), licenses.known_licenses(spark)).collect()}
+    assert [got[i] for i in range(len(named))] == [name for name, _ in named]
+    assert {"Apache-2.0", "GPL-2.0-only", "LGPL-3.0-only", "MPL-2.0", "BSD-2-Clause", "CC0-1.0", "Unlicense"} <= set(files)

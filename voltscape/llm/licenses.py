@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from importlib.resources import files
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +30,8 @@ NOTICES = (
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
 )
-#: Whole licences, one line per paragraph.
-TEXTS = (
+#: Whole licences that are short, one line per paragraph; the long ones lie in `license_texts`.
+SHORT_TEXTS = (
     (
         "ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
@@ -53,6 +57,25 @@ TEXTS = (
         "IN THE SOFTWARE.",
     ),
 )
+#: Headings that stand before a text that has none of its own.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License"),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+#: Paragraphs that are the heading of a text that has one: one, unless stated here.
+HEADINGS = {"CC0-1.0": 2, "MPL-1.1": 2}
+#: Where instructions for users of the licence begin, which many copies leave out.
+APPENDIX = r"(?m)^\s*(APPENDIX: How to apply|Appendix: How to Apply|How to Apply These Terms|ADDENDUM: How to use)"
+END = r"END OF TERMS AND CONDITIONS\s*\Z"
+#: Wording that differs between issues of one text.
+ISSUES = (
+    (r"https://", "http://"),
+    (r"51\s+Franklin\s+St(?:reet)?,\s+Fifth\s+Floor,\s+Boston,\s+MA\s+02110-1301", "59 Temple Place, Suite 330, Boston, MA 02111-1307"),
+    (r"http://(?=www\.apache\.org|unlicense\.org)", "https://"),
+)
 #: Spellings that count as equal, as whole words.
 SPELLINGS = (
     ("licence", "license"),
@@ -71,6 +94,39 @@ SPELLINGS = (
 # -------------------------------------------------------------------------------
 
 
+def _forms(name: str, text: str) -> list[str]:
+    """The ways in which a text is commonly given: with and without its heading, its appendix and
+    the words that end it, with the copyright line of the appendix filled in, and as other issues."""
+    found = [text]
+    if name in TITLES:
+        if name.startswith("BSD"):
+            # a copyright line without a year is part of the canonical form
+            found += [re.sub(r"\ACopyright.*\n(All rights reserved\.\n)?\s*", "", text)]
+            # some copies have bullets for numbers
+            found += [re.sub(r"(?m)^[ \t]*[0-9]\.[ \t]", " ", t) for t in found]
+        if name != "Unlicense":
+            found += [f"All rights reserved.\n\n{t}" for t in found]
+        found += [f"{title}\n\n{t}" for title in TITLES[name] for t in found]
+    else:
+        found += ["\n\n".join(re.split(r"\n\s*\n", text.strip("\n\f "))[HEADINGS.get(name, 1) :])]
+        found += [re.sub(r"(?m)^[ \t]*Copyright \[yyyy\].*$", "", t) for t in found]
+        short = [t[: m.start()] for t in found if (m := re.search(APPENDIX, t))]
+        found += short + [re.sub(END, "", t) for t in short]
+    for old, new in ISSUES:
+        found += [re.sub(old, new, t) for t in found]
+    return list(dict.fromkeys(found))
+
+
+def _long_texts() -> list[tuple[str, str]]:
+    paths = sorted((files("voltscape.llm") / "license_texts").iterdir(), key=lambda p: p.name)
+    # several wordings of one licence are told apart by what follows @
+    return [(p.name.removesuffix(".txt").split("@")[0], p.read_text("utf-8")) for p in paths if p.name.endswith(".txt")]
+
+
+#: Every form of every whole licence.
+TEXTS = tuple((name, form) for name, text in (*_long_texts(), *SHORT_TEXTS) for form in reversed(_forms(name, text)))
+
+
 #: A line that states a copyright: a mark and a year on it.
 COPYRIGHT_LINE = r"(?mid)^[ \t]*(copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$"
 NO_WORD = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
@@ -90,8 +146,10 @@ def canonical(text: str) -> str:
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """(license_id, text) of the licences and notices above."""
-    return spark.createDataFrame([*TEXTS, *NOTICES], "license_id string, text string")
+    """(license_id, text) of the licences and notices above. The list is fixed: one partition of
+    it, from Arrow, needs no Python worker and is staged as one file."""
+    names, texts = zip(*TEXTS, *NOTICES)
+    return spark.createDataFrame(pa.table({"license_id": names, "text": texts})).coalesce(1)
 
 
 def license_digests(licenses: DataFrame) -> DataFrame:
