@@ -128,3 +128,20 @@ def test_odd_rows(spark):
     assert len(clean) == len(rows) and [r.text for r in clean if r.doc_id == 8].count("[EMAIL]") == 2
     assert pii.personal_data(documents(spark, [])).count() == 0
     assert pii.sanitised_rows(documents(spark, [])).count() == 0
+
+
+def test_terms_far_from_the_value(spark):
+    far = prose(1, 20)
+    rows = [(i, prose(100 + i, 40), "en", "a") for i in range(200)]
+    rows += [(300, f"Zorkan zorkan7@mail.example {far} Zorkan said", "en", "a")]
+    rows += [(301, f"{far} Belmar, +1 (377) 555-0271, 10.20.30.40, b@mail.example", "en", "a")]
+    # in four documents with the value and one without
+    rows += [(310 + i, f"{prose(i, 9)} tarvik {prose(i, 12)} c@mail.example", "en", "a") for i in range(4)]
+    rows += [(320, f"{prose(7, 12)} Tarvik {prose(8, 12)}", "en", "a")]
+    docs = documents(spark, rows)
+    texts = {r[0]: r[1] for r in rows}
+    marked = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.terms] for r in pii.personal_data(docs).collect()}
+    assert marked[300].count("Zorkan") == 2 and "Belmar" in marked[301]
+    assert marked[320] == ["Tarvik"] and all("tarvik" in marked[310 + i] for i in range(4))
+    clean = {r.doc_id: r.text for r in pii.sanitised_rows(docs).collect()}
+    assert "Zorkan" not in clean[300] and "Tarvik" not in clean[320] and clean[0] == texts[0]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from itertools import islice
+from collections.abc import Iterator
+from zlib import crc32
 
 import pandas as pd
 import regex
@@ -17,11 +18,11 @@ from voltscape.llm.common import PIECE_BYTES, attach, map_rows
 from voltscape.llm.decontaminate import tokens
 
 KINDS = ("email", "ip", "card", "phone")
-#: Words on either side of a protected value that may disclose it.
-WINDOW = 5
 #: Share of a value's information that a term may give away: above the first it is generalised,
 #: above the second it is removed.
 GENERALISE, REMOVE = 0.9, 0.99
+#: Marks for hashes of disclosing terms, by which words of the documents are passed over before the join.
+MARKS = 1 << 20
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -30,7 +31,6 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _MANY_DIGITS = re.compile(r"[0-9](?:[ -]?[0-9]){11}")
 _TERM = regex.compile(r"(?:[A-Za-z0-9]|[^\x00-\x7f])+")
-_TERM_BACK = regex.compile(r"(?r)(?:[A-Za-z0-9]|[^\x00-\x7f])+")
 Span = tuple[int, int, int]
 
 
@@ -104,24 +104,29 @@ def value_of(text: str, kind: int) -> str:
     return text.lower() if kind < 2 else _digits(text)
 
 
+def outside(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the terms that no base span touches."""
+    at, ends = 0, 0
+    for m in _TERM.finditer(text):
+        # `ends`: the furthest end of the spans that start before the term's end
+        while at < len(base) and base[at][0] < m.end():
+            ends = max(ends, base[at][1])
+            at += 1
+        if ends <= m.start():
+            yield m.span()
+
+
 def contexts(text: str, base: list[Span]) -> list[dict]:
-    """The terms within WINDOW words of each base span, outside all base spans."""
-    found = []
-    for start, end, kind in base:
-        near = [*islice(_TERM_BACK.finditer(text, 0, start), WINDOW), *islice(_TERM.finditer(text, end), WINDOW)]
-        value = value_of(text[start:end], kind)
-        for m in near:
-            if not any(a < m.end() and m.start() < b for a, b, _ in base):
-                found.append({"kind": kind, "value": value, "term": m[0].lower(), "start": m.start(), "end": m.end()})
-    return found
+    """The terms of the text outside all base spans, for each base span."""
+    terms = [{"term": text[a:b].lower(), "start": a, "end": b} for a, b in outside(text, base)] if base else []
+    return [{"kind": kind, "value": value_of(text[a:b], kind), **term} for a, b, kind in base for term in terms]
 
 
 def _base(docs: DataFrame) -> DataFrame:
     """Per row of `docs` (doc_id, text): counts and spans of the base patterns, the protected
-    values, and the terms near them. `hash` tells texts of one doc_id apart."""
+    values, and the different terms of texts that have some. `hash` tells texts of one doc_id apart."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    near = "near array<struct<kind: int, value: string, term: string, start: int, end: int>>"
-    schema = f"doc_id {kind}, hash long, base array<struct<start: int, end: int, kind: int>>, found array<struct<kind: int, value: string>>, {near}"
+    schema = f"doc_id {kind}, hash long, base array<struct<start: int, end: int, kind: int>>, found array<struct<kind: int, value: string>>, near array<string>"
 
     def kernel(batch: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"doc_id": batch["doc_id"], "hash": batch["hash"], "base": [], "found": [], "near": []}
@@ -129,7 +134,7 @@ def _base(docs: DataFrame) -> DataFrame:
             base = base_spans(text) if text else []
             out["base"].append([dict(zip(("start", "end", "kind"), s)) for s in base])
             out["found"].append([{"kind": k, "value": value_of(text[a:b], k)} for a, b, k in base])
-            out["near"].append(contexts(text, base))
+            out["near"].append(list({text[a:b].lower() for a, b in outside(text, base)}) if base else [])
         return out
 
     return map_rows(docs.selectExpr("doc_id", "xxhash64(text) as hash", "text"), schema, kernel)
@@ -153,39 +158,66 @@ def disclosures(docs: DataFrame, found: DataFrame, threshold: float = GENERALISE
     """(kind, value, term, share): terms that give away at least `threshold` of a value's
     information.
 
-    Over all N documents, the information of a value is ln(N / n_value); a term near it gives
-    away their pointwise mutual information ln(N n_both / (n_value n_term)). n_both counts
-    documents with the term within WINDOW words of the value, n_term all documents with it. A
-    value in every document carries no information and is disclosed by nothing.
+    Over all N documents, the information of a value is ln(N / n_value); a term gives away their
+    pointwise mutual information ln(N n_both / (n_value n_term)). n_both counts documents with
+    the value and, anywhere outside base spans, the term; n_term all documents with it. A value
+    in every document carries no information and is disclosed by nothing.
     """
     total = found.count()
-    both = (
-        found.selectExpr("inline(array_distinct(transform(near, x -> struct(x.kind, x.value, x.term))))")
-        .groupBy("kind", "value", "term")
-        .agg(F.count(F.lit(1)).alias("n_both"))
-    )
     values = found.selectExpr("inline(array_distinct(found))").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value"))
-    both = stage(both.join(values, ["kind", "value"]), "pairs")
-    wanted = stage(both.select("term").distinct(), "terms")
+    # as n_both is at most n_value, more frequent terms can't give away enough: they are not paired up
+    most = f"{total}D * pow(n_value / {total}D, {threshold}D) * 1.000001D as most"
+    values = stage(values.select("*", F.expr(most)), "values")
+    limit = values.agg(F.max("most")).first()[0]
+    wanted = stage(found.selectExpr("explode(near) as term").distinct(), "terms")
     # an inner join, as a semi-join would be moved below the counting and meet every batch's counts
-    known = attach(_term_counts(docs), wanted, ["term"])
+    rare = stage(attach(_term_counts(docs), wanted, ["term"]).where(F.col("n_term") <= F.lit(limit)), "rare")
+    listed = found.where("size(found) > 0").selectExpr("array_distinct(found) as _found", "explode(near) as term")
+    pairs = attach(listed, rare, ["term"]).selectExpr("term", "n_term", "inline(_found)")
+    both = attach(pairs, values, ["kind", "value"]).where("n_term <= most")
+    both = both.groupBy("kind", "value", "term", "n_value", "n_term").agg(F.count(F.lit(1)).alias("n_both"))
     share = f"ln({total}D * n_both / (cast(n_value as double) * greatest(n_term, n_both))) / nullif(ln({total}D / n_value), 0D)"
-    return both.join(known, "term").selectExpr("kind", "value", "term", f"{share} as share").where(f"share >= {threshold}")
+    return both.selectExpr("kind", "value", "term", f"{share} as share").where(f"share >= {threshold}")
+
+
+def _occurrences(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """(doc_id, hash, start, end, share) of every occurrence of the terms of `told` outside base
+    spans. Words whose hash no term has are passed over where they are read; the join decides."""
+    marks = bytearray(MARKS)
+    for row in told.selectExpr(f"crc32(encode(term, 'UTF-8')) % {MARKS} as mark").distinct().toLocalIterator():
+        marks[row.mark] = 1
+    shared = docs.sparkSession.sparkContext.broadcast(bytes(marks))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def kernel(batch: dict[str, list]) -> dict[str, list]:
+        own, rows = shared.value, []
+        for doc_id, key, text in zip(batch["doc_id"], batch["hash"], batch["text"]):
+            if text and any(own[crc32(word) % MARKS] for word in set(tokens(text))):
+                for a, b in outside(text, base_spans(text)):
+                    term = text[a:b].lower()
+                    if own[crc32(term.encode("utf-8", "replace")) % MARKS]:
+                        rows.append((doc_id, key, term, a, b))
+        names = ("doc_id", "hash", "term", "start", "end")
+        return dict(zip(names, map(list, zip(*rows)))) if rows else {name: [] for name in names}
+
+    schema = f"doc_id {kind}, hash long, term string, start int, end int"
+    seen = map_rows(docs.selectExpr("doc_id", "xxhash64(text) as hash", "text"), schema, kernel)
+    return attach(seen, told, ["term"])
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, hash, base, terms) for every row of `docs` (doc_id, text, any more).
 
     base: start, end, kind (position in KINDS) of the base patterns, by start and kind; terms:
-    start, end, share of disclosing terms near them. Positions are code points, end exclusive.
-    NULL and empty texts have none. Rows repeated with the same text get the same spans; rows
-    of one doc_id with different texts are told apart by the hash of the text; a NULL doc_id is
-    an id like others. An empty table gives an empty result; other columns are ignored.
+    start, end, share of disclosing terms, wherever they stand, in documents without a base value
+    too; the share is the largest that the term gives away of any value. Positions are code points,
+    end exclusive. NULL and empty texts have none. Rows repeated with the same text get the same
+    spans; rows of one doc_id with different texts are told apart by the hash of the text; a NULL
+    doc_id is an id like others. An empty table gives an empty result; other columns are ignored.
     """
     found = stage(_base(docs), "personal")
-    told = stage(disclosures(docs, found), "disclosures")
-    near = found.selectExpr("doc_id", "hash", "inline(near)")
-    spans = attach(near, told, ["kind", "value", "term"]).groupBy("doc_id", "hash", "start", "end").agg(F.max("share").alias("share"))
+    told = stage(disclosures(docs, found).groupBy("term").agg(F.max("share").alias("share")), "disclosures")
+    spans = _occurrences(docs, told).groupBy("doc_id", "hash", "start", "end").agg(F.max("share").alias("share"))
     per_doc = spans.groupBy("doc_id", "hash").agg(F.expr("array_sort(collect_list(struct(start, end, share))) as _terms"))
     per_doc = per_doc.withColumnsRenamed({"doc_id": "_id", "hash": "_hash"})
     kind = "array<struct<start: int, end: int, share: double>>"
@@ -219,7 +251,7 @@ def _sanitised(texts: pd.Series, base: pd.Series, terms: pd.Series) -> pd.Series
 def sanitised_rows(docs: DataFrame) -> DataFrame:
     """The rows of `docs` with personal data and disclosing terms taken out of `text`; rows
     without any are unchanged, and no row goes. All columns are kept."""
-    found = personal_data(docs).where("size(base) > 0").distinct().withColumnsRenamed({"doc_id": "_id", "hash": "_same"})
+    found = personal_data(docs).where("size(base) > 0 or size(terms) > 0").distinct().withColumnsRenamed({"doc_id": "_id", "hash": "_same"})
     packed = docs.select(F.struct("*").alias("_row"), "doc_id", "text", F.xxhash64("text").alias("hash"))
     joined = packed.join(found, F.expr("doc_id <=> _id and hash = _same"), "left")
     # only the texts that change go through Python
