@@ -98,3 +98,18 @@ def test_odd_rows(spark):
     assert dc.contaminated(documents(spark, []), benchmark(spark, items)).count() == 0
     assert dc.contaminated(docs, benchmark(spark, [])).count() == 0
     assert dc.clean_rows(docs, benchmark(spark, [])).count() == len(odd_rows())
+
+
+def test_parts_of_long_items(spark):
+    items = [(1, prose(41, 300)), (2, prose(42, 60)), (3, prose(43, 300))]
+    words = [text.split() for _, text in items]
+    parts = [(1, words[0][150:250]), (2, words[1][:20]), (3, words[2][100:113])]
+    rows = [(i, f"{prose(i, 80)} {' '.join(part)} {prose(i + 50, 80)}", "en", "a") for i, part in parts]
+    rows += [(10, f"{prose(7, 80)} {' '.join(words[2][100:108])} {prose(8, 80)}", "en", "a")]
+    docs = documents(spark, rows)
+    got = {(r.doc_id, r.item_id): r for r in dc.contaminated(docs, benchmark(spark, items)).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3)}
+    for i, part in parts:
+        row = got[i, i]
+        assert row.passage == " ".join(part) and row.part_score == 1.0 and row.score == len(part) / len(words[i - 1])
+    assert [r.doc_id for r in dc.clean_rows(docs, benchmark(spark, items)).collect()] == [10]

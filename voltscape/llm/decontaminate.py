@@ -15,9 +15,14 @@ from voltscape.llm.common import map_rows
 NGRAM = 3
 #: An n-gram of an item is a seed unless it is among the item's most frequent ones in the corpus.
 SEED_SHARE = 0.75
+#: So many n-grams at one distance between item and text are seeds too, however frequent they are:
+#: those of a copied part are the most frequent ones of an item of which nothing else occurs.
+RUN_GRAMS = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Alignment score over the score of a verbatim copy.
 THRESHOLD = 0.4
+#: An alignment that scores as much as this many verbatim words counts, however long the item is.
+PASSAGE_WORDS = 13
 #: Items that are broadcast at a time.
 BLOCK_ITEMS = 20_000
 #: Words that are searched at a time.
@@ -44,6 +49,7 @@ class Items:
     grams: np.ndarray  # sorted distinct n-grams
     item_of: np.ndarray  # (n-gram number, item, offset), by n-gram number
     offset_of: np.ndarray
+    rare: np.ndarray
     first: np.ndarray  # where each n-gram's entries begin
     table: np.ndarray  # which hash values have an n-gram
 
@@ -72,27 +78,28 @@ def _spot(value: np.ndarray, size: int) -> np.ndarray:
 
 
 def _items(rows: list[tuple], kept: dict[int, np.ndarray] | None = None) -> Items:
-    """`kept`: for each item the n-grams that are seeds; all if None."""
+    """`kept`: for each item the n-grams that are rare; all if None."""
     split = [tokens(text or "") for _, text in rows]
     words = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(split)))}
     texts = [np.array([words[w] for w in ws], np.int64) for ws in split]
-    value, item, offset = [], [], []
+    value, item, offset, rare = [], [], [], []
     for i, numbers in enumerate(texts):
         if len(numbers) >= NGRAM:
             v = _grams(numbers, len(words))
-            use = np.ones(len(v), bool) if kept is None else np.isin(v, kept[i])
-            value.append(v[use])
-            item.append(np.full(use.sum(), i))
-            offset.append(np.flatnonzero(use))
+            value.append(v)
+            item.append(np.full(len(v), i))
+            offset.append(np.arange(len(v)))
+            rare.append(np.ones(len(v), bool) if kept is None else np.isin(v, kept[i]))
     value = np.concatenate(value) if value else np.zeros(0, np.int64)
     item = np.concatenate(item) if item else np.zeros(0, np.int64)
     offset = np.concatenate(offset) if offset else np.zeros(0, np.int64)
+    rare = np.concatenate(rare) if rare else np.zeros(0, bool)
     order = np.argsort(value, kind="stable")
     grams, first = np.unique(value[order], return_index=True)
     size = 1 << max(16, (16 * max(1, len(grams))).bit_length())
     table = np.zeros(size, bool)
     table[_spot(grams, size)] = True
-    return Items([i for i, _ in rows], words, texts, grams, item[order], offset[order], np.r_[first, len(value)], table)
+    return Items([i for i, _ in rows], words, texts, grams, item[order], offset[order], rare[order], np.r_[first, len(value)], table)
 
 
 def _joined(texts: list[str | None]) -> list[tuple[int, list[bytes]]]:
@@ -159,47 +166,63 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _clusters(at: np.ndarray, reach: int) -> list[tuple[int, int, int]]:
-    """Stretches (first, last, different starts) of sorted positions with no gap above `reach`."""
+def _clusters(at: np.ndarray, reach: int) -> list[tuple[int, int]]:
+    """Stretches (first, last) of sorted positions with no gap above `reach`."""
     cut = np.flatnonzero(np.diff(at) > reach)
-    firsts, lasts = np.r_[0, cut + 1], np.r_[cut, len(at) - 1]
-    return [(int(at[a]), int(at[b]), len(np.unique(at[a : b + 1]))) for a, b in zip(firsts, lasts)]
+    return list(zip(np.r_[0, cut + 1].tolist(), np.r_[cut, len(at) - 1].tolist()))
 
 
 def aligned(items: Items, numbers: np.ndarray, at: np.ndarray, gram: np.ndarray, threshold: float):
-    """(item, score, first word, last word, seeds) of the best passage of each item in one text."""
+    """(item, score, score over the aligned part of the item, first word, last word, seeds) of the
+    best passage of each item in one text."""
     counts = items.first[gram + 1] - items.first[gram]
     entry = np.repeat(items.first[gram] - np.r_[0, counts.cumsum()[:-1]], counts) + np.arange(counts.sum())
-    item, where = items.item_of[entry], np.repeat(at, counts)
-    order = np.lexsort((where, item))
-    item, where = item[order], where[order]
+    item, where, rare = items.item_of[entry], np.repeat(at, counts), items.rare[entry]
+    lines = (item << 40) + where - items.offset_of[entry]
+    _, line, length = np.unique(lines, return_inverse=True, return_counts=True)
+    run = length[line] >= RUN_GRAMS
+    use = np.flatnonzero(rare | run)
+    if not len(use):
+        return
+    use = use[np.lexsort((where[use], item[use]))]
+    item, where, rare, run = item[use], where[use], rare[use], run[use]
     cuts = np.flatnonzero(np.r_[True, item[1:] != item[:-1]])
     for a, b in zip(cuts, np.r_[cuts[1:], len(item)]):
         own = items.texts[item[a]]
         long = len(own)
         # as many seeds as the score needs at least: two, or one for items too short for that
         needed = 2 if long >= 2 * NGRAM else 1
+        least = MATCH * min(threshold * long, PASSAGE_WORDS)
         best = None
-        for first, last, seeds in _clusters(where[a:b], long):
-            if seeds < needed:
+        for i, j in _clusters(where[a:b], long):
+            first, last = int(where[a + i]), int(where[a + j])
+            seeds = len(np.unique(where[a + i : a + j + 1][rare[a + i : a + j + 1]]))
+            if seeds < needed and not run[a + i : a + j + 1].any():
                 continue
             low, high = max(0, first - long), last + NGRAM + long
             part = numbers[low:high]
             score, end = align(own, part)
-            if score >= threshold * MATCH * long and (best is None or score > best[0]):
+            if score >= least and (best is None or score > best[0]):
                 back = align(own[::-1], part[:end][::-1])[1]
                 best = (score, low + end - back, low + end - 1, seeds)
         if best:
-            yield int(item[a]), best[0] / (MATCH * long), best[1], best[2], best[3]
+            score, first, last, seeds = best
+            # the aligned part of the item: the passage against it the other way round
+            passage = numbers[first : last + 1]
+            stop = align(passage, own)[1]
+            size = align(passage[::-1], own[:stop][::-1])[1]
+            yield int(item[a]), score / (MATCH * long), score / (MATCH * size), first, last, seeds
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, item_id, score, start, end, n_seeds, passage) for every document and item that
-    share a passage: the best local alignment of words, its score over that of a verbatim copy
-    (at least `threshold`), its code points in the text (end exclusive) and the text there.
+    """(doc_id, item_id, score, part_score, start, end, n_seeds, passage) for every document and
+    item that share a passage: the best local alignment of words, its score over that of a verbatim
+    copy of the item and of the aligned part of the item, its code points in the text (end
+    exclusive) and the text there. A passage counts if its score is at least `threshold`, or if
+    it scores as much as PASSAGE_WORDS verbatim words, so that a part of a long item is found too.
 
     Seeds are n-grams of three words that are rare among the item's n-grams, counted over all
-    documents. Wherever two seeds of an item lie within its length of each other, the words
+    documents, or stand in a run of RUN_GRAMS. Wherever two seeds of an item lie within its length of each other, the words
     around them are aligned with the whole item (match 2, mismatch -1, gap -1), so edited and
     paraphrased copies are found as long as two seeds survive. Words are lower-cased runs of
     letters and digits.
@@ -211,7 +234,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     out repeated; an empty table gives an empty result; other columns are ignored.
     """
     kind, item_kind = (df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id")))
-    schema = f"doc_id {kind}, item_id {item_kind}, score double, start long, end long, n_seeds long, passage string"
+    schema = f"doc_id {kind}, item_id {item_kind}, score double, part_score double, start long, end long, n_seeds long, passage string"
     rows = benchmark.select("item_id", "text").where("text is not null").toLocalIterator()
     found = docs.sparkSession.createDataFrame([], schema)
     while block := [tuple(row) for row in islice(rows, BLOCK_ITEMS)]:
@@ -223,7 +246,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
 def _search(docs: DataFrame, items: Items, threshold: float, schema: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
-    columns = ["doc_id", "item_id", "score", "start", "end", "n_seeds", "passage"]
+    columns = ["doc_id", "item_id", "score", "part_score", "start", "end", "n_seeds", "passage"]
 
     def kernel(batch: dict[str, list]) -> dict[str, list]:
         own, found = shared.value, []
@@ -239,10 +262,10 @@ def _search(docs: DataFrame, items: Items, threshold: float, schema: str) -> Dat
                 n = int(text[a])
                 begin = int(ends[n - 1]) + 1 if n else 0
                 hits = aligned(own, numbers[begin : ends[n]], at[a:b] - begin, gram[a:b], threshold)
-                for item, score, start, last, seeds in hits:
+                for item, score, share, start, last, seeds in hits:
                     whole = batch["text"][first + n]
                     low, high = _points(whole, start, last)
-                    found.append((batch["doc_id"][first + n], own.ids[item], score, low, high, seeds, whole[low:high]))
+                    found.append((batch["doc_id"][first + n], own.ids[item], score, share, low, high, seeds, whole[low:high]))
         return dict(zip(columns, map(list, zip(*found)))) if found else {c: [] for c in columns}
 
     return map_rows(docs.select("doc_id", "text"), schema, kernel)

@@ -61,7 +61,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return found.selectExpr("doc_id", "item_id", "score", "start", "end", "n_seeds", "sha2(passage, 256) as passage_sha256")
+    return found.selectExpr("doc_id", "item_id", "score", "part_score", "start", "end", "n_seeds", "sha2(passage, 256) as passage_sha256")
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
