@@ -19,6 +19,7 @@ COLUMNS = {
     "op7_repeats": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op9_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10_personal_data": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op11_language": ["doc_id", "held_out", "lang_pred", "score"],
 }
 
 
@@ -43,4 +44,4 @@ def test_columns(name, spark):
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(registered.queries())
     assert set(ORACLES) <= set(registered.oracle_sql())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))

@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voltscape.functions.staging import stage
 from voltscape.llm import (
     chat,
     decontaminate,
+    divergence,
+    language,
     licenses,
     mixing,
     pii,
+    prefix_trie,
     quality_knn,
     quality_rules,
     repeats,
@@ -96,6 +100,19 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.predictions(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -109,5 +126,8 @@ QUERIES: dict[str, Query] = {
         op8_licenses,
         op9_quality_rules,
         op10_personal_data,
+        op11_language,
+        op12_prefix_trie,
+        op13_divergence,
     )
 }

@@ -116,4 +116,103 @@ select doc_id, digest, license_id, coalesce(line_licenses, '') as line_licenses,
 from (select *, sha256({_canonical('text')}) as digest from docs) left join known using (digest) left join cited using (r)
 """
 
-ORACLES: dict[str, str] = {"op1_mix_sources": OP1, "op2_warc": OP2, "op5_chat": OP5, "op8_licenses": OP8}
+_CRC32 = """(xor(list_reduce(
+    [4294967295::bigint] || flatten(list_transform(string_split({text}, ''), lambda c: [ord(c)::bigint, 0, 0, 0, 0, 0, 0, 0])),
+    lambda crc, byte: xor(xor(crc, byte) >> 1, 3988292384::bigint * (xor(crc, byte) & 1))), 4294967295::bigint))"""
+
+OP12 = f"""
+with said as (
+    select conv_id, turn, coalesce(text, '') as text,
+        length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '') as said
+    from conversations where conv_id is not null
+),
+own as (
+    select conv_id, list(md5(said) order by turn asc nulls first, md5(said)) as digests,
+        list(length(text)::bigint order by turn asc nulls first, md5(said)) as lengths
+    from said group by conv_id
+),
+led as (select *, {_CRC32.format(text='conv_id::varchar')} % 6 as h, conv_id - conv_id % 100 as leader from own),
+rebuilt as (
+    select o.conv_id, coalesce(l.digests[1:o.h], []) || o.digests[o.h + 1:] as digests,
+        coalesce(l.lengths[1:o.h], []) || o.lengths[o.h + 1:] as lengths
+    from led o left join own l on l.conv_id = o.leader
+),
+prefixes as (
+    select conv_id, len(digests) as turns, unnest(range(0, len(digests) + 1)) as depth, digests, lengths from rebuilt
+),
+nodes as (
+    select array_to_string(digests[1:depth], '') as path, depth, min(conv_id) as conv_id, count(*) as n_convs,
+        max(coalesce(lengths[depth], 0)) as held,
+        coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (turns = depth), '') as ends
+    from prefixes group by all
+),
+families as (select substr(path, 1, 32 * (depth - 1)::int) as path, count(*) as n_children from nodes where depth > 0 group by 1),
+known as (select n.*, coalesce(f.n_children, 0) as n_children from nodes n left join families f on n.path = f.path),
+above as (
+    select path, n_children, (n_convs - 1) * case when depth = 0 then 0 else held end as saved,
+        unnest(range(0, depth + 1)) as up from known
+),
+totals as (
+    select substr(path, 1, (32 * up)::int) as path, sum((n_children = 0)::int) as n_leaves, sum(saved) as saved_tokens
+    from above group by 1
+)
+select n.conv_id::bigint as conv_id, n.depth::bigint as depth, p.conv_id::bigint as parent_conv_id, n.n_convs::bigint as n_convs,
+    n.n_children::bigint as n_children, t.n_leaves::bigint as n_leaves, t.saved_tokens::bigint as saved_tokens,
+    sha256(n.ends) as ends_sha256
+from known n join totals t on n.path = t.path
+    left join nodes p on n.depth > 0 and p.path = substr(n.path, 1, 32 * (n.depth - 1)::int)
+"""
+
+OP13 = r"""
+with docs as (
+    select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents
+),
+words as (select r, lang, source, unnest(terms) as term from docs),
+kept as (select lang, term from words group by lang, term having count(distinct r) >= 3),
+counts as (select w.lang, w.source, w.term, count(*) as n from words w join kept k on w.lang = k.lang and w.term = k.term group by all),
+groups as (
+    select g.lang, g.source, coalesce(v.v, 0) as v, coalesce(c.n, 0) as n
+    from (select distinct lang, source from docs) g
+        left join (select lang, count(*) as v from kept group by lang) v on v.lang = g.lang
+        left join (select lang, source, sum(n) as n from counts group by all) c on c.lang = g.lang and c.source = g.source
+),
+given as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0)::bigint as n,
+        (1 + (1000000000 * (coalesce(c.n, 0) + 1)::hugeint) // (g.n + g.v))::bigint as p
+    from groups g join kept k on k.lang = g.lang
+        left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+),
+whole as (
+    select c.lang, c.term, (1 + (1000000000 * (sum(c.n) + 1)::hugeint) // (any_value(t.n) + any_value(t.v)))::bigint as p
+    from counts c join (select lang, sum(n) as n, max(v) as v from groups group by lang) t on t.lang = c.lang
+    group by c.lang, c.term
+),
+sums as (
+    select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+    from given a join given b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+),
+pairs as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0)::bigint as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+        left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source
+),
+terms as (
+    select g.lang, g.source, 'term' as part, g.term as item, ((g.p - w.p) * (g.p - w.p)) // w.p as value
+    from given g join whole w on w.lang = g.lang and w.term = g.term where g.n > 0 and g.p > w.p
+)
+select lang, source, part, item, value,
+    (row_number() over (partition by lang, source, part order by value desc, item))::int as rank
+from (select * from pairs union all select * from terms) qualify part = 'pair' or rank <= 200
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_mix_sources": OP1,
+    "op2_warc": OP2,
+    "op5_chat": OP5,
+    "op8_licenses": OP8,
+    "op12_prefix_trie": OP12,
+    "op13_divergence": OP13,
+}
