@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
 from voltscape.functions import geo, staging
-from voltscape.operators import cleaning, features, pivots, scoring
+from voltscape.operators import cleaning, features, pivots, rings, scoring
 from voltscape.sources import tables
 
 
@@ -83,8 +83,10 @@ def test_map_extracts(spark, tmp_path):
     lines = {r.way: r for r in tables.way_lines(elements).collect()}
     assert [p.lat for p in lines[3].coordinates] == [64.0, 63.0, 61.0, 64.0]
     assert (lines[1].closed, lines[2].closed) == (True, False)
-    rings = sorted((r.area, r.role, len(r.coordinates)) for r in tables.residential_rings(elements).collect())
-    assert rings == [("relation/9", "inner", 4), ("relation/9", "outer", 2), ("way/1", "outer", 4)]
+    found = rings.areas(elements)
+    whole = sorted((r.area, r.role, len(r.coordinates)) for r in found.rings.collect())
+    assert whole == [("relation/9", "inner", 4), ("way/1", "outer", 4)]
+    assert [(r.relation, r.role, r.ring, r.open_ends) for r in found.open.collect()] == [(9, "outer", 2, 2)]
 
 
 def counts(spark):

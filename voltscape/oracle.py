@@ -279,17 +279,24 @@ def _merged() -> str:
 
 
 STEPS["merged"] = _merged()
-# one document per customer: a closed way of four nodes, an open way, a relation of both
-STEPS["extract_rings"] = """
-select c_custkey as document, 'way/' || c_custkey as area, 'outer' as role, k as position,
-       10 + (c_custkey % 500) / 100.0 + [0, 0.01, 0.01, 0][k % 4 + 1] as lon,
-       60 + (c_custkey % 700) / 100.0 + [0, 0, 0.01, 0.01][k % 4 + 1] as lat
+# one document per customer: a closed way of four nodes; a relation of it and of an outer ring of
+# three ways, walked from the third, -5 c - 3, in its own direction
+STEPS["corners"] = "select * from (values " + ", ".join(
+    f"({k}, {x}, {y})" for k, (x, y) in enumerate(derived.CORNERS)
+) + ") as t(node, x, y)"
+STEPS["extract_vertices"] = """
+select c_custkey as c, 'way/' || c_custkey as area, 'outer' as role, c_custkey as ring, k as position, [0, 1, 2, 3, 0][k + 1] as node
 from customer, range(5) t(k) where c_custkey % 3 <> 0 and c_custkey % 5 <> 0
 union all
-select c_custkey, 'relation/' || c_custkey, case when w = 0 then 'inner' else 'outer' end, k,
-       10 + (c_custkey % 500) / 100.0 + [0, 0.01, 0.01, 0][k % 4 + 1],
-       60 + (c_custkey % 700) / 100.0 + [0, 0, 0.01, 0.01][k % 4 + 1]
-from customer, range(2) u(w), range(5) t(k) where c_custkey % 3 <> 1 and ((w = 0 and c_custkey % 5 <> 0) or (w = 1 and k < 2))"""
+select c_custkey, 'relation/' || c_custkey, 'inner', c_custkey, k, [0, 1, 2, 3, 0][k + 1]
+from customer, range(5) t(k) where c_custkey % 3 <> 1 and c_custkey % 5 <> 0
+union all
+select c_custkey, 'relation/' || c_custkey, 'outer', -5 * c_custkey - 3, k,
+       case when c_custkey % 4 < 2 then [8, 9, 4, 5, 6, 7, 8] else [4, 9, 8, 7, 6, 5, 4] end[k + 1]
+from customer, range(7) t(k) where c_custkey % 3 <> 1 and c_custkey % 7 <> 0"""
+STEPS["extract_rings"] = """
+select c as document, area, role, ring, position, 10 + (c % 500) / 100.0 + x as lon, 60 + (c % 700) / 100.0 + y as lat
+from extract_vertices v join corners p on p.node = v.node"""
 
 
 def bins(table: str) -> str:
@@ -609,6 +616,12 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
     ),
     "residential_areas": ("select * from extract_rings", ["lon", "lat"]),
     "incomplete_ways": ("select c_custkey as document, c_custkey as way, 1 as missing from customer where c_custkey % 5 = 0", []),
+    "incomplete_rings": (
+        """select c_custkey as document, c_custkey as relation, 'outer' as role, -5 * c_custkey - 2 as ring, 2 as ways,
+                  2 as open_ends, 0 as branches
+           from customer where c_custkey % 3 <> 1 and c_custkey % 7 = 0""",
+        [],
+    ),
     "final_features": (final_features(), []),
 }
 STEPS["active"] = active("x.source = 'sw' and x.capacity_kw > 100")

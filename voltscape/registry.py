@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from voltscape import fixed_values as fixed
 from voltscape.functions.calendar import DayWindow
 from voltscape.functions.staging import fresh_path, stage
-from voltscape.operators import cleaning, features, pivots, quality, rollups, scoring, series, split, usage
+from voltscape.operators import cleaning, features, pivots, quality, rings, rollups, scoring, series, split, usage
 from voltscape.operators import stations as st
 from voltscape.operators.proximity import poi_proximity, road_proximity, roads_of
 from voltscape.operators.spatial import nearest, points_within
@@ -419,12 +419,16 @@ def sample_report(i: Inputs) -> DataFrame:
 
 
 def residential_areas(i: Inputs) -> DataFrame:
-    rings = tables.residential_rings(i.extracts)
-    return rings.select("document", "area", "role", F.posexplode("coordinates").alias("position", "p")).select(
-        F.col("document").cast("bigint").alias("document"), "area", "role", "position", "p.lon", "p.lat"
+    found = rings.areas(i.extracts).rings
+    return found.select("document", "area", "role", "ring", F.posexplode("coordinates").alias("position", "p")).select(
+        F.col("document").cast("bigint").alias("document"), "area", "role", "ring", "position", "p.lon", "p.lat"
     )
 
 
+def incomplete_rings(i: Inputs) -> DataFrame:
+    return rings.areas(i.extracts).open.withColumn("document", F.col("document").cast("bigint"))
+
+
 def incomplete_ways(i: Inputs) -> DataFrame:
     found = tables.incomplete_ways(i.extracts)
     return found.select(F.col("document").cast("bigint").alias("document"), "way", "missing")
@@ -498,6 +502,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "sample_report": sample_report,
     "residential_areas": residential_areas,
     "incomplete_ways": incomplete_ways,
+    "incomplete_rings": incomplete_rings,
     "final_features": final_features,
 }
 

@@ -95,6 +95,12 @@ from {supplier}
 
 BOUNDARY = ((11.0, 65.2), (14.5, 65.0), (14.0, 67.0), (17.8, 68.2), (16.0, 69.4))
 
+# A square and, around it, a hexagon: nodes 0 to 3 and 4 to 9 of each map extract.
+CORNERS = (
+    (0, 0), (0.01, 0), (0.01, 0.01), (0, 0.01),
+    (-0.01, -0.01), (0.005, -0.02), (0.02, -0.01), (0.02, 0.02), (0.005, 0.03), (-0.01, 0.02),
+)
+
 LONG_HOUR = "cast(o_orderdate as timestamp) + make_dt_interval(0, cast(o_orderkey % 24 as int))"
 SHORT_HOUR = "date_trunc('hour', cast(ts as timestamp))"
 ANCHOR = "p_partkey div 10"
@@ -191,27 +197,39 @@ class Inputs:
 
     @cached_property
     def extracts(self) -> DataFrame:
-        """Elements of one map extract per customer, written as JSON and read back: a closed way,
-        an open way and a relation of both. Every fifth lacks the last node of the closed way."""
+        """Elements of one map extract per customer, written as JSON and read back: a closed way, an
+        open way, and a relation of the closed way (inner) and of three open ways that make its
+        outer ring, stored in either direction. Every fifth lacks the last node of the closed way,
+        every seventh the relation's third open way."""
         node = (
             "named_struct('type', 'node', 'id', {k}L, 'lat', 60 + (c_custkey % 700) / 100.0D + {y}D, "
             "'lon', 10 + (c_custkey % 500) / 100.0D + {x}D, 'nodes', cast(null as array<bigint>), 'members', {none}, 'tags', {no_tags})"
         )
         none = "cast(null as array<struct<type: string, ref: bigint, role: string>>)"
         no_tags = "cast(null as map<string, string>)"
-        corners = [(0, 0), (0.01, 0), (0.01, 0.01), (0, 0.01)]
-        nodes = [node.format(k=k, x=x, y=y, none=none, no_tags=no_tags) for k, (x, y) in enumerate(corners)]
+        nodes = [node.format(k=k, x=x, y=y, none=none, no_tags=no_tags) for k, (x, y) in enumerate(CORNERS)]
         nowhere = "'lat', cast(null as double), 'lon', cast(null as double)"
         other = "named_struct('type', '{t}', 'id', {i}, " + nowhere + ", 'nodes', {n}, 'members', {m}, 'tags', {g})"
         home = "if({}, map('landuse', 'residential'), " + no_tags + ")"
-        ring = other.format(t="way", i="c_custkey", n="array(0L, 1L, 2L, 3L, 0L)", m=none, g=home.format("c_custkey % 3 <> 0"))
-        line = other.format(t="way", i="-c_custkey - 1", n="array(0L, 1L)", m=none, g=no_tags)
+
+        def way(number: str, along: str, tags: str) -> str:
+            return other.format(t="way", i=number, n=along, m=none, g=tags)
+
+        ring = way("c_custkey", "array(0L, 1L, 2L, 3L, 0L)", home.format("c_custkey % 3 <> 0"))
+        line = way("-5 * c_custkey - 4", "array(0L, 1L)", no_tags)
+        first = way("-5 * c_custkey - 1", "array(4L, 5L, 6L)", no_tags)
+        second = way("-5 * c_custkey - 2", "if(c_custkey % 2 = 0, array(6L, 7L, 8L), array(8L, 7L, 6L))", no_tags)
+        third = way("-5 * c_custkey - 3", "if(c_custkey % 4 < 2, array(8L, 9L, 4L), array(4L, 9L, 8L))", no_tags)
         member = "named_struct('type', 'way', 'ref', {}, 'role', '{}')"
-        members = f"array({member.format('c_custkey', 'inner')}, {member.format('-c_custkey - 1', 'outer')})"
-        relation = other.format(t="relation", i="c_custkey", n="cast(null as array<bigint>)", m=members, g=home.format("c_custkey % 3 <> 1"))
-        some = f"if(c_custkey % 5 = 0, array({', '.join(nodes[:3])}), array({', '.join(nodes)}))"
+        outer = (member.format(f"-5 * c_custkey - {i}", "outer") for i in (2, 1, 3))
+        listed = f"array({member.format('c_custkey', 'inner')}, {', '.join(outer)})"
+        relation = other.format(
+            t="relation", i="c_custkey", n="cast(null as array<bigint>)", m=listed, g=home.format("c_custkey % 3 <> 1")
+        )
+        some = f"if(c_custkey % 5 = 0, array({', '.join((*nodes[:3], *nodes[4:]))}), array({', '.join(nodes)}))"
+        ways = f"array({ring}, {line}, {first}, {second}), if(c_custkey % 7 = 0, array(), array({third}))"
         documents = self.table("customer").selectExpr(
-            "cast(c_custkey as string) as document", f"concat({some}, array({ring}, {line}, {relation})) as elements"
+            "cast(c_custkey as string) as document", f"concat({some}, {ways}, array({relation})) as elements"
         )
         path = fresh_path(self.spark, "extracts")
         documents.write.json(path)

@@ -155,11 +155,17 @@ def way_lines(elements: DataFrame) -> DataFrame:
     Node ids are joined within the document. A way of which the document lacks a node is no
     line: incomplete_ways lists it. The vertices of one way are one row's value.
     """
+    return whole_ways(elements).drop("nodes")
+
+
+def whole_ways(elements: DataFrame) -> DataFrame:
+    """`way_lines` with the `nodes` of each way."""
     closed = (F.size("nodes") > 3) & (F.try_element_at("nodes", F.lit(1)) == F.try_element_at("nodes", F.lit(-1)))
     return _ways(elements).where(_missing() == 0).select(
         "document",
         "way",
         "tags",
+        "nodes",
         F.transform("_v", lambda v: v["_at"]).alias("coordinates"),
         F.coalesce(closed, F.lit(False)).alias("closed"),
     )
@@ -168,26 +174,3 @@ def way_lines(elements: DataFrame) -> DataFrame:
 def incomplete_ways(elements: DataFrame) -> DataFrame:
     """(document, way, missing): ways with vertices whose node the document lacks."""
     return _ways(elements).select("document", "way", _missing().alias("missing")).where("missing > 0")
-
-
-def residential_rings(elements: DataFrame) -> DataFrame:
-    """Rings of residential areas: tagged closed ways, and the ways of tagged relations.
-
-    `role` is outer or inner; `area` names the way or relation the ring belongs to.
-    """
-    lines = way_lines(elements)
-    residential = F.col("tags")["landuse"] == "residential"
-    own = lines.where(residential & F.col("closed")).select(
-        "document", F.concat(F.lit("way/"), F.col("way")).alias("area"), F.lit("outer").alias("role"), "coordinates"
-    )
-    members = (
-        elements.where((F.col("type") == "relation") & residential)
-        .select("document", F.col("id").alias("relation"), F.inline("members"))
-        .where(F.col("type") == "way")
-        .select("document", "relation", "role", F.col("ref").alias("way"))
-        .distinct()
-    )
-    related = lines.join(members, ["document", "way"]).select(
-        "document", F.concat(F.lit("relation/"), F.col("relation")).alias("area"), "role", "coordinates"
-    )
-    return own.unionByName(related)
