@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
-from voltscape.functions import geo, staging
+from voltscape.functions import geo, staging, wkt
 from voltscape.operators import cleaning, features, pivots, rings, scoring
 from voltscape.sources import tables
 
@@ -27,13 +27,12 @@ def test_line_and_polygon_text(spark):
     )
     rows = frame.select(
         geo.line_coordinates(F.col("line")).alias("l"),
-        geo.polygon_rings(F.col("polygon")).alias("p"),
-        geo.ring_edges(geo.polygon_rings(F.col("polygon"))).alias("e"),
-    ).collect()
+        wkt.geometry("polygon").alias("g"),
+    ).selectExpr("l", f"{wkt.rings('g')} as p").withColumn("e", geo.ring_edges(F.col("p"))).collect()
     assert [tuple(v) for v in rows[0].l] == [(1.0, 2.0), (3.0, 4.0), (5.5, -6.0)]
     assert [len(r) for r in rows[0].p] == [4, 4] and len(rows[0].e) == 6
     assert tuple(rows[0].e[3]) == (1.0, 1.0, 2.0, 1.0)
-    assert rows[1].l is None and rows[1].p is None
+    assert rows[1].l is None and rows[1].p == []
 
 
 def test_query_binds_only_used_parameters(spark):

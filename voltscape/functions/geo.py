@@ -46,12 +46,6 @@ def line_coordinates(wkt: Column) -> Column:
     return F.when(body != "", _coordinates(body))
 
 
-def polygon_rings(wkt: Column) -> Column:
-    """Rings (outer first, then holes) of `POLYGON ((...), (...))` text; NULL otherwise."""
-    body = F.regexp_extract(wkt, r"^\s*POLYGON\s*\(\s*\((.*)\)\s*\)\s*$", 1)
-    return F.when(body != "", F.transform(F.split(body, r"\)\s*,\s*\("), _coordinates))
-
-
 def ring_edges(rings: Column) -> Column:
     """Edges (x1, y1, x2, y2) of all rings of one geometry."""
 
