@@ -12,19 +12,22 @@ from pyspark.sql import functions as F
 EARTH_RADIUS_M = 6371010.0
 
 NUMBER = r"[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?"
-POINT = rf"^\s*POINT\s*\(\s*({NUMBER})\s+({NUMBER})\s*\)\s*$"
+POINT = rf"^\s*POINT\s*\(\s*({NUMBER}\s+{NUMBER})\s*\)\s*$"
 
 
 # ---------------------------------------------------------------- text to geometry
 
 
-def point_lon(wkt: Column) -> Column:
-    """Longitude of `POINT (x y)` text; NULL for anything else."""
-    return F.regexp_extract(wkt, POINT, 1).try_cast("double")
+def with_point(df: DataFrame, wkt: str, lon: str, lat: str) -> DataFrame:
+    """`df` with the place of `POINT (x y)` text in two columns, NULL for anything else.
 
-
-def point_lat(wkt: Column) -> Column:
-    return F.regexp_extract(wkt, POINT, 2).try_cast("double")
+    One expression finds both numbers, and as it is exploded, plans that use the columns several
+    times don't repeat it.
+    """
+    numbers = F.split(F.regexp_extract(wkt, POINT, 1), r"\s+")
+    found = df.select(*(F.col(f"`{c}`") for c in df.columns if c not in (lon, lat)), F.explode(F.array(numbers)).alias("_xy"))
+    place = {lon: F.get("_xy", F.lit(0)).try_cast("double"), lat: F.get("_xy", F.lit(1)).try_cast("double")}
+    return found.withColumns(place).drop("_xy")
 
 
 def _coordinates(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltscape import fixed_values as fixed
-from voltscape.functions.geo import point_lat, point_lon
+from voltscape.functions.geo import with_point
 from voltscape.functions.joins import lookup_join
 from voltscape.functions.numeric import flag, row_sum
 from voltscape.operators.cleaning import ensure_columns
@@ -26,7 +26,7 @@ def time_spent(df: DataFrame) -> DataFrame:
 
 def coordinates(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """`lng` and `lat` of point text; NULL if the text is no point."""
-    return df.withColumns({"lng": point_lon(F.col(geometry)), "lat": point_lat(F.col(geometry))})
+    return with_point(df, geometry, "lng", "lat")
 
 
 def poi_groups(df: DataFrame) -> DataFrame:

@@ -42,6 +42,7 @@ def between(day: str, start: str, end: str) -> str:
 LONG = ("1995-01-01", "2001-08-31")
 LATE = ("1998-03-01", "2001-08-31")
 SHORT = ("2024-01-01", "2024-01-31")
+RECENT = ("2001-01-01", "2001-08-31")
 HOURLY = ("2024-01-05", "2024-01-25")
 
 
@@ -129,7 +130,7 @@ def road_pivot() -> str:
     return f"select id, {dists}, {counts} from road_near group by id"
 
 
-def segment_distance() -> str:
+def segment_distance(segments: str = "road_rows") -> str:
     """Distance of s (lon, lat) to the segment of r, over the named parts."""
     return f"""
 select *, {RADIUS} * case when len = 0 or along <= 0 then d1 when along >= len then d2
@@ -139,15 +140,15 @@ from (select *, atan2(sin(d1) * cos(turn), cos(d1)) as along
                    {angle('x1', 'y1', 's.lon', 's.lat')} as d1, {angle('x2', 'y2', 's.lon', 's.lat')} as d2,
                    {angle('x1', 'y1', 'x2', 'y2')} as len,
                    {bearing('x1', 'y1', 's.lon', 's.lat')} - {bearing('x1', 'y1', 'x2', 'y2')} as turn
-            from STATIONS s join road_rows r on s.lat between least(y1, y2) - 0.0046 and greatest(y1, y2) + 0.0046
+            from STATIONS s join {segments} r on s.lat between least(y1, y2) - 0.0046 and greatest(y1, y2) + 0.0046
              and s.lon between least(x1, x2) - 0.02 and greatest(x1, x2) + 0.02) a) b"""
 
 
-def roads_near(stations: str) -> str:
+def roads_near(stations: str, roads: str = "road_rows") -> str:
     return f"""
 select s.id, s.lon, s.lat, r.class as type_road, count(distinct r.road_id) as roads_count, min(r.dist) as dist,
        string_agg(distinct r.name, '|' order by r.name) as names
-from {stations} s left join (select * from ({segment_distance().replace('STATIONS', stations)}) q where dist <= 500) r
+from {stations} s left join (select * from ({segment_distance(roads).replace('STATIONS', stations)}) q where dist <= 500) r
   on s.id = r.id group by s.id, s.lon, s.lat, r.class"""
 
 
@@ -299,6 +300,48 @@ select c as document, area, role, ring, position, 10 + (c % 500) / 100.0 + x as
 from extract_vertices v join corners p on p.node = v.node"""
 
 
+STEPS["shape_vertices"] = f"""
+select p.id, t.kind, t.part, t.ring, t.position, p.lon + dx * 2 * h as lon, p.lat + dy * h as lat
+from (select *, {derived.SHAPE_HEIGHT} as h from poi) p join (values {", ".join(
+    f"({rest}, '{kind.removesuffix(' Z')}', {i}, {j}, {k}, {dx}, {dy})"
+    for rest, (kind, parts) in derived.SHAPES.items() if rest < 5
+    for i, part in enumerate(parts) for j, ring in enumerate(part) for k, (dx, dy) in enumerate(ring)
+)}) as t(rest, kind, part, ring, position, dx, dy) on p.id % 6 = t.rest"""
+# a point is a segment of no length
+STEPS["shape_segments"] = """
+select id, kind as class, null as name, lon as x1, lat as y1, coalesce(x2, lon) as x2, coalesce(y2, lat) as y2
+from (select *, lead(lon) over w as x2, lead(lat) over w as y2 from shape_vertices window w as (partition by id, part, ring order by position)) t
+where x2 is not null or kind = 'POINT'"""
+STEPS["shape_inside"] = """
+select s.id, r.id as shape_id from station s join shape_segments r on r.class like '%POLYGON' and (r.x1 > s.lon) <> (r.x2 > s.lon)
+ and s.lat < r.y1 + (s.lon - r.x1) / (r.x2 - r.x1) * (r.y2 - r.y1)
+group by s.id, r.id having count(*) % 2 = 1"""
+STEPS["shape_near"] = f"""
+select id, shape_id, min(dist) as dist from (
+  select id, road_id as shape_id, dist from ({segment_distance('shape_segments').replace('STATIONS', 'station')}) q where dist <= 500
+  union all select id, shape_id, 0 from shape_inside) t group by id, shape_id"""
+STEPS["shape_gaps"] = """
+select s.id, r.id as shape_id, s.lon - x1 as dx, s.lat - y1 as dy, x2 - x1 as wx, y2 - y1 as wy,
+       least(greatest(coalesce(((s.lon - x1) * (x2 - x1) + (s.lat - y1) * (y2 - y1))
+         / nullif(pow(x2 - x1, 2) + pow(y2 - y1, 2), 0), 0), 0), 1) as t
+from station s, shape_segments r"""
+STEPS["shape_nearest"] = """
+select id, shape_id, sqrt(d2) as distance_deg from (
+  select *, row_number() over (partition by id order by d2, shape_id) as k from (
+    select id, shape_id, pow(dx - t * wx, 2) + pow(dy - t * wy, 2) as d2 from shape_gaps
+    union all select id, shape_id, 0 from shape_inside) d) e where k = 1"""
+# where the trails lie before they are moved: turning the globe changes no distance
+STEPS["trail_vertices"] = f"""
+select id, k, {derived.TRAIL_X} as lon, {derived.TRAIL_Y} as lat
+from (select *, unnest(range(0, vertices)) as k from ({_source(derived.TRAIL)}) t) u"""
+STEPS["trail_segments"] = """
+select id, null as class, null as name, lon as x1, lat as y1, x2, y2
+from (select *, lead(lon) over w as x2, lead(lat) over w as y2 from trail_vertices window w as (partition by id order by k)) t where x2 is not null"""
+STEPS["trail_near"] = f"""
+select id, road_id as trail_id, min(dist) as dist from ({segment_distance('trail_segments').replace('STATIONS', 'station')}) q
+where dist <= 500 group by id, road_id"""
+
+
 def bins(table: str) -> str:
     edges = ", ".join(f"case when i = 10 then m else i * (m / 10) end" for _ in (0,))
     count = " + ".join(
@@ -433,6 +476,11 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
            union all select id, 1, x2, y2 from road_rows""",
         ["lon", "lat"],
     ),
+    "wkt_shapes": (
+        """select id, kind, part, ring, position, lon, lat from shape_vertices
+           union all select id, null, null, null, null, null, null from poi where id % 6 = 5""",
+        ["lon", "lat"],
+    ),
     "csv_roundtrip": (
         """select m.id, a.active_months, m.month_start, m.avg_utilization_pct, m.total_minutes_month >= 0 as active_flag
            from monthly m left join active_m a on m.id = a.id""",
@@ -442,6 +490,9 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
     "station_filter_region": (
         "select e.id, e.capacity_kw, e.operator from elig e where e.id in (select id from inside)", [],
     ),
+    "station_filter_sql": (
+        "select e.id, e.capacity_kw, e.operator from elig e where e.id in (select id from inside)", [],
+    ),
     "station_filter_country": ("select id, capacity_kw, operator from elig", []),
     "station_filter_source": (
         "select id, capacity_kw, is_approved as approved from station where source = 'sw' and capacity_kw > 100", [],
@@ -524,6 +575,9 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
            from active_roads""",
         ["lon", "lat", "closest_distance_meters"],
     ),
+    "shapes_within_500m": (f"select id, shape_id, {r3('dist')} as distance_m from shape_near", []),
+    "nearest_shape": ("select s.id, n.shape_id, n.distance_deg from station s left join shape_nearest n on n.id = s.id", ["distance_deg"]),
+    "trails_within_500m": (f"select id, trail_id, {r3('dist')} as distance_m from trail_near", []),
     "nearest_population": ("select * from nearest", ["distance_deg"]),
     "poi_features": ("select * from poi_wide", POI_DIST),
     "road_features": ("select * from road_wide", ROAD_DIST),
@@ -531,7 +585,7 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
     "station_with_road": ("select * from base_road", BASE_DOUBLE + ROAD_DIST),
     "clean_poi": ("select w.* from poi_wide w where w.id in (select id from poi_clean)", POI_DIST),
     "clean_road": (
-        "select id, operator, " + ", ".join(f"road_distance_{c}" for c in fixed.CHECKED_ROAD_CLASSES) + " from road_clean where id % 11 <> 0",
+        "select id, operator, " + ", ".join(f"road_distance_{c}" for c in fixed.CHECKED_ROAD_CLASSES) + f" from road_clean where id in (select id from usage_long where {between('cast(hour as date)', *RECENT)})",
         [f"road_distance_{c}" for c in fixed.CHECKED_ROAD_CLASSES],
     ),
     "clean_complete": (f"select id, operator, occupation_bin from base_bins where {COMPLETE_SKIP}", []),
@@ -625,7 +679,8 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
     "final_features": (final_features(), []),
 }
 STEPS["active"] = active("x.source = 'sw' and x.capacity_kw > 100")
-STEPS["active_roads"] = roads_near("active")
+STEPS["swiss_roads"] = "select * from road_rows where country = 'Switzerland'"
+STEPS["active_roads"] = roads_near("active", "swiss_roads")
 STEPS["test_ids"] = """
 select id from station where coalesce(operator ilike '%uno%', false) order by (id * 7919 + 42) % 1000003, id limit 56"""
 

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltscape import fixed_values as fixed
+from voltscape.functions import geography
 from voltscape.functions.calendar import DayWindow
 from voltscape.functions.staging import fresh_path, stage
 from voltscape.operators import cleaning, features, pivots, quality, rings, rollups, scoring, series, split, usage
 from voltscape.operators import stations as st
 from voltscape.operators.proximity import poi_proximity, road_proximity, roads_of
-from voltscape.operators.spatial import nearest, points_within
+from voltscape.operators.shapes import nearest_shape, shapes_within
+from voltscape.operators.spatial import lines_within, nearest, points_within
 from voltscape.plans import feature_table, station_profile
 from voltscape.plans.timeseries import station_timeseries
 from voltscape.session import pin
@@ -30,6 +32,8 @@ LATE = DayWindow.until_last_month(date(1998, 3, 1), LONG_AS_OF)
 SHORT_AS_OF = date(2024, 2, 15)
 SHORT = DayWindow.until_last_month(date(2024, 1, 1), SHORT_AS_OF)
 SHORT_LOCAL = DayWindow.until_last_month(date(2024, 1, 1), SHORT_AS_OF, fixed.LOCAL_ZONE)
+# Stations that were in use of late have a road table of their own.
+RECENT = DayWindow.until_last_month(date(2001, 1, 1), LONG_AS_OF)
 HOURLY = DayWindow(date(2024, 1, 5), date(2024, 1, 25))
 # Days of the short month that count as active.
 ACTIVE_DAYS = 15
@@ -98,6 +102,15 @@ def wkt_lines(i: Inputs) -> DataFrame:
     )
 
 
+def wkt_shapes(i: Inputs) -> DataFrame:
+    """Every vertex of every shape; text that is no geometry has one row without any."""
+    parts = i.shapes.select("id", "kind", F.posexplode_outer("parts").alias("part", "_part"))
+    lists = parts.select("id", "kind", "part", F.posexplode_outer("_part").alias("ring", "_ring"))
+    return lists.select("id", "kind", "part", "ring", F.posexplode_outer("_ring").alias("position", "p")).select(
+        "id", "kind", "part", "ring", "position", "p.lon", "p.lat"
+    )
+
+
 def csv_roundtrip(i: Inputs) -> DataFrame:
     monthly = rollups.monthly_utilization(usage.daily_utilization_local(i.usage_long(LONG_LOCAL), norway(i), LONG_LOCAL))
     frame = series.monthly_series(monthly)
@@ -121,6 +134,23 @@ def station_filter_region(i: Inputs) -> DataFrame:
     return st.eligible(i.stations, st.NORWAY, i.boundary).select("id", "capacity_kw", "operator")
 
 
+def station_filter_sql(i: Inputs) -> DataFrame:
+    """The filter by region as SQL text, with the boundary as a parameter."""
+    geography.register(i.spark)
+    return tables.query(
+        i.spark,
+        "select id, capacity_kw, operator from {stations} where source = :source and is_approved and capacity_kw >= :capacity "
+        "and country_name = :country and st_within(st_geogpoint(lon, lat), st_geogfromgeojson(:boundary))",
+        {
+            "source": fixed.SOURCE_NORWAY,
+            "capacity": fixed.MIN_CAPACITY_NORWAY_KW,
+            "country": fixed.COUNTRY_NORWAY,
+            "boundary": i.boundary_text,
+        },
+        stations=i.stations,
+    )
+
+
 def station_filter_country(i: Inputs) -> DataFrame:
     return norway(i).select("id", "capacity_kw", "operator")
 
@@ -277,6 +307,30 @@ def poi_within_500m(i: Inputs) -> DataFrame:
     return here.join(pairs, ["site_lon", "site_lat"], "left").selectExpr("id", "poi_id", millimetres)
 
 
+def at_stations(stations: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
+    """The stations with what was found at their places, distances to the millimetre."""
+    here = stations.select("id", F.col("lon").alias("site_lon"), F.col("lat").alias("site_lat"))
+    return here.join(found, ["site_lon", "site_lat"]).selectExpr(
+        "id", *columns, "cast(floor(distance_m * 1e3D + 0.5D) as double) / 1e3D as distance_m"
+    )
+
+
+def shapes_within_500m(i: Inputs) -> DataFrame:
+    shapes = i.shapes.withColumnRenamed("id", "shape_id")
+    return at_stations(i.stations, shapes_within(i.stations, shapes, "shape_id"), "shape_id")
+
+
+def nearest_shapes(i: Inputs) -> DataFrame:
+    found = nearest_shape(i.stations, i.shapes.withColumnRenamed("id", "shape_id"), "shape_id")
+    return i.stations.select("id", "lon", "lat").join(found, ["lon", "lat"], "left").select("id", "shape_id", "distance_deg")
+
+
+def trails_within_500m(i: Inputs) -> DataFrame:
+    lines = i.trails.withColumnRenamed("id", "trail_id")
+    pairs = lines_within(i.far_stations, lines).groupBy("site_lon", "site_lat", "trail_id").agg(F.min("distance_m").alias("distance_m"))
+    return at_stations(i.far_stations, pairs, "trail_id")
+
+
 def metres(df: DataFrame) -> DataFrame:
     """Distances to the millimetre: the last bits depend on the sine in use."""
     columns = [c for c in df.columns if c.endswith("_dist") or c.startswith(("road_distance_", "closest_distance"))]
@@ -304,7 +358,7 @@ def road_within_500m(i: Inputs) -> DataFrame:
     active = stage(
         usage.active_stations(i.usage_short(SHORT), st.eligible(i.stations, rule), SHORT, ACTIVE_DAYS), "active"
     )
-    found = metres(road_proximity(active, i.roads))
+    found = metres(road_proximity(active, roads_of(i.roads, fixed.ROAD_COUNTRY_SWITZERLAND)))
     return found.withColumn("roads_names", F.array_join("roads_names", "|")).orderBy("id", F.desc("roads_count"))
 
 
@@ -339,8 +393,9 @@ def clean_poi(i: Inputs) -> DataFrame:
 
 
 def clean_road(i: Inputs) -> DataFrame:
-    # a road table that lacks some stations: these have no road at all and go
-    known = stage(road_counts(i), "road").where("id % 11 <> 0")
+    # the road table lacks stations that were not in use of late: these have no road at all and go
+    recent = stage(usage.stations_with_usage(i.usage_long(RECENT), norway(i), RECENT), "near")
+    known = stage(road_proximity(recent, i.roads, names=False), "road")
     joined = stage(feature_table.station_with_road(base_of(i), known), "road")
     return cleaning.with_roads(joined).select("id", "operator", *cleaning.CHECKED_ROAD_COLUMNS)
 
@@ -448,9 +503,11 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "road_scan": road_scan,
     "wkt_points": wkt_points,
     "wkt_lines": wkt_lines,
+    "wkt_shapes": wkt_shapes,
     "csv_roundtrip": csv_roundtrip,
     "station_in_boundary": station_in_boundary,
     "station_filter_region": station_filter_region,
+    "station_filter_sql": station_filter_sql,
     "station_filter_country": station_filter_country,
     "station_filter_source": station_filter_source,
     "operator_match": operator_match,
@@ -479,6 +536,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "poi_superclass": poi_superclass,
     "road_within_500m": road_within_500m,
     "nearest_population": nearest_population,
+    "shapes_within_500m": shapes_within_500m,
+    "nearest_shape": nearest_shapes,
+    "trails_within_500m": trails_within_500m,
     "poi_features": lambda i: metres(poi_features(i)),
     "road_features": lambda i: metres(road_features(i)),
     "station_with_poi": lambda i: metres(with_poi(i)),

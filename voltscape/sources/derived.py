@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from voltscape.fixed_values import POI_CLASSES
 from voltscape.functions.calendar import DayWindow
 from voltscape.functions.staging import fresh_path
+from voltscape.operators.shapes import read_shapes
 from voltscape.sources import tables
 
 STATION = """
@@ -101,6 +102,27 @@ CORNERS = (
     (-0.01, -0.01), (0.005, -0.02), (0.02, -0.01), (0.02, 0.02), (0.005, 0.03), (-0.01, 0.02),
 )
 
+# Shapes around the points of interest, by id modulo 6: kind, and its parts' vertex lists in widths
+# and heights from the point. The last is no geometry, as its ring is open.
+SHAPES = {
+    0: ("POLYGON", [[[(-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1)], [(-0.5, -0.5), (0.5, -0.5), (0.5, 0.5), (-0.5, 0.5), (-0.5, -0.5)]]]),
+    1: ("MULTIPOLYGON", [[[(-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1)]], [[(2, -1), (4, -1), (4, 1), (2, -1)]]]),
+    2: ("LINESTRING", [[[(-1, 0), (0, 1), (1, 0)]]]),
+    3: ("POINT", [[[(0, 0)]]]),
+    4: ("POLYGON Z", [[[(-1, -1), (1, -1), (0, 1), (-1, -1)]]]),
+    5: ("POLYGON", [[[(-1, -1), (1, -1), (0, 1)]]]),
+}
+SHAPE_HEIGHT = "(103 + (id % 7) * 82) / 100000.0e0"
+# Trails of 3 to 200 vertices that start at the stations, one per supplier.
+TRAIL = """
+select s_suppkey as id, 3 + (s_suppkey * 37) % 198 as vertices,
+       10.56e0 + ((s_suppkey*7919) % 7610)/1000.0e0 as x, 64.92e0 + ((s_suppkey*104729) % 4695)/1000.0e0 as y
+from {supplier}
+"""
+TRAIL_X, TRAIL_Y = "x + k * 0.0008e0", "y + (k % 2) * 0.0005e0 + k * 0.0001e0"
+# What is added to longitudes, so that some places and trails lie on either side of the antimeridian.
+FAR_EAST = 165.9
+
 LONG_HOUR = "cast(o_orderdate as timestamp) + make_dt_interval(0, cast(o_orderkey % 24 as int))"
 SHORT_HOUR = "date_trunc('hour', cast(ts as timestamp))"
 ANCHOR = "p_partkey div 10"
@@ -169,6 +191,42 @@ class Inputs:
         vertices = F.array(*(F.struct(F.col(f"x{i}").alias("lon"), F.col(f"y{i}").alias("lat")) for i in (1, 2)))
         return rows.select("id", "class", "name", "country", vertices.alias("coordinates"))
 
+    @cached_property
+    def shape_texts(self) -> DataFrame:
+        """Shapes of several kinds around the points of interest, as text."""
+        width, height = f"2 * {SHAPE_HEIGHT}", SHAPE_HEIGHT
+
+        def listed(vertices: list, more: str) -> str:
+            return "(" + ", ".join(f"%.6f %.6f{more}" for _ in vertices) + ")"
+
+        arms = []
+        for rest, (kind, parts) in SHAPES.items():
+            more = " 7" if kind.endswith("Z") else ""
+            lists = ["(" + ", ".join(listed(v, more) for v in part) + ")" for part in parts]
+            body = f"({', '.join(lists)})" if kind.startswith("MULTI") else lists[0]
+            body = body[1:-1] if kind in ("LINESTRING", "POINT") else body
+            values = ", ".join(f"lon + {dx} * {width}, lat + {dy} * {height}" for part in parts for v in part for dx, dy in v)
+            arms.append(f"when {rest} then format_string('{kind} {body}', {values})")
+        return self.pois.selectExpr("id", f"case id % 6 {' '.join(arms)} end as geometry")
+
+    @cached_property
+    def shapes(self) -> DataFrame:
+        return read_shapes(self.shape_texts)
+
+    @cached_property
+    def trails(self) -> DataFrame:
+        """Lines of many vertices, moved to the antimeridian; their vertices arrive as text."""
+        rows = self._derive(TRAIL, "supplier")
+        lon = f"pmod({TRAIL_X} + {FAR_EAST} + 180, 360) - 180"
+        vertex = f"format_string('%.7f %.7f', {lon}, {TRAIL_Y})"
+        text = f"concat('LINESTRING (', array_join(transform(sequence(0, cast(vertices as int) - 1), k -> {vertex}), ', '), ')')"
+        return tables.read_lines(rows.selectExpr("id", f"{text} as geometry"), "geometry").drop("geometry")
+
+    @cached_property
+    def far_stations(self) -> DataFrame:
+        """The stations, moved like the trails."""
+        return self.stations.withColumn("lon", F.expr(f"pmod(lon + {FAR_EAST} + 180, 360) - 180"))
+
     @cached_property
     def population(self) -> DataFrame:
         """Population points; their places arrive as text."""
@@ -179,16 +237,19 @@ class Inputs:
     @cached_property
     def boundary(self) -> DataFrame:
         """Edges of a GeoJSON file: the boundary is the first of its two features."""
+        path = fresh_path(self.spark, "boundary")
+        self.spark.createDataFrame([(self.boundary_text,)], "value string").write.text(path)
+        return tables.read_boundary(self.spark, path)
+
+    @property
+    def boundary_text(self) -> str:
         ring = [[x, y] for x, y in (*BOUNDARY, BOUNDARY[0])]
         other = [[[0, 0], [1, 0], [1, 1], [0, 0]]]
         features = [
             {"type": "Feature", "properties": {}, "geometry": {"type": "Polygon", "coordinates": rings}}
             for rings in ([ring], other)
         ]
-        path = fresh_path(self.spark, "boundary")
-        text = json.dumps({"type": "FeatureCollection", "features": features}, indent=1)
-        self.spark.createDataFrame([(text,)], "value string").write.text(path)
-        return tables.read_boundary(self.spark, path)
+        return json.dumps({"type": "FeatureCollection", "features": features}, indent=1)
 
     @cached_property
     def station_flags(self) -> DataFrame:

@@ -42,8 +42,8 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_points(df: DataFrame, geometry: str) -> DataFrame:
-    """Point text to `lon` and `lat`."""
-    return df.withColumns({"lon": geo.point_lon(F.col(geometry)), "lat": geo.point_lat(F.col(geometry))})
+    """Point text to `lon` and `lat`; the text is parsed once, however often they are used."""
+    return geo.with_point(df, geometry, "lon", "lat")
 
 
 def read_lines(df: DataFrame, geometry: str) -> DataFrame:
