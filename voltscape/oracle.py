@@ -486,6 +486,20 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
            from monthly m left join active_m a on m.id = a.id""",
         [],
     ),
+    "csv_quarantine": (
+        """select c_custkey as id, c_acctbal::double as balance, date '2024-01-01' + cast(c_custkey % 9 as int) as day,
+                  'say "' || c_mktsegment || case when c_custkey % 4 = 0 then '",' || chr(10) else '", ' end || 'yes' as note, null as record
+           from customer where c_custkey % 10 not in (3, 5, 7, 9)
+           union all
+           select null, null, null, null, case c_custkey % 10 when 3 then c_custkey || ',much,2024-01-01,a' when 5 then c_custkey || ',1.5'
+                  when 7 then c_custkey || ',1.5,2024-01-01,a,b' else ',1.5,2024-01-01,note ' || c_custkey end
+           from customer where c_custkey % 10 in (3, 5, 7, 9)""",
+        ["balance"],
+    ),
+    "road_tables": (
+        "select id, lon, lat, type_road, roads_count, dist as closest_distance_meters from active_roads",
+        ["lon", "lat", "closest_distance_meters"],
+    ),
     "station_in_boundary": ("select * from inside", ["lon", "lat"]),
     "station_filter_region": (
         "select e.id, e.capacity_kw, e.operator from elig e where e.id in (select id from inside)", [],
@@ -503,6 +517,16 @@ RESULTS: dict[str, tuple[str, list[str]]] = {
             where {between('cast(u.hour as date)', *LATE)}""",
         ["charging_duration"],
     ),
+    "usage_partitioned": (
+        f"""select u.id, cast(u.hour as date) as day, u.charging_duration from usage_long u join elig s on u.id = s.id
+            where {between('cast(u.hour as date)', *LATE)}""",
+        ["charging_duration"],
+    ),
+    "bucketed_summary": (
+        """select s.id, s.operator, s.title, count(*) as days, avg(d.daily_utilization) as mean_utilization
+           from elig s join daily_short d on d.id = s.id group by s.id, s.operator, s.title""",
+        ["mean_utilization"],
+    ),
     "usage_window_local": (
         f"""select u.id, u.hour, {local('u.hour')} as day, u.charging_duration
             from usage_short u join elig s on u.id = s.id where {between(local('u.hour'), *SHORT)}""",

@@ -21,7 +21,7 @@ from voltscape.operators.spatial import lines_within, nearest, points_within
 from voltscape.plans import feature_table, station_profile
 from voltscape.plans.timeseries import station_timeseries
 from voltscape.session import pin
-from voltscape.sources import tables
+from voltscape.sources import layouts, tables
 from voltscape.sources.derived import Inputs
 
 # The order table runs from 1995 to August 2001, the events cover January 2024.
@@ -37,6 +37,7 @@ RECENT = DayWindow.until_last_month(date(2001, 1, 1), LONG_AS_OF)
 HOURLY = DayWindow(date(2024, 1, 5), date(2024, 1, 25))
 # Days of the short month that count as active.
 ACTIVE_DAYS = 15
+DAILY_BUCKETS = 8
 SEED = 42
 
 
@@ -126,6 +127,33 @@ def csv_roundtrip(i: Inputs) -> DataFrame:
     ).select("id", "active_months", "p.month_start", "p.avg_utilization_pct", "p.active_flag")
 
 
+def csv_quarantine(i: Inputs) -> DataFrame:
+    """Records that fit, and those put aside as text."""
+    rows, bad = tables.read_csv_checked(
+        i.spark, i.csv_lines(), "id bigint, balance double, day date, note string", header=False, multi_line=True, required=["id"]
+    )
+    return rows.withColumn("record", F.lit(None).cast("string")).unionByName(bad.select("record"), allowMissingColumns=True)
+
+
+def table_name(i: Inputs, name: str) -> str:
+    """A catalog name of this application's own."""
+    return f"{name}_{i.spark.sparkContext.applicationId.replace('-', '_')}"
+
+
+def road_tables(i: Inputs) -> DataFrame:
+    """The chain of road tables, each replaced from the one before: raw text rows, rows of one
+    country with lines (which replace the raw table they read), and what lies near the stations."""
+    raw, near = table_name(i, "roads"), table_name(i, "roads_near")
+    for _ in range(2):
+        tables.replace_table(i.road_texts, raw)
+        swiss = roads_of(i.spark.table(raw), fixed.ROAD_COUNTRY_SWITZERLAND)
+        tables.replace_table(tables.read_lines(swiss, "geometry").drop("geometry"), raw)
+        rule = st.SWITZERLAND_UNAPPROVED
+        active = usage.active_stations(i.usage_short(SHORT), st.eligible(i.stations, rule), SHORT, ACTIVE_DAYS)
+        tables.replace_table(road_proximity(stage(active, "active"), i.spark.table(raw), names=False), near)
+    return metres(i.spark.table(near))
+
+
 def station_in_boundary(i: Inputs) -> DataFrame:
     return st.within_boundary(i.stations, i.boundary).select("id", "lon", "lat")
 
@@ -173,6 +201,24 @@ def usage_window(i: Inputs) -> DataFrame:
     return usage.usage_of(i.usage_long(LATE), norway(i), LATE).select("id", "day", "charging_duration")
 
 
+def usage_partitioned(i: Inputs) -> DataFrame:
+    """The same from the fact stored by month and station group."""
+    path = fresh_path(i.spark, "usage")
+    layouts.write_usage(i.usage_long(LONG), path)
+    rows = layouts.read_usage(i.spark, path, LATE, norway(i))
+    return usage.usage_of(rows, norway(i), LATE).select("id", "day", "charging_duration")
+
+
+def bucketed_summary(i: Inputs) -> DataFrame:
+    """A profile of two tables saved by station: days and mean use, joined where they lie."""
+    daily = layouts.save_bucketed(
+        usage.daily_utilization(i.usage_short(SHORT), norway(i), SHORT), table_name(i, "daily"), "id", DAILY_BUCKETS
+    )
+    known = layouts.save_bucketed(norway(i).select("id", "operator", "title"), table_name(i, "known"), "id", DAILY_BUCKETS)
+    days = daily.groupBy("id").agg(F.count(F.lit(1)).alias("days"), F.avg("daily_utilization").alias("mean_utilization"))
+    return known.join(days, "id").select("id", "operator", "title", "days", "mean_utilization")
+
+
 def usage_window_local(i: Inputs) -> DataFrame:
     return usage.usage_of(i.usage_short(SHORT_LOCAL), norway(i), SHORT_LOCAL).select("id", "hour", "day", "charging_duration")
 
@@ -505,6 +551,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "wkt_lines": wkt_lines,
     "wkt_shapes": wkt_shapes,
     "csv_roundtrip": csv_roundtrip,
+    "csv_quarantine": csv_quarantine,
+    "road_tables": road_tables,
     "station_in_boundary": station_in_boundary,
     "station_filter_region": station_filter_region,
     "station_filter_sql": station_filter_sql,
@@ -512,6 +560,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "station_filter_source": station_filter_source,
     "operator_match": operator_match,
     "usage_window": usage_window,
+    "usage_partitioned": usage_partitioned,
+    "bucketed_summary": bucketed_summary,
     "usage_window_local": usage_window_local,
     "hourly_detail": hourly_detail,
     "station_span": station_span,

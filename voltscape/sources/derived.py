@@ -184,6 +184,13 @@ class Inputs:
     def categories(self) -> DataFrame:
         return self._derive(CATEGORY)
 
+    @cached_property
+    def road_texts(self) -> DataFrame:
+        """Raw road rows with their geometry as text."""
+        vertices = "transform(coordinates, c -> format_string('%.6f %.6f', c.lon, c.lat))"
+        text = f"concat('LINESTRING (', array_join({vertices}, ', '), ')') as geometry"
+        return self.roads.selectExpr("id", "class", "name", "country", text)
+
     @cached_property
     def roads(self) -> DataFrame:
         """Raw road rows; the geometry is an array of vertices."""
@@ -227,6 +234,23 @@ class Inputs:
         """The stations, moved like the trails."""
         return self.stations.withColumn("lon", F.expr(f"pmod(lon + {FAR_EAST} + 180, 360) - 180"))
 
+    def csv_lines(self) -> str:
+        """Path of CSV text made from the customers, one record each: id, balance, day, note. Notes
+        have quotes and line ends; some records have a word for the balance, a field too few or too
+        many, or no id."""
+        plain = "concat_ws(',', cast(c_custkey as string), cast(c_acctbal as string), '2024-01-0' || (1 + c_custkey % 9), {note})"
+        note = "concat('\"say \"\"', c_mktsegment, if(c_custkey % 4 = 0, '\"\",\n', '\"\", '), 'yes\"')"
+        text = (
+            f"case c_custkey % 10 when 3 then concat_ws(',', cast(c_custkey as string), 'much', '2024-01-01', 'a') "
+            f"when 5 then concat_ws(',', cast(c_custkey as string), '1.5') "
+            f"when 7 then concat_ws(',', cast(c_custkey as string), '1.5', '2024-01-01', 'a', 'b') "
+            f"when 9 then concat_ws(',', '', '1.5', '2024-01-01', 'note ' || c_custkey) "
+            f"else {plain.format(note=note)} end as value"
+        )
+        path = fresh_path(self.spark, "lines")
+        self.table("customer").selectExpr(text).write.text(path)
+        return path
+
     @cached_property
     def population(self) -> DataFrame:
         """Population points; their places arrive as text."""

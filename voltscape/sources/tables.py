@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltscape.functions import geo
+from voltscape.functions.staging import stage
 
 
 def query(spark: SparkSession, sql: str, parameters: dict[str, Any] | None = None, **tables: DataFrame) -> DataFrame:
@@ -25,6 +28,38 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return spark.read.schema(schema).csv(path, header=True)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_csv_checked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    header: bool = True,
+    multi_line: bool = False,
+    required: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine): the rows that fit the schema, and (file, record) of all others, as text.
+
+    A record is quarantined if it has too few or too many fields, a value that is not of its
+    column's type, or none in a `required` column. With `multi_line`, quoted fields may hold line
+    ends; such a file can't be split, so it is one task's work. Both results come from one reading,
+    which is written first.
+    """
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    read = spark.read.schema(T.StructType([*wanted.fields, T.StructField(CORRUPT, T.StringType())]))
+    rows = read.csv(path, header=header, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, quote='"', escape='"')
+    # a record that lacks a required value is told by its fields, as the reader kept it for good
+    fields = F.to_csv(F.struct(*(F.col(f"`{f.name}`").cast("string") for f in wanted.fields)))
+    lacking = F.lit(False)
+    for name in required:
+        lacking = lacking | F.col(f"`{name}`").isNull()
+    told = F.coalesce(F.col(CORRUPT), F.when(lacking, fields))
+    known = stage(rows.withColumn(CORRUPT, told).withColumn("_file", F.input_file_name()), "csv")
+    good = known.where(F.col(CORRUPT).isNull()).select(*(F.col(f"`{f.name}`") for f in wanted.fields))
+    return good, known.where(F.col(CORRUPT).isNotNull()).select(F.col("_file").alias("file"), F.col(CORRUPT).alias("record"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; nested columns become JSON text."""
     nested = (T.ArrayType, T.StructType, T.MapType)
@@ -36,9 +71,32 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Create or replace a catalog table with the rows of `df`."""
-    df.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Create or replace a catalog table with the rows of `df`, which may read the table itself.
+
+    The rows are written to a table of their own first, which then takes the name: if the writing
+    fails, the old table is as it was, and nobody finds a table half written. Frames made from the
+    old table can no longer be read. `name` may have a database in front.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    fresh, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
+    try:
+        df.write.saveAsTable(fresh)
+    except Exception:
+        spark.sql(f"drop table if exists {fresh}")
+        raise
+    replaced = spark.catalog.tableExists(name)
+    if replaced:
+        spark.sql(f"alter table {name} rename to {old}")
+    try:
+        spark.sql(f"alter table {fresh} rename to {name}")
+    except Exception:
+        if replaced:
+            spark.sql(f"alter table {old} rename to {name}")
+        spark.sql(f"drop table if exists {fresh}")
+        raise
+    if replaced:
+        spark.sql(f"drop table {old}")
+    return spark.table(name)
 
 
 def read_points(df: DataFrame, geometry: str) -> DataFrame:
