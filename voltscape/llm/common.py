@@ -45,10 +45,18 @@ def map_rows(
     return df.mapInArrow(run, wanted)
 
 
+#: Bytes of text in a table that is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
 def attach(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join with a written table of one row per key: broadcast when its counted rows allow it,
-    else by a shuffle, where adaptive execution splits hot keys."""
-    return big.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+    """Join with a written table of one row per key: broadcast when its counted rows and the bytes of
+    their texts allow it, else by a shuffle, where adaptive execution splits hot keys."""
+    texts = [f.name for f in small.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    size = " + ".join(f"coalesce(octet_length(`{name}`), 0)" for name in texts) or "0"
+    rows, held = small.agg(F.count(F.lit(1)), F.expr(f"sum(cast({size} as bigint))")).first()
+    fits = rows <= BROADCAST_ROWS and (held or 0) <= BROADCAST_BYTES
+    return big.join(F.broadcast(small) if fits else small, on, how)
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:

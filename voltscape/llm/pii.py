@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
 import pandas as pd
 import regex
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +24,13 @@ KINDS = ("email", "ip", "card", "phone")
 #: Share of a value's information that a term may give away: above the first it is generalised,
 #: above the second it is removed.
 GENERALISE, REMOVE = 0.9, 0.99
+#: Terms on either side of a value that count as said with it.
+NEAR = 16
+#: Different surroundings in which a term must be said with a value, and the G-test's least value (one
+#: in a thousand by chance).
+SUPPORT, SIGNIFICANT = 3, 10.83
+#: Letters of a term that needs less support if an address contains it.
+NAMED = 4
 #: Marks for hashes of disclosing terms, by which words of the documents are passed over before the join.
 MARKS = 1 << 20
 
@@ -117,16 +127,39 @@ def outside(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
 
 
 def contexts(text: str, base: list[Span]) -> list[dict]:
-    """The terms of the text outside all base spans, for each base span."""
-    terms = [{"term": text[a:b].lower(), "start": a, "end": b} for a, b in outside(text, base)] if base else []
-    return [{"kind": kind, "value": value_of(text[a:b], kind), **term} for a, b, kind in base for term in terms]
+    """kind, value, term, context, named: the different terms within NEAR terms of each value, outside
+    all base spans; of several places the one with the smallest context, the hash of all terms
+    there. named: an e-mail address whose local part contains the term."""
+    if not base:
+        return []
+    spans = list(outside(text, base))
+    terms = [text[a:b].lower() for a, b in spans]
+    starts = [a for a, _ in spans]
+    found: dict[tuple[int, str, str], int] = {}
+    for a, b, kind in base:
+        at = bisect_left(starts, a)
+        around = terms[max(0, at - NEAR) : at + NEAR]
+        context = xxhash.xxh64_intdigest("\n".join(around)) - (1 << 63)
+        value = value_of(text[a:b], kind)
+        for term in set(around):
+            key = (kind, value, term)
+            found[key] = min(found.get(key, context), context)
+    return [
+        {"kind": kind, "value": value, "term": term, "context": context, "named": _names(kind, value, term)}
+        for (kind, value, term), context in found.items()
+    ]
+
+
+def _names(kind: int, value: str, term: str) -> bool:
+    return kind == 0 and len(term) >= NAMED and term in value.partition("@")[0]
 
 
 def _base(docs: DataFrame) -> DataFrame:
-    """Per row of `docs` (doc_id, text): counts and spans of the base patterns, the protected
-    values, and the different terms of texts that have some. `hash` tells texts of one doc_id apart."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, hash long, base array<struct<start: int, end: int, kind: int>>, found array<struct<kind: int, value: string>>, near array<string>"
+    """Per row of `docs` (doc_id, text): the spans of the base patterns, the protected values and the
+    terms near them. `hash` tells texts of one doc_id apart."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    near = "array<struct<kind: int, value: string, term: string, context: long, named: boolean>>"
+    schema = f"doc_id {id_type}, hash long, base array<struct<start: int, end: int, kind: int>>, found array<struct<kind: int, value: string>>, near {near}"
 
     def kernel(batch: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"doc_id": batch["doc_id"], "hash": batch["hash"], "base": [], "found": [], "near": []}
@@ -134,24 +167,47 @@ def _base(docs: DataFrame) -> DataFrame:
             base = base_spans(text) if text else []
             out["base"].append([dict(zip(("start", "end", "kind"), s)) for s in base])
             out["found"].append([{"kind": k, "value": value_of(text[a:b], k)} for a, b, k in base])
-            out["near"].append(list({text[a:b].lower() for a, b in outside(text, base)}) if base else [])
+            out["near"].append(contexts(text, base))
         return out
 
     return map_rows(docs.selectExpr("doc_id", "xxhash64(text) as hash", "text"), schema, kernel)
 
 
-def _term_counts(docs: DataFrame) -> DataFrame:
-    """(term, n): documents with the term, counted per batch before the shuffle."""
+def _marked(terms: DataFrame) -> Broadcast:
+    """Marks of the hashes of all terms, MARKS bytes."""
+    marks = bytearray(MARKS)
+    for row in terms.selectExpr(f"crc32(encode(term, 'UTF-8')) % {MARKS} as mark").distinct().toLocalIterator():
+        marks[row.mark] = 1
+    return terms.sparkSession.sparkContext.broadcast(bytes(marks))
+
+
+def _term_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, n_term): documents with the term, for the `wanted` terms. Words whose hash none of
+    them has are passed over where they are read; counts are made per batch before the shuffle."""
+    shared = _marked(wanted)
 
     def kernel(batch: dict[str, list]) -> dict[str, list]:
-        counts: Counter[bytes] = Counter()
+        own, counts = shared.value, Counter()
         for text in batch["text"]:
             if text:
-                counts.update(set(tokens(text)))
+                counts.update(word for word in set(tokens(text)) if own[crc32(word) % MARKS])
         return {"term": [t.decode("utf-8", "replace") for t in counts], "n": list(counts.values())}
 
     # the more texts are counted together, the fewer rows are shuffled
-    return map_rows(docs.select("text"), "term string, n long", kernel, 4 * PIECE_BYTES).groupBy("term").agg(F.sum("n").alias("n_term"))
+    found = map_rows(docs.select("text"), "term string, n long", kernel, 4 * PIECE_BYTES)
+    return attach(found.groupBy("term").agg(F.sum("n").alias("n_term")), wanted, ["term"])
+
+
+def _g(total: int) -> str:
+    """The G-test's value for a term and a value in n_both documents together."""
+    cells = {
+        "n_both": "cast(n_value as double) * n_term",
+        "(n_value - n_both)": f"cast(n_value as double) * ({total} - n_term)",
+        "(n_term - n_both)": f"cast(n_term as double) * ({total} - n_value)",
+        f"({total} - n_value - n_term + n_both)": f"cast({total} - n_value as double) * ({total} - n_term)",
+    }
+    parts = (f"if({o} > 0 and {e} > 0, {o} * ln({o} * {total}D / ({e})), 0D)" for o, e in cells.items())
+    return f"2 * ({' + '.join(parts)})"
 
 
 def disclosures(docs: DataFrame, found: DataFrame, threshold: float = GENERALISE) -> DataFrame:
@@ -159,34 +215,32 @@ def disclosures(docs: DataFrame, found: DataFrame, threshold: float = GENERALISE
     information.
 
     Over all N documents, the information of a value is ln(N / n_value); a term gives away their
-    pointwise mutual information ln(N n_both / (n_value n_term)). n_both counts documents with
-    the value and, anywhere outside base spans, the term; n_term all documents with it. A value
-    in every document carries no information and is disclosed by nothing.
+    pointwise mutual information ln(N n_both / (n_value n_term)). n_both counts the different
+    surroundings, one per document at most, in which the term stands within NEAR terms of the value, so copies of a passage
+    are no evidence; n_value and n_term count documents. One co-occurrence is no estimate: n_both
+    must be SUPPORT at least and significant by the G-test, or the term part of the address
+    itself. A value in every document carries no information and is disclosed by nothing.
     """
     total = found.count()
+    near = found.selectExpr("inline(near)").groupBy("kind", "value", "term").agg(
+        F.count_distinct("context").alias("n_both"), F.max("named").alias("named")
+    )
+    both = stage(near.where(f"n_both >= {SUPPORT} or named"), "both")
+    terms = stage(both.select("term").distinct(), "terms")
     values = found.selectExpr("inline(array_distinct(found))").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_value"))
-    # as n_both is at most n_value, more frequent terms can't give away enough: they are not paired up
-    most = f"{total}D * pow(n_value / {total}D, {threshold}D) * 1.000001D as most"
-    values = stage(values.select("*", F.expr(most)), "values")
-    limit = values.agg(F.max("most")).first()[0]
-    wanted = stage(found.selectExpr("explode(near) as term").distinct(), "terms")
-    # an inner join, as a semi-join would be moved below the counting and meet every batch's counts
-    rare = stage(attach(_term_counts(docs), wanted, ["term"]).where(F.col("n_term") <= F.lit(limit)), "rare")
-    listed = found.where("size(found) > 0").selectExpr("array_distinct(found) as _found", "explode(near) as term")
-    pairs = attach(listed, rare, ["term"]).selectExpr("term", "n_term", "inline(_found)")
-    both = attach(pairs, values, ["kind", "value"]).where("n_term <= most")
-    both = both.groupBy("kind", "value", "term", "n_value", "n_term").agg(F.count(F.lit(1)).alias("n_both"))
-    share = f"ln({total}D * n_both / (cast(n_value as double) * greatest(n_term, n_both))) / nullif(ln({total}D / n_value), 0D)"
-    return both.selectExpr("kind", "value", "term", f"{share} as share").where(f"share >= {threshold}")
+    known = stage(attach(values, stage(both.select("kind", "value").distinct(), "values"), ["kind", "value"]), "values")
+    counted = attach(attach(both, known, ["kind", "value"]), stage(_term_counts(docs, terms), "counts"), ["term"])
+    # surroundings and whole texts may be cut into words differently
+    counted = counted.withColumn("n_term", F.greatest("n_term", "n_both"))
+    share = f"ln({total}D * n_both / (cast(n_value as double) * n_term)) / nullif(ln({total}D / n_value), 0D)"
+    shares = counted.selectExpr("kind", "value", "term", f"{share} as share", f"named or {_g(total)} >= {SIGNIFICANT}D as sure")
+    return shares.where(f"sure and share >= {threshold}").drop("sure")
 
 
 def _occurrences(docs: DataFrame, told: DataFrame) -> DataFrame:
     """(doc_id, hash, start, end, share) of every occurrence of the terms of `told` outside base
     spans. Words whose hash no term has are passed over where they are read; the join decides."""
-    marks = bytearray(MARKS)
-    for row in told.selectExpr(f"crc32(encode(term, 'UTF-8')) % {MARKS} as mark").distinct().toLocalIterator():
-        marks[row.mark] = 1
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(marks))
+    shared = _marked(told)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def kernel(batch: dict[str, list]) -> dict[str, list]:
@@ -217,6 +271,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """
     found = stage(_base(docs), "personal")
     told = stage(disclosures(docs, found).groupBy("term").agg(F.max("share").alias("share")), "disclosures")
+    nothing = "cast(array() as array<struct<start: int, end: int, share: double>>) as terms"
+    if told.isEmpty():
+        return found.selectExpr("doc_id", "hash", "base", nothing)
     spans = _occurrences(docs, told).groupBy("doc_id", "hash", "start", "end").agg(F.max("share").alias("share"))
     per_doc = spans.groupBy("doc_id", "hash").agg(F.expr("array_sort(collect_list(struct(start, end, share))) as _terms"))
     per_doc = per_doc.withColumnsRenamed({"doc_id": "_id", "hash": "_hash"})
