@@ -36,7 +36,7 @@ PASS_BYTES = 64 << 20
 #: Different terms a task counts before it passes the counts on.
 HELD_TERMS = 300_000
 #: Terms x sources of one block of the comparison.
-BLOCK_CELLS = 1_000_000
+BLOCK_CELLS = 200_000
 
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 

@@ -70,7 +70,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.selectExpr("doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) as kept_sha256")
+    return found.selectExpr(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256) as kept_sha256",
+        "repeated", "n_groups", "longest_group", "occurrences",
+    )
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
