@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from helpers import documents, odd_rows, prose
 
 from voltscape.llm import quality_rules as qr
@@ -68,29 +69,69 @@ def test_junk_goes_and_clean_stays(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
 
 
-def test_estimate_equals_plain_steps(spark):
-    """The same concentration steps in numpy; percentiles of a few hundred rows are exact."""
-    rows = [(i, clean(i) if i % 8 else junk(i), "en", "one") for i in range(1, 300)]
+def lower(values, share):
+    return np.sort(values, axis=0)[int(np.ceil(share * len(values))) - 1]
+
+
+def plain_mcd(x):
+    """The search in numpy: (centre, inverse, log determinant) of every start, to its end."""
+    floors = np.array(list(qr.STATISTICS.values()))
+    middle, low, high = (lower(x, s) for s in (0.5, 0.25, 0.75))
+    u = (x - middle) / floors
+    signs = u / np.maximum(np.linalg.norm(u, axis=1), 1e-9)[:, None]
+    turned = signs.T @ signs / len(x) * len(floors) * np.outer(floors, floors) + np.diag(floors**2)
+    plain = np.diag(1 / floors**2)
+    starts = [(middle, plain), (low, plain), (high, plain),
+              (middle, np.diag(1 / np.maximum((high - low) / 1.349, floors) ** 2)), (middle, np.linalg.inv(turned))]
+    out = []
+    for centre, inverse in starts:
+        path = []
+        while len(path) < 2 or path[-1][2] < path[-2][2] - 1e-9:
+            d2 = np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre)
+            half = x[d2 <= lower(d2, 0.5)]
+            centre = half.mean(axis=0)
+            scatter = np.cov(half.T, bias=True) + np.diag(floors**2)
+            inverse = np.linalg.inv(scatter)
+            path.append((centre, inverse, np.linalg.slogdet(scatter)[1]))
+        # the determinant never rises
+        assert all(b[2] <= a[2] + 1e-9 for a, b in zip(path, path[1:]))
+        out.append(path)
+    return out
+
+
+@pytest.mark.parametrize("case", ["one", "two clusters"])
+def test_least_determinant_of_all_starts(spark, case):
+    """The start with the least determinant after the first steps is followed to its end."""
+    odd = 8 if case == "one" else 2
+    rows = [(i, clean(i) if i % odd else junk(3 * i if odd == 2 else i), "en", "one") for i in range(1, 300)]
     counted = qr.statistics(documents(spark, rows), "doc_id", "lang", "source")
     shape = qr.fit(counted).first()
-    x = np.array([r.x for r in qr._vectors(counted).collect()])
-    floors = np.array(list(qr.STATISTICS.values()))
-
-    def lower(values, share):
-        return np.sort(values, axis=0)[int(np.ceil(share * len(values))) - 1]
-
-    centre, inverse = lower(x, 0.5), np.diag(1 / floors**2)
-    determinants = []
-    for _ in range(qr.STEPS):
-        d2 = np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre)
-        half = x[d2 <= lower(d2, 0.5)]
-        centre = half.mean(axis=0)
-        scatter = np.cov(half.T, bias=True) + np.diag(floors**2)
-        inverse = np.linalg.inv(scatter)
-        determinants.append(np.linalg.det(scatter))
-    assert determinants == sorted(determinants, reverse=True)
-    assert np.allclose(shape.centre, centre, atol=1e-8)
-    assert np.allclose(np.array(shape.inverse).reshape(inverse.shape), inverse, rtol=1e-5, atol=1e-6)
+    x = np.array([r.q for r in qr._vectors(counted).collect()]) / qr.UNIT
+    paths = plain_mcd(x)
+    best = min(paths, key=lambda path: round(path[qr.FIRST_STEPS - 1][2], 9))
+    centre, inverse, logdet = best[-2] if best[-1][2] >= best[-2][2] - 1e-9 else best[-1]
+    assert shape.logdet == pytest.approx(logdet, abs=1e-6)
+    assert shape.logdet <= min(path[qr.FIRST_STEPS - 1][2] for path in paths) + 1e-6
+    assert np.allclose(shape.centre, centre, atol=1e-6)
+    assert np.allclose(np.array(shape.inverse).reshape(inverse.shape), inverse, rtol=1e-4, atol=1e-4)
+
+
+def test_partitions_change_nothing(spark):
+    rows = [(i, clean(i) if i % 8 else junk(i), "en", "ab"[i % 2]) for i in range(1, 200)]
+    docs = documents(spark, rows)
+    one, many = (sorted(map(tuple, qr.quality(docs.repartition(n)).collect())) for n in (1, 13))
+    assert one == many
+
+
+def test_ranked_is_exact(spark):
+    draw = np.random.default_rng(2)
+    values = [(g, float(v)) for g in "ab" for v in [*draw.normal(0, 50, 301), *[0.0] * 200, *draw.integers(-5, 5, 100)]]
+    frame = spark.createDataFrame([*values, ("c", 7.0)], "g string, v double")
+    got = {(r.g, r.share): r.v for r in qr.ranked(frame, ["g"], "v", (0.25, 0.5, 0.75)).collect()}
+    for g in "ab":
+        own = np.array([v for h, v in values if h == g])
+        assert [got[g, s] for s in (0.25, 0.5, 0.75)] == [lower(own, s) for s in (0.25, 0.5, 0.75)]
+    assert [got["c", s] for s in (0.25, 0.5, 0.75)] == [7.0] * 3
 
 
 def test_odd_rows(spark):

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltscape.functions.joins import BROADCAST_ROWS
 from voltscape.functions.staging import stage
 from voltscape.llm.common import attach, map_rows
 
@@ -34,9 +34,13 @@ STATISTICS = {
 DIMENSIONS = len(STATISTICS)
 #: Share of a group that must agree: the most robust choice.
 HALF = 0.5
-STEPS = 4
-#: Squared Mahalanobis distance above which a document is rejected. For six normal statistics
-#: one document in two million lies beyond 40.
+#: Concentration steps that every start takes before the best of a group goes on alone.
+FIRST_STEPS = 2
+#: Statistics are whole millionths, so that no sum depends on the order of its terms.
+UNIT = 1_000_000
+X = f"transform(q, v -> v / {UNIT}D)"
+#: Squared Mahalanobis distance above which a document is rejected. It lies far out, as the statistics of
+#: clean texts have longer tails than the normal law.
 CUTOFF = 40.0
 
 
@@ -97,30 +101,99 @@ def base_failed() -> str:
     return f"(n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words)"
 
 
+def _vector() -> str:
+    """The statistics, in whole millionths."""
+    return f"array({', '.join(f'cast(round({s} * {UNIT}) as bigint)' for s in STATISTICS)})"
+
+
 def _vectors(counted: DataFrame) -> DataFrame:
-    """One row per document that passes the base rules: group (lang, source) and its vector."""
-    vector = ", ".join(f"cast({s} as double)" for s in STATISTICS)
-    return counted.where(f"not {base_failed()}").selectExpr("struct(lang, source) as grp", f"array({vector}) as x")
+    """One row per document that passes the base rules: group (lang, source) and its vector `q`."""
+    return counted.where(f"not {base_failed()}").selectExpr("struct(lang, source) as grp", f"{_vector()} as q")
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    """Per group: rows, sums and sums of products, partly summed before the shuffle."""
+    """Per group and start: rows, sums and sums of products, exact, partly summed before the shuffle."""
     d = DIMENSIONS
-    sums = ", ".join(f"sum(x[{i}])" for i in range(d))
-    products = ", ".join(f"sum(x[{i}] * x[{j}])" for i in range(d) for j in range(i, d))
-    return rows.groupBy("grp").agg(
+    sums = ", ".join(f"sum(q[{i}])" for i in range(d))
+    products = ", ".join(f"sum(cast(q[{i}] * q[{j}] as decimal(18,0)))" for i in range(d) for j in range(i, d))
+    return rows.groupBy("grp", "start").agg(
         F.count(F.lit(1)).alias("n"), F.expr(f"array({sums}) as s"), F.expr(f"array({products}) as p")
     )
 
 
+def ranked(rows: DataFrame, keys: list[str], value: str, shares: tuple[float, ...]) -> DataFrame:
+    """(keys, share, value): for each share of a group's rows the smallest value that so many rows
+    don't exceed, exactly. Values are counted in steps of a scale first; then equal values within the
+    one step that holds the rank, so no task sees a group's rows."""
+    step = f"cast(floor(asinh({value}) * 1024) as bigint)"
+    listed = ", ".join(keys)
+    counts = rows.groupBy(*keys, F.expr(f"{step} as _step")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = f"sum(_n) over (partition by {listed} order by _step rows unbounded preceding)"
+    cumulated = counts.selectExpr("*", f"{upto} as _upto", f"sum(_n) over (partition by {listed}) as _all")
+    ranks = f"explode(array({', '.join(f'{share}D' for share in shares)})) as share"
+    wanted = cumulated.selectExpr("*", ranks).selectExpr("*", "cast(ceil(_all * share) as bigint) - (_upto - _n) as _rank")
+    held = stage(wanted.where("_rank between 1 and _n").select(*keys, "_step", "share", "_rank"), "steps")
+    inside = attach(rows.selectExpr(*keys, f"{value} as _v", f"{step} as _step"), held, [*keys, "_step"])
+    equal = inside.groupBy(*keys, "share", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    order = f"sum(_n) over (partition by {listed}, share order by _v rows unbounded preceding)"
+    found = equal.selectExpr("*", f"{order} as _upto").where("_upto >= _rank and _upto - _n < _rank")
+    return stage(found.selectExpr(*keys, "share", f"_v as {value}"), "ranked")
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """grp, start, centre, inverse: where the search starts. The medians, the lower and the upper
+    quartiles, each with the least scales; the medians with scales from the quartiles; and the
+    medians with the scatter of the directions from there."""
+    d = DIMENSIONS
+    floors = list(STATISTICS.values())
+    each = rows.selectExpr("grp", f"posexplode(q) as (i, v)").selectExpr("grp", "i", f"v / {UNIT}D as v")
+    marks = ranked(each, ["grp", "i"], "v", (0.25, 0.5, 0.75))
+
+    def of(share: float) -> str:
+        return f"transform(array_sort(collect_list(if(share = {share}D, struct(i, v), null))), c -> c.v)"
+
+    quartiles = stage(marks.groupBy("grp").agg(*(F.expr(f"{of(s)} as c{i}") for i, s in enumerate((0.25, 0.5, 0.75)))), "quartiles")
+    # the quartiles of a normal law are 1.349 deviations apart
+    spread = "zip_with(zip_with(c2, c0, (a, b) -> (a - b) / 1.349D), floors, (a, b) -> greatest(a, b))"
+    scaled = f"array({', '.join(f'{f!r}D' for f in floors)})"
+    sides = rows.join(F.broadcast(quartiles) if quartiles.count() <= BROADCAST_ROWS else quartiles, "grp").selectExpr(
+        "grp", f"zip_with(zip_with(q, c1, (a, b) -> a / {UNIT}D - b), {scaled}, (a, f) -> a / f) as u"
+    )
+    length = "sqrt(aggregate(u, 0D, (s, v) -> s + v * v))"
+    signs = sides.selectExpr("grp", f"transform(u, v -> cast(round(v / greatest({length}, 1e-9D) * {UNIT}) as bigint)) as q", "4 as start")
+    by_sign = attach(stage(_moments(signs), "signs"), quartiles.select("grp", "c1"), ["grp"])
+    kind = quartiles.schema["grp"].dataType.simpleString()
+    shape = f"grp {kind}, start int, centre array<double>, inverse array<double>"
+
+    def turned(batch: dict[str, list]) -> dict[str, list]:
+        inverses = []
+        for n, products in zip(batch["n"], batch["p"]):
+            scatter = np.zeros((d, d))
+            scatter[np.triu_indices(d)] = np.array(products, float) / n / UNIT**2
+            scatter += np.triu(scatter, 1).T
+            # directions have unit scales: back to the statistics' own
+            own = scatter * d * np.outer(floors, floors) + np.diag(np.square(floors))
+            inverses.append(np.linalg.inv(own).ravel().tolist())
+        return {"grp": batch["grp"], "start": batch["start"], "centre": batch["c1"], "inverse": inverses}
+
+    diagonal = f"flatten(transform(sequence(0, {d - 1}), i -> transform(sequence(0, {d - 1}), j -> if(i = j, 1 / pow(w[i], 2), 0D))))"
+    plain = quartiles.selectExpr("grp", "c0", "c1", "c2", f"{scaled} as floors").selectExpr(
+        "grp", "inline(array(" + ", ".join(
+            f"struct({i} as start, {centre} as centre, {scales} as w)"
+            for i, (centre, scales) in enumerate([("c1", "floors"), ("c0", "floors"), ("c2", "floors"), ("c1", spread)])
+        ) + "))"
+    ).selectExpr("grp", "start", "centre", f"{diagonal} as inverse")
+    return plain.unionByName(map_rows(by_sign, shape, turned))
+
+
 def _estimate(n: list[int], sums: list[list[float]], products: list[list[float]]) -> tuple[list, list, list]:
     """Centres, inverse scatter matrices (row by row) and log determinants."""
     d = DIMENSIONS
     count = np.array(n, float)[:, None]
-    mean = np.array(sums, float).reshape(-1, d) / count
+    mean = np.array(sums, float).reshape(-1, d) / count / UNIT
     scatter = np.zeros((len(n), d, d))
     upper = np.triu_indices(d)
-    scatter[:, upper[0], upper[1]] = np.array(products, float).reshape(-1, len(upper[0])) / count
+    scatter[:, upper[0], upper[1]] = np.array(products, float).reshape(-1, len(upper[0])) / count / UNIT**2
     scatter += np.triu(scatter, 1).transpose(0, 2, 1)
     scatter -= mean[:, :, None] * mean[:, None, :]
     # the floor keeps every matrix regular, also that of a group of one document
@@ -133,11 +206,21 @@ def _shapes(moments: DataFrame) -> DataFrame:
 
     def kernel(batch: dict[str, list]) -> dict[str, list]:
         if not batch["n"]:
-            return {"grp": [], "centre": [], "inverse": [], "logdet": []}
+            return {"grp": [], "start": [], "centre": [], "inverse": [], "logdet": []}
         centre, inverse, logdet = _estimate(batch["n"], batch["s"], batch["p"])
-        return {"grp": batch["grp"], "centre": centre, "inverse": inverse, "logdet": logdet}
+        return {"grp": batch["grp"], "start": batch["start"], "centre": centre, "inverse": inverse, "logdet": logdet}
+
+    return map_rows(moments, f"grp {kind}, start int, centre array<double>, inverse array<double>, logdet double", kernel)
 
-    return map_rows(moments, f"grp {kind}, centre array<double>, inverse array<double>, logdet double", kernel)
+
+def _step(rows: DataFrame, shapes: DataFrame) -> DataFrame:
+    """One concentration step of every group and start: the half of the group nearest to the centre
+    gives the next centre and scatter."""
+    placed = rows.join(F.broadcast(shapes) if shapes.count() <= BROADCAST_ROWS else shapes, "grp")
+    measured = _measured(placed.withColumn("x", F.expr(X))).select("grp", "start", "q", "d2")
+    halves = ranked(measured, ["grp", "start"], "d2", (HALF,)).withColumnRenamed("d2", "_most").drop("share")
+    nearest = attach(measured, halves, ["grp", "start"]).where("d2 <= _most")
+    return stage(_shapes(_moments(nearest)), "shapes")
 
 
 def _measured(rows: DataFrame) -> DataFrame:
@@ -151,43 +234,47 @@ def _measured(rows: DataFrame) -> DataFrame:
 
 def fit(counted: DataFrame) -> DataFrame:
     """Minimum-covariance-determinant estimate of every (lang, source) group: grp, centre,
-    inverse, logdet, from all documents that pass the base rules.
-
-    It starts from the medians with the least scales, and takes concentration steps: the half
-    of the group nearest to the present centre, by Mahalanobis distance, gives the next centre
-    and scatter, whose determinant can't rise. Each step is two grouped aggregations over all
-    rows, partly summed before the shuffle, so a hot group is spread over all tasks. The
-    distance that halves a group is an approximate percentile.
+    inverse, logdet, scale, from all documents that pass the base rules.
+
+    From several starts, concentration steps seek the half of the group whose scatter has the least
+    determinant: the half nearest to the present centre, by Mahalanobis distance, gives the next
+    centre and scatter, whose determinant can't rise. After FIRST_STEPS the start with the least
+    determinant goes on alone, until no group's determinant falls any more. A step is a few
+    grouped aggregations over all rows, partly summed before the shuffle, so a hot group is spread
+    over all tasks. Halves and sums are exact: neither partitions nor reruns change the result.
     """
     d = DIMENSIONS
-    rows = _vectors(counted)
-    middles = ", ".join(f"percentile_approx(x[{i}], 0.5, 1000)" for i in range(d))
-    start = [1 / floor**2 if i == j else 0.0 for i, floor in enumerate(STATISTICS.values()) for j in range(d)]
-    first = ", ".join(f"{value!r}D" for value in start)
-    shapes = rows.groupBy("grp").agg(F.expr(f"array({middles}) as centre")).selectExpr("*", f"array({first}) as inverse")
-    for _ in range(STEPS):
-        shapes = stage(shapes.select("grp", "centre", "inverse"), "shapes")
-        measured = _measured(attach(rows, shapes, ["grp"])).select("grp", "x", "d2")
-        halves = measured.groupBy("grp").agg(F.expr(f"percentile_approx(d2, {HALF}, 1000) as most"))
-        nearest = attach(measured, stage(halves, "halves"), ["grp"]).where("d2 <= most")
-        shapes = _shapes(_moments(nearest))
-    shapes = stage(shapes, "shapes")
+    rows = stage(_vectors(counted), "vectors")
+    shapes = stage(_starts(rows), "starts")
+    for _ in range(FIRST_STEPS):
+        shapes = _step(rows, shapes)
+    best = "min_by(struct(start, centre, inverse, logdet), struct(round(logdet, 9), start)) as _best"
+    shapes = stage(shapes.groupBy("grp").agg(F.expr(best)).select("grp", "_best.*"), "best")
+    while True:
+        after = _step(rows, shapes)
+        told = after.selectExpr("grp", "logdet as _after")
+        fallen = shapes.select("grp", "logdet").join(told, "grp").where("_after < logdet - 1e-9D").count()
+        if not fallen:
+            break
+        shapes = after
     # a half's scatter is too small: scale it so that the median distance is that of the normal law
     median = d * (1 - 2 / (9 * d)) ** 3
-    measured = _measured(attach(rows, shapes, ["grp"])).select("grp", "d2")
-    scale = measured.groupBy("grp").agg(F.expr(f"greatest(percentile_approx(d2, 0.5, 1000) / {median!r}D, 1D) as scale"))
-    return stage(attach(shapes, stage(scale, "scale"), ["grp"]), "shapes")
+    measured = _measured(attach(rows, shapes, ["grp"]).withColumn("x", F.expr(X))).select("grp", "d2")
+    middle = ranked(measured, ["grp"], "d2", (0.5,))
+    scale = middle.selectExpr("grp", f"greatest(d2 / {median!r}D, 1D) as scale")
+    return stage(attach(shapes.drop("start"), stage(scale, "scale"), ["grp"]), "shapes")
 
 
 def judged(counted: DataFrame, shapes: DataFrame) -> DataFrame:
     """`counted` with base_failed, d2 (NULL where the base rules reject) and kept."""
-    vector = ", ".join(f"cast({s} as double)" for s in STATISTICS)
     known = counted.selectExpr("*", "struct(lang, source) as grp", f"{base_failed()} as base_failed")
     # a document with base_failed has no vector, and its group may have no shape
-    placed = attach(known, shapes, ["grp"], "left").selectExpr("*", f"if(base_failed, null, array({vector})) as x")
+    placed = attach(known, shapes, ["grp"], "left").selectExpr(
+        "*", f"if(base_failed, null, {_vector()}) as q"
+    ).withColumn("x", F.expr(X))
     far = _measured(placed).withColumn("d2", F.expr("d2 / scale"))
     return far.selectExpr("*", f"not base_failed and coalesce(d2 <= {CUTOFF}, true) as kept").drop(
-        "x", "grp", "centre", "inverse", "logdet", "scale"
+        "x", "q", "grp", "centre", "inverse", "logdet", "scale"
     )
 
 
