@@ -14,9 +14,14 @@ _written: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset, one in the warehouse, which all
-    executors reach as well. The session is left as it is."""
-    folder = spark.conf.get(SETTING, None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
+    """The folder in spark.checkpoint.dir. Where that is unset, one in the warehouse if all runs on
+    this machine; on a cluster it must be set, as only it is known to be shared. The session is
+    left as it is."""
+    folder = spark.conf.get(SETTING, None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {SETTING} to a folder that all executors share")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
     return folder.rstrip("/")
 
 
