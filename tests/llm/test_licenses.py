@@ -21,6 +21,7 @@ def test_canonical(spark):
             "(C) 1999-2001 X\r\nText\r\n© 2004",
             "The copyright notice of 2020 stays",
             "copyright owner OR Copyright Holder",
+            "Copyright (c) Some Contributors\nCopyright <year> <holder>\ncopyright by us\nText\n(c) You must keep it",
             "",
             "É Ü 3",
         ],
@@ -30,6 +31,7 @@ def test_canonical(spark):
         "text",
         "the copyright notice of 2020 stays",
         "copyright holder or copyright holder",
+        "text c you must keep it",
         "",
         "É Ü 3",
     ]
@@ -73,6 +75,9 @@ def test_whole_licenses(spark):
     named += [("Apache-2.0", files["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 X"))]
     named += [("Apache-2.0", files["Apache-2.0"].split("APPENDIX")[0]), ("GPL-3.0-only", files["GPL-3.0-only"].split("How to Apply")[0])]
     named += [("GPL-2.0-only", files["GPL-2.0-only"].split("Version 2, June 1991\n", 1)[1])]
+    named += [("MIT", f"MIT License\n\nCopyright (c) The X Contributors\n\n{MIT}"), ("MIT", f"Copyright (c) <year> <copyright holders>\n\n{MIT}")]
+    heads = {name: text for name, text in licenses.NOTICES}
+    named += [(name, f"Copyright 2019 X\n\n{heads[name]}".replace(". ", ".\n")) for name in ("Apache-2.0", "GPL-3.0-or-later")]
     named += [(None, f"MIT License\n\n{held}"), (None, files["Apache-2.0"][:5000])]
     rows = [(i, text, "en", "a") for i, (_, text) in enumerate(named)]
     got = {r.doc_id: r.license_id for r in licenses.scan(documents(spark, rows), licenses.known_licenses(spark)).collect()}

@@ -65,3 +65,20 @@ def test_empty_tables(spark, tables):
     assert knn.predictions(documents(spark, []), marks).count() == 0
     got = knn.predictions(docs, marks.limit(0)).collect()
     assert {r.score for r in got} == {0.0}
+
+
+def test_equally_near_neighbours_go_by_column():
+    draw = np.random.default_rng(0)
+    cosine = draw.integers(0, 4, (50, 30)).astype(np.float32)
+    got = knn.nearest(cosine, 7)
+    for row, columns in zip(cosine, got):
+        assert columns.tolist() == sorted(sorted(range(30), key=lambda j: (-row[j], j))[:7])
+
+
+def test_repeated_ids_fit_one_text_each(spark):
+    rows = [(i % 6, prose(i, 30), "en", "a") for i in range(60)]
+    docs = documents(spark, rows, clashing=False)
+    marks = spark.createDataFrame([(i, i % 2) for i in range(6)] * 3, "doc_id long, label int")
+    one, two = (knn.fit(docs.repartition(n), marks, 6) for n in (1, 5))
+    assert len(one.labels) == 6 and (one.labels == two.labels).all()
+    assert np.allclose(one.vectors @ one.vectors.T, two.vectors @ two.vectors.T, atol=1e-4)

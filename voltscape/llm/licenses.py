@@ -29,6 +29,24 @@ NOTICES = (
     ("CC0-1.0", "Licensed under CC0 1.0."),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
+    # what the licences say to put at the head of a file
+    (
+        "Apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0\n"
+        'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" '
+        "BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific "
+        "language governing permissions and limitations under the License.",
+    ),
+    (
+        "GPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+        "version.\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
+        "details.\nYou should have received a copy of the GNU General Public License along with this program. If not, see "
+        "<https://www.gnu.org/licenses/>.",
+    ),
 )
 #: Whole licences that are short, one line per paragraph; the long ones lie in `license_texts`.
 SHORT_TEXTS = (
@@ -127,8 +145,11 @@ def _long_texts() -> list[tuple[str, str]]:
 TEXTS = tuple((name, form) for name, text in (*_long_texts(), *SHORT_TEXTS) for form in reversed(_forms(name, text)))
 
 
-#: A line that states a copyright: a mark and a year on it.
-COPYRIGHT_LINE = r"(?mid)^[ \t]*(copyright|\(c\)|©)[^\n]*[0-9]{4}[^\n]*$"
+#: A line that states a copyright: a mark and a year on it, or the word with a mark, a place for the year,
+#: or "by" behind it.
+COPYRIGHT_LINE = (
+    r"(?mid)^[ \t]*((copyright|\(c\)|©)[^\n]*[0-9]{4}|copyright[ \t:]+(\(c\)|©|<|\[yyyy\]|\{yyyy\}|by[ \t]))[^\n]*$"
+)
 NO_WORD = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
 

@@ -80,12 +80,21 @@ class Model:
             return np.zeros(len(counts))
         cosine = self.latent(counts) @ self.vectors.T
         k = min(NEIGHBOURS, cosine.shape[1])
-        near = np.argpartition(cosine, -k, axis=1)[:, -k:]
+        near = nearest(cosine, k)
         votes = np.clip(np.take_along_axis(cosine, near, axis=1), 0, 1).astype(float) ** SHARPNESS
         total = votes.sum(axis=1)
         return np.where(total > 0, (votes * self.labels[near]).sum(axis=1) / np.where(total > 0, total, 1), 0.0)
 
 
+def nearest(cosine: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k largest values of each row, in column order; of equal ones the first."""
+    least = np.partition(cosine, -k, axis=1)[:, -k, None]
+    above, equal = cosine > least, cosine == least
+    room = k - above.sum(axis=1, keepdims=True)
+    taken = above | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= room))
+    return np.nonzero(taken)[1].reshape(len(cosine), k)
+
+
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     """ln((1 + N) / (1 + n)) of every trigram term, over all documents."""
 
@@ -104,11 +113,13 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
 def fit(docs: DataFrame, labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Latent-semantic model: truncated SVD of the weighted terms of at most `rows` labelled
-    documents (doc_id, text, label), those with the smallest hash of doc_id. The inverse document
-    frequencies count all of `docs`. Only term counts of the fitted documents reach the driver."""
-    chosen = labelled.where("label is not null").selectExpr("doc_id", "xxhash64(doc_id) as h", "cast(label as int) as label")
+    documents (doc_id, text, label), those with the smallest hash of doc_id, in that order; of several
+    texts of one doc_id the one with the smallest hash. The inverse document frequencies count all of `docs`. Only term counts of the fitted documents reach the driver."""
+    chosen = labelled.where("label is not null").selectExpr("doc_id", "xxhash64(doc_id) as h", "cast(label as int) as label").distinct()
     chosen = chosen.orderBy("h", "doc_id", "label").limit(rows)
-    texts = docs.join(F.broadcast(chosen), "doc_id").selectExpr("h", "label", "cast(coalesce(text, '') as binary) as text")
+    texts = docs.join(F.broadcast(chosen), "doc_id").selectExpr(
+        "h", "label", "xxhash64(text) as th", "cast(coalesce(text, '') as binary) as text"
+    )
 
     def kernel(batch: dict[str, list]) -> dict[str, list]:
         counts = [term_counts(text) for text in batch["text"]]
@@ -116,12 +127,15 @@ def fit(docs: DataFrame, labelled: DataFrame, rows: int = FIT_ROWS) -> Model:
         return {
             "h": batch["h"],
             "label": batch["label"],
+            "th": batch["th"],
             "term": [s.astype(np.int16).tolist() for s in spots],
             "n": [c[s].tolist() for c, s in zip(counts, spots)],
         }
 
-    found = map_rows(texts, "h long, label int, term array<short>, n array<float>", kernel).orderBy("h", "label").limit(2 * rows)
-    table = found.toArrow()
+    found = map_rows(texts, "h long, label int, th long, term array<short>, n array<float>", kernel)
+    # one row for each of the chosen, so no more than `rows`
+    one = found.groupBy("h", "label").agg(F.expr("min_by(struct(term, n), th) as _s")).selectExpr("h", "label", "_s.*")
+    table = one.orderBy("h", "label").toArrow()
     counts = np.zeros((table.num_rows, TERMS), np.float32)
     if table.num_rows:
         terms, n = (table[c].combine_chunks() for c in ("term", "n"))

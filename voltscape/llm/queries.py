@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltscape.functions.staging import stage
 from voltscape.llm import (
     chat,
     decontaminate,
@@ -59,7 +58,8 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
-    return chat.digests(stage(chat.examples(turns.union(extra)), "examples"))
+    # examples come out placed by conversation, so they are read back where they are made
+    return chat.digests(chat.examples(turns.union(extra)))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

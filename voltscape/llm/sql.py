@@ -87,7 +87,8 @@ from sized s join ends e on s.conv_id is not distinct from e.conv_id group by s.
 
 def _canonical(text: str) -> str:
     plain = (
-        f"translate(regexp_replace({text}, '(?mi)^[ \\t]*(copyright|\\(c\\)|©)[^\\n]*[0-9]{{4}}[^\\n]*$', ' ', 'g'), "
+        f"translate(regexp_replace({text}, '(?mi)^[ \\t]*((copyright|\\(c\\)|©)[^\\n]*[0-9]{{4}}"
+        "|copyright[ \\t:]+(\\(c\\)|©|<|\\[yyyy\\]|\\{yyyy\\}|by[ \\t]))[^\\n]*$', ' ', 'g'), "
         "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     )
     found = f"' ' || regexp_replace({plain}, '[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+', '  ', 'g') || ' '"
