@@ -71,6 +71,50 @@ def test_global_order(spark, monkeypatch):
     keys = [(r.url_key, r.timestamp, r.page_id, r.offset) for r in got]
     assert keys == sorted(keys) and len(got) == 400
     assert len({r.file for r in got}) > 5
+    # places in the history go on where a URL lies in several ranges
+    places = {}
+    for r in got:
+        places.setdefault(r.url_key, []).append(r.place)
+    assert all(own == list(range(1, len(own) + 1)) for own in places.values())
+
+
+def test_one_url_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_ROWS", 30)
+    monkeypatch.setattr(warc, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
+    rows = [(i, "http://hot.example.org/" if i % 3 else f"http://a.example.org/{i}", f"page {i}") for i in range(300)]
+    frame = warc.archived(pages(spark, rows))
+    got = frame.collect()
+    assert frame.rdd.getNumPartitions() >= 5
+    assert [r.place for r in got if r.url_key == "org,example,hot)/"] == list(range(1, 201))
+
+
+def test_merged_holds_little(monkeypatch):
+    """Blocks by their first capture come out in order, however they overlap."""
+    monkeypatch.setattr(warc, "WAVE", 2)
+    rng = random.Random(4)
+    for _ in range(30):
+        blocks = []
+        for k in range(rng.randrange(1, 6)):
+            run = sorted(
+                ({"file": f"f{k}", "url_key": f"u{rng.randrange(9)}", "timestamp": str(rng.randrange(9)), "page_id": None, "offset": i} for i in range(rng.randrange(20))),
+                key=warc._order,
+            )
+            blocks += [run[at : at + 3] for at in range(0, len(run), 3)]
+        blocks.sort(key=lambda block: (warc._order(block[0]), block[0]["file"]))
+        found = list(warc.merged(iter(blocks)))
+        assert [warc._order(c) for c in found] == sorted(warc._order(c) for block in blocks for c in block)
+
+
+def test_a_record_is_fetched_by_its_place(spark, tmp_path):
+    path = str(tmp_path / "warc")
+    got = warc.archived(pages(spark, ROWS), path=path, compression="none").collect()
+    for r in got:
+        with open(f"{path}/{r.file}", "rb") as file:
+            file.seek(r.offset)
+            ((_, length, fields, block),) = warc.records(file.read(r.length))
+        assert length == r.length and fields["warc-payload-digest"] == f"sha1:{r.payload_digest}"
+        assert r.record_type == "revisit" or block.endswith((dict((i, h) for i, _, h in ROWS).get(int(r.page_id or 0)) or "").encode())
 
 
 def test_files_are_archives(spark, tmp_path):

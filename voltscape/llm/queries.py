@@ -42,6 +42,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payload_digest",
         "record_type",
         "cast(refers_to as bigint) as refers_to",
+        "url_key",
+        "timestamp",
+        "place",
     )
 
 

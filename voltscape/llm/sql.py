@@ -45,11 +45,20 @@ from summed
 """
 
 OP2 = r"""
-with hashed as (
-    select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as hex from pages
+with parts as (
+    select page_id, html, list_filter(string_split(lower(regexp_extract(url, '^(?:[a-z]+:)?//(?:[^/?#]*@)?([^/?#:]*)', 1)), '.'), lambda x: x <> '') as labels,
+        regexp_extract(url, '^(?:[a-z]+:)?//[^/?#]*([^?#]*)', 1) as path, regexp_extract(url, '[?]([^#]*)', 1) as query
+    from pages
+),
+hashed as (
+    select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as hex,
+        array_to_string(list_reverse(case when labels[1] = 'www' and len(labels) > 2 then labels[2:] else labels end), ',') || ')'
+            || case when path = '' then '/' else path end || case when query = '' then '' else '?' || query end as url_key,
+        strftime(timestamp '2024-01-01' + to_seconds(page_id % 94608000), '%Y%m%d%H%M%S') as timestamp
+    from parts
 ),
 digests as (
-    select page_id, payload_bytes, hex, (
+    select page_id, payload_bytes, hex, url_key, timestamp, (
         select string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
             (((('0x' || substr(hex, 1 + 10 * (i // 8), 10))::bigint >> (35 - 5 * (i % 8))) & 31) + 1)::bigint, 1), '' order by i)
         from range(0, 32) t(i)) as payload_digest
@@ -58,7 +67,8 @@ digests as (
 firsts as (select hex, min(page_id) as first_page from digests group by hex)
 select page_id, payload_bytes, payload_digest,
     case when first_page is null or page_id = first_page then 'response' else 'revisit' end as record_type,
-    case when page_id = first_page then null else first_page end as refers_to
+    case when page_id = first_page then null else first_page end as refers_to, url_key, timestamp,
+    row_number() over (partition by url_key order by timestamp, page_id::varchar) as place
 from digests join firsts using (hex)
 """
 

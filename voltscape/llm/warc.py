@@ -6,7 +6,10 @@ import base64
 import hashlib
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -20,8 +23,12 @@ from voltscape.llm.common import attach
 
 #: Uncompressed payload bytes an archive should hold.
 ARCHIVE_BYTES = 16 << 20
-#: Captures that one merge task holds.
+#: Captures of one range of the merged order, about.
 RANGE_ROWS = 200_000
+#: Captures of one block of a run, and blocks that a merge reads at a time.
+BLOCK_ROWS, WAVE = 500, 32
+#: Captures looked at per range to cut the ranges.
+SAMPLED = 20
 #: Capture time where the pages tell none: a second per page_id, within three years from 2024.
 DATE = "timestamp_seconds(1704067200 + pmod(coalesce(cast(page_id as bigint), 0L), 94608000L))"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -36,7 +43,9 @@ def base32(hexadecimal: str) -> str:
     return f"concat({', '.join(letters)})"
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = DATE) -> None:
+def write_archives(
+    pages: DataFrame, path: str, min_bytes: int = 0, date: str = DATE, compression: str = "gzip"
+) -> None:
     """Write one WARC record per row of `pages` (page_id, url, html, any more) below `path`.
 
     The payload is the html in UTF-8, NULL empty. Of records with equal payloads of at least
@@ -47,7 +56,9 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
     Only payloads that occur twice are joined with their first page, so unique ones are never
     shuffled; a frequent payload is one row there. Every write task makes its own gzipped
     archives of about ARCHIVE_BYTES. The files are written by Spark's text sink: a record is one
-    value, and the record end is the line separator. `date` is SQL for the capture time.
+    value, and the record end is the line separator. `date` is SQL for the capture time. The text
+    sink packs a file as a whole; with `compression` "none" a record can be fetched by its offset
+    and length without reading what stands before it.
     """
     hashed = pages.selectExpr("page_id", "url", "coalesce(html, '') as _html", f"{date} as _date").selectExpr(
         "*", "sha1(cast(_html as binary)) as _sha", "cast(octet_length(_html) as bigint) as _bytes"
@@ -79,7 +90,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
             concat('Content-Length: ', octet_length(_block)), '', _block) as value"""
     )
     per_file = max(1, int(ARCHIVE_BYTES / max(1.0, float(sizes))))
-    record.write.option("lineSep", _RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    record.write.option("lineSep", _RECORD_END).option("compression", compression).option("maxRecordsPerFile", per_file).text(path)
 
 
 _HEADER = re.compile(rb"([^:\r\n]+): ?([^\r\n]*)")
@@ -186,55 +197,129 @@ def _order(capture: dict) -> tuple:
     return capture["url_key"], capture["timestamp"], capture["page_id"] or "", capture["offset"]
 
 
+_BLOCK = "file string, block int, captures array<struct<" + ", ".join(part.replace(" ", ": ") for part in _CAPTURE.split(", ")) + ">>"
+
+
 def capture_runs(spark: SparkSession, path: str) -> DataFrame:
-    """The captures of all archives below `path`: of every archive one run, sorted by URL key
-    and time. offset and length point into the unpacked archive."""
-    wanted = StructType.fromDDL(_CAPTURE)
+    """The captures of all archives below `path`: of every archive one run, sorted by URL key and
+    time, in blocks of BLOCK_ROWS. offset and length point into the unpacked archive."""
+    wanted = StructType.fromDDL(_BLOCK)
     arrow = to_arrow_schema(wanted)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                found = _captures(batch["path"][i].as_py().rpartition("/")[2], batch["content"][i].as_py())
-                yield pa.RecordBatch.from_pylist(sorted(found, key=_order), schema=arrow)
+                name = batch["path"][i].as_py().rpartition("/")[2]
+                run = sorted(_captures(name, batch["content"][i].as_py()), key=_order)
+                blocks = [run[at : at + BLOCK_ROWS] for at in range(0, len(run), BLOCK_ROWS)]
+                rows = [{"file": name, "block": k, "captures": block} for k, block in enumerate(blocks)]
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(index, wanted)
 
 
+def _cuts(runs: DataFrame) -> list[tuple]:
+    """Where the ranges of about RANGE_ROWS captures begin, but for the first: quantiles of at most
+    some SAMPLED captures a range."""
+    captures, blocks = runs.agg(F.sum(F.size("captures")), F.count(F.lit(1))).first()
+    ranges = -(-(captures or 0) // RANGE_ROWS)
+    if ranges < 2:
+        return []
+    one_in = max(1, blocks // (SAMPLED * ranges))
+    drawn = runs.where(f"pmod(xxhash64(file, block), {one_in}) = 0").selectExpr("inline(slice(captures, cast(pmod(xxhash64(block, file), size(captures)) as int) + 1, 1))")
+    keys = sorted(_order(row.asDict()) for row in drawn.select("url_key", "timestamp", "page_id", "offset").collect())
+    return sorted({keys[i * len(keys) // ranges] for i in range(1, ranges)})
+
+
+def _by_range(runs: DataFrame, cuts: list[tuple]) -> DataFrame:
+    """The blocks, cut where a range begins, with their `range` and `first` key."""
+    wanted = StructType.fromDDL(f"range int, first struct<url_key: string, timestamp: string, page_id: string, offset: long>, {_BLOCK}")
+    arrow = to_arrow_schema(wanted)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                captures, at = row["captures"], 0
+                while at < len(captures):
+                    own = bisect_right(cuts, _order(captures[at]))
+                    stop = bisect_left(captures, cuts[own], at, key=_order) if own < len(cuts) else len(captures)
+                    first = dict(zip(("url_key", "timestamp", "page_id", "offset"), _order(captures[at])))
+                    out.append(row | {"range": own, "first": first, "captures": captures[at:stop]})
+                    at = stop
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    return runs.mapInArrow(cut, wanted)
+
+
+def _seen_before(parts: DataFrame) -> dict[int, tuple[str, int]]:
+    """Of each range the URL key it begins with, and how many captures of that lie in earlier
+    ranges: one row per range."""
+    heads = stage(parts.groupBy("range").agg(F.min("first.url_key").alias("url_key")), "heads")
+    held = parts.selectExpr("range", "explode(captures.url_key) as url_key").groupBy("range", "url_key").count()
+    counts = attach(held, heads.select("url_key").distinct(), ["url_key"]).withColumnsRenamed({"range": "_range"})
+    earlier = heads.join(counts, "url_key").where("_range < range").groupBy("range", "url_key").agg(F.sum("count").alias("n"))
+    return {row.range: (row.url_key, row.n) for row in earlier.collect()}
+
+
+def merged(blocks: Iterator[list[dict]]) -> Iterator[dict]:
+    """All captures of sorted blocks in order. Blocks come by their first capture, so whatever lies
+    before the next block's first is complete and is merged by a loser tree, one run per archive;
+    of each archive only what reaches beyond is held."""
+    held: dict[str, list[dict]] = {}
+    after = next(blocks, None)
+    while after is not None:
+        for _ in range(WAVE):
+            held.setdefault(after[0]["file"], []).extend(after)
+            after = next(blocks, None)
+            if after is None:
+                break
+        runs = []
+        for name in sorted(held):
+            run = held[name]
+            ready = len(run) if after is None else bisect_left(run, _order(after[0]), key=_order)
+            runs.append(run[:ready])
+            held[name] = run[ready:]
+        held = {name: run for name, run in held.items() if run}
+        yield from LoserTree(runs, _order)
+
+
 def merge_index(runs: DataFrame) -> DataFrame:
-    """All captures in the order of URL key, time and page: the partitions are ranges of that
-    order, and each merges the parts that the runs have in its range by a loser tree.
+    """All captures of the blocks of `runs` in the order of URL key, time and page, with `place`, the
+    capture's place in the history of its URL key, from 1.
 
-    The ranges are cut on the whole order, so the captures of one URL spread over several tasks
-    if they are many. A range holds about RANGE_ROWS captures.
+    The partitions are ranges of that order, cut by quantiles of the whole of it, so the captures
+    of one URL spread over several tasks if they are many. A task reads the blocks of its range by
+    their first capture and holds no more of each run than the blocks that lie across the place
+    it has come to.
     """
     written = stage(runs, "runs")
-    ranges = max(1, -(-written.count() // RANGE_ROWS))
-    wanted = written.schema
+    parts = stage(_by_range(written, _cuts(written)), "parts")
+    before = _seen_before(parts)
+    ranges = (parts.agg(F.max("range")).first()[0] or 0) + 1
+    wanted = StructType.fromDDL(f"{_CAPTURE}, place long")
     arrow = to_arrow_schema(wanted)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[str, list[dict]] = {}
-        for batch in batches:
-            for capture in batch.to_pylist():
-                parts.setdefault(capture["file"], []).append(capture)
-        # a run arrives in blocks whose order the shuffle doesn't promise
-        runs = [sorted(parts[name], key=_order) for name in sorted(parts)]
-        block = []
-        for capture in LoserTree(runs, _order):
-            block.append(capture)
-            if len(block) == 10_000:
-                yield pa.RecordBatch.from_pylist(block, schema=arrow)
-                block = []
-        if block:
-            yield pa.RecordBatch.from_pylist(block, schema=arrow)
-
-    ordered = written.repartitionByRange(ranges, "url_key", "timestamp", F.expr("coalesce(page_id, '')"), "offset")
-    return ordered.mapInArrow(merge, wanted)
-
-
-def archived(pages: DataFrame, min_bytes: int = 0, path: str | None = None) -> DataFrame:
+        rows = (row for batch in batches for i in range(batch.num_rows) for row in batch.slice(i, 1).to_pylist())
+        for number, own in groupby(rows, key=itemgetter("range")):
+            key, place = before.get(number, (None, 0))
+            out: list[dict] = []
+            for capture in merged(row["captures"] for row in own):
+                place = place + 1 if capture["url_key"] == key else 1
+                key = capture["url_key"]
+                out.append(capture | {"place": place})
+                if len(out) == 10_000:
+                    yield pa.RecordBatch.from_pylist(out, schema=arrow)
+                    out = []
+            yield pa.RecordBatch.from_pylist(out, schema=arrow)
+
+    ordered = parts.repartitionByRange(ranges, "range").sortWithinPartitions("range", "first", "file", "block")
+    return ordered.select("range", "captures").mapInArrow(merge, wanted)
+
+
+def archived(pages: DataFrame, min_bytes: int = 0, path: str | None = None, compression: str = "gzip") -> DataFrame:
     """Write `pages` as archives, read them back, and return their captures in the merged order.
 
     NULL html is an empty payload, a NULL url an empty one, line ends in a URL come back
@@ -244,5 +329,5 @@ def archived(pages: DataFrame, min_bytes: int = 0, path: str | None = None) -> D
     folder if not given.
     """
     path = path or fresh_path(pages.sparkSession, "warc")
-    write_archives(pages, path, min_bytes)
+    write_archives(pages, path, min_bytes, compression=compression)
     return merge_index(capture_runs(pages.sparkSession, path))
