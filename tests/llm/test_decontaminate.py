@@ -113,3 +113,34 @@ def test_parts_of_long_items(spark):
         row = got[i, i]
         assert row.passage == " ".join(part) and row.part_score == 1.0 and row.score == len(part) / len(words[i - 1])
     assert [r.doc_id for r in dc.clean_rows(docs, benchmark(spark, items)).collect()] == [10]
+
+
+def test_regular_and_random_edits_are_found(spark):
+    """What the alignment accepts, the seeds find: every k-th word replaced, and random edits up to
+    the threshold."""
+    rng = random.Random(9)
+    items = [(i, prose(400 + i, 60, 300)) for i in range(12)]
+    rows, wanted = [], set()
+    for i, text in items:
+        words = text.split()
+        copies = [[f"new{rng.randrange(999)}" if j % k == k - 1 else w for j, w in enumerate(words)] for k in (3, 4, 5)]
+        copies += [edited(words, rng, share) for share in (0.2, 0.3, 0.4)]
+        for k, copy in enumerate(copies):
+            rows.append((100 * i + k, f"{prose(i * 7 + k, 150, 300)} {' '.join(copy)} {prose(i * 9 + k, 90, 300)}", "en", "a"))
+            if plain_score(words, [w.lower() for w in rows[-1][1].split()]) >= 2 * min(dc.THRESHOLD * len(words), dc.PASSAGE_WORDS):
+                wanted.add((100 * i + k, i))
+    rows += [(5000 + i, prose(6000 + i, 300, 300), "en", "a") for i in range(60)]
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(documents(spark, rows), benchmark(spark, items)).collect()}
+    assert len(wanted) > 60 and got <= wanted
+    assert {(100 * i, i) for i, _ in items} <= got  # every third word
+    assert len(got) >= 0.95 * len(wanted)
+
+
+def test_blocks_are_bounded_by_words(monkeypatch):
+    from pyspark.sql import Row
+
+    rows = [Row(item_id=i, text="a b " * 10) for i in range(10)]
+    monkeypatch.setattr(dc, "BLOCK_WORDS", 50)
+    assert [len(block) for block in dc._blocks(iter(rows))] == [3, 3, 3, 1]
+    monkeypatch.setattr(dc, "BLOCK_ITEMS", 2)
+    assert [len(block) for block in dc._blocks(iter(rows))] == [2] * 5
