@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,7 +40,6 @@ HALF = 0.5
 FIRST_STEPS = 2
 #: Statistics are whole millionths, so that no sum depends on the order of its terms.
 UNIT = 1_000_000
-X = f"transform(q, v -> v / {UNIT}D)"
 #: Squared Mahalanobis distance above which a document is rejected. It lies far out, as the statistics of
 #: clean texts have longer tails than the normal law.
 CUTOFF = 40.0
@@ -217,19 +218,20 @@ def _step(rows: DataFrame, shapes: DataFrame) -> DataFrame:
     """One concentration step of every group and start: the half of the group nearest to the centre
     gives the next centre and scatter."""
     placed = rows.join(F.broadcast(shapes) if shapes.count() <= BROADCAST_ROWS else shapes, "grp")
-    measured = _measured(placed.withColumn("x", F.expr(X))).select("grp", "start", "q", "d2")
+    measured = _measured(placed).select("grp", "start", "q", "d2")
     halves = ranked(measured, ["grp", "start"], "d2", (HALF,)).withColumnRenamed("d2", "_most").drop("share")
     nearest = attach(measured, halves, ["grp", "start"]).where("d2 <= _most")
     return stage(_shapes(_moments(nearest)), "shapes")
 
 
 def _measured(rows: DataFrame) -> DataFrame:
-    """`d2`: the squared Mahalanobis distance of `x`, from centre and inverse; NULL without x."""
+    """`d2`: the squared Mahalanobis distance of `q`, from centre and inverse; NULL without q. Written
+    out, so that it is compiled."""
     d = DIMENSIONS
-    row = f"zip_with(_gap, slice(inverse, {d} * i + 1, {d}), (a, b) -> a * b)"
-    sums = f"transform(sequence(0, {d - 1}), i -> _gap[i] * aggregate({row}, 0D, (s, v) -> s + v))"
-    gaps = rows.selectExpr("*", "zip_with(x, centre, (a, b) -> a - b) as _gap")
-    return gaps.selectExpr("*", f"aggregate({sums}, 0D, (s, v) -> s + v) as d2").drop("_gap")
+    gap = [f"(q[{i}] / {UNIT}D - centre[{i}])" for i in range(d)]
+    squares = (f"inverse[{i * d + i}] * {gap[i]} * {gap[i]}" for i in range(d))
+    products = (f"2 * inverse[{i * d + j}] * {gap[i]} * {gap[j]}" for i in range(d) for j in range(i + 1, d))
+    return rows.withColumn("d2", F.expr(" + ".join((*squares, *products))))
 
 
 def fit(counted: DataFrame) -> DataFrame:
@@ -250,16 +252,19 @@ def fit(counted: DataFrame) -> DataFrame:
         shapes = _step(rows, shapes)
     best = "min_by(struct(start, centre, inverse, logdet), struct(round(logdet, 9), start)) as _best"
     shapes = stage(shapes.groupBy("grp").agg(F.expr(best)).select("grp", "_best.*"), "best")
-    while True:
+    done = []
+    while not shapes.isEmpty():
         after = _step(rows, shapes)
-        told = after.selectExpr("grp", "logdet as _after")
-        fallen = shapes.select("grp", "logdet").join(told, "grp").where("_after < logdet - 1e-9D").count()
-        if not fallen:
-            break
-        shapes = after
+        told = after.selectExpr("grp", "centre as _centre", "inverse as _inverse", "logdet as _logdet")
+        both = stage(shapes.join(told, "grp"), "fallen")
+        done.append(both.where("_logdet >= logdet - 1e-9D").select("grp", "start", "centre", "inverse", "logdet"))
+        # only groups whose determinant has fallen go on
+        go_on = both.where("_logdet < logdet - 1e-9D")
+        shapes = go_on.selectExpr("grp", "start", "_centre as centre", "_inverse as inverse", "_logdet as logdet")
+    shapes = stage(reduce(DataFrame.union, done), "shapes") if done else shapes
     # a half's scatter is too small: scale it so that the median distance is that of the normal law
     median = d * (1 - 2 / (9 * d)) ** 3
-    measured = _measured(attach(rows, shapes, ["grp"]).withColumn("x", F.expr(X))).select("grp", "d2")
+    measured = _measured(attach(rows, shapes, ["grp"])).select("grp", "d2")
     middle = ranked(measured, ["grp"], "d2", (0.5,))
     scale = middle.selectExpr("grp", f"greatest(d2 / {median!r}D, 1D) as scale")
     return stage(attach(shapes.drop("start"), stage(scale, "scale"), ["grp"]), "shapes")
@@ -271,10 +276,10 @@ def judged(counted: DataFrame, shapes: DataFrame) -> DataFrame:
     # a document with base_failed has no vector, and its group may have no shape
     placed = attach(known, shapes, ["grp"], "left").selectExpr(
         "*", f"if(base_failed, null, {_vector()}) as q"
-    ).withColumn("x", F.expr(X))
+    )
     far = _measured(placed).withColumn("d2", F.expr("d2 / scale"))
     return far.selectExpr("*", f"not base_failed and coalesce(d2 <= {CUTOFF}, true) as kept").drop(
-        "x", "q", "grp", "centre", "inverse", "logdet", "scale"
+        "q", "grp", "centre", "inverse", "logdet", "scale"
     )
 
 
