@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -122,10 +123,13 @@ def _moments(rows: DataFrame) -> DataFrame:
     )
 
 
-def ranked(rows: DataFrame, keys: list[str], value: str, shares: tuple[float, ...]) -> DataFrame:
+def ranked(
+    rows: DataFrame, keys: list[str], value: str, shares: tuple[float, ...], near: Callable[[DataFrame], DataFrame] = F.broadcast
+) -> DataFrame:
     """(keys, share, value): for each share of a group's rows the smallest value that so many rows
     don't exceed, exactly. Values are counted in steps of a scale first; then equal values within the
-    one step that holds the rank, so no task sees a group's rows."""
+    one step that holds the rank, so no task sees a group's rows. `near` is how a row per group
+    and share is joined: broadcast, if that many are known to be few."""
     step = f"cast(floor(asinh({value}) * 1024) as bigint)"
     listed = ", ".join(keys)
     counts = rows.groupBy(*keys, F.expr(f"{step} as _step")).agg(F.count(F.lit(1)).alias("_n"))
@@ -133,22 +137,22 @@ def ranked(rows: DataFrame, keys: list[str], value: str, shares: tuple[float, ..
     cumulated = counts.selectExpr("*", f"{upto} as _upto", f"sum(_n) over (partition by {listed}) as _all")
     ranks = f"explode(array({', '.join(f'{share}D' for share in shares)})) as share"
     wanted = cumulated.selectExpr("*", ranks).selectExpr("*", "cast(ceil(_all * share) as bigint) - (_upto - _n) as _rank")
-    held = stage(wanted.where("_rank between 1 and _n").select(*keys, "_step", "share", "_rank"), "steps")
-    inside = attach(rows.selectExpr(*keys, f"{value} as _v", f"{step} as _step"), held, [*keys, "_step"])
+    held = wanted.where("_rank between 1 and _n").select(*keys, "_step", "share", "_rank")
+    inside = rows.selectExpr(*keys, f"{value} as _v", f"{step} as _step").join(near(held), [*keys, "_step"])
     equal = inside.groupBy(*keys, "share", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
     order = f"sum(_n) over (partition by {listed}, share order by _v rows unbounded preceding)"
     found = equal.selectExpr("*", f"{order} as _upto").where("_upto >= _rank and _upto - _n < _rank")
-    return stage(found.selectExpr(*keys, "share", f"_v as {value}"), "ranked")
+    return found.selectExpr(*keys, "share", f"_v as {value}")
 
 
-def _starts(rows: DataFrame) -> DataFrame:
+def _starts(rows: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """grp, start, centre, inverse: where the search starts. The medians, the lower and the upper
     quartiles, each with the least scales; the medians with scales from the quartiles; and the
     medians with the scatter of the directions from there."""
     d = DIMENSIONS
     floors = list(STATISTICS.values())
     each = rows.selectExpr("grp", f"posexplode(q) as (i, v)").selectExpr("grp", "i", f"v / {UNIT}D as v")
-    marks = ranked(each, ["grp", "i"], "v", (0.25, 0.5, 0.75))
+    marks = ranked(each, ["grp", "i"], "v", (0.25, 0.5, 0.75), near)
 
     def of(share: float) -> str:
         return f"transform(array_sort(collect_list(if(share = {share}D, struct(i, v), null))), c -> c.v)"
@@ -157,12 +161,12 @@ def _starts(rows: DataFrame) -> DataFrame:
     # the quartiles of a normal law are 1.349 deviations apart
     spread = "zip_with(zip_with(c2, c0, (a, b) -> (a - b) / 1.349D), floors, (a, b) -> greatest(a, b))"
     scaled = f"array({', '.join(f'{f!r}D' for f in floors)})"
-    sides = rows.join(F.broadcast(quartiles) if quartiles.count() <= BROADCAST_ROWS else quartiles, "grp").selectExpr(
+    sides = rows.join(near(quartiles), "grp").selectExpr(
         "grp", f"zip_with(zip_with(q, c1, (a, b) -> a / {UNIT}D - b), {scaled}, (a, f) -> a / f) as u"
     )
     length = "sqrt(aggregate(u, 0D, (s, v) -> s + v * v))"
     signs = sides.selectExpr("grp", f"transform(u, v -> cast(round(v / greatest({length}, 1e-9D) * {UNIT}) as bigint)) as q", "4 as start")
-    by_sign = attach(stage(_moments(signs), "signs"), quartiles.select("grp", "c1"), ["grp"])
+    by_sign = _moments(signs).join(near(quartiles.select("grp", "c1")), "grp")
     kind = quartiles.schema["grp"].dataType.simpleString()
     shape = f"grp {kind}, start int, centre array<double>, inverse array<double>"
 
@@ -214,14 +218,12 @@ def _shapes(moments: DataFrame) -> DataFrame:
     return map_rows(moments, f"grp {kind}, start int, centre array<double>, inverse array<double>, logdet double", kernel)
 
 
-def _step(rows: DataFrame, shapes: DataFrame) -> DataFrame:
-    """One concentration step of every group and start: the half of the group nearest to the centre
-    gives the next centre and scatter."""
-    placed = rows.join(F.broadcast(shapes) if shapes.count() <= BROADCAST_ROWS else shapes, "grp")
-    measured = _measured(placed).select("grp", "start", "q", "d2")
-    halves = ranked(measured, ["grp", "start"], "d2", (HALF,)).withColumnRenamed("d2", "_most").drop("share")
-    nearest = attach(measured, halves, ["grp", "start"]).where("d2 <= _most")
-    return stage(_shapes(_moments(nearest)), "shapes")
+def _step(rows: DataFrame, shapes: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One concentration step of every group and start of `shapes`: the half of the group nearest to
+    the centre gives the next centre and scatter. One job over the rows."""
+    measured = _measured(rows.join(near(shapes), "grp")).select("grp", "start", "q", "d2")
+    halves = ranked(measured, ["grp", "start"], "d2", (HALF,), near).withColumnRenamed("d2", "_most").drop("share")
+    return _shapes(_moments(measured.join(near(halves), ["grp", "start"]).where("d2 <= _most")))
 
 
 def _measured(rows: DataFrame) -> DataFrame:
@@ -247,15 +249,20 @@ def fit(counted: DataFrame) -> DataFrame:
     """
     d = DIMENSIONS
     rows = stage(_vectors(counted), "vectors")
-    shapes = stage(_starts(rows), "starts")
+    # a row or so for each group, start and statistic is all that is joined with the rows
+    few = rows.select("grp").distinct().count() <= BROADCAST_ROWS // (3 * d)
+
+    def near(small: DataFrame) -> DataFrame:
+        return F.broadcast(small) if few else small
+
+    shapes = stage(_starts(rows, near), "starts")
     for _ in range(FIRST_STEPS):
-        shapes = _step(rows, shapes)
+        shapes = stage(_step(rows, shapes, near), "shapes")
     best = "min_by(struct(start, centre, inverse, logdet), struct(round(logdet, 9), start)) as _best"
     shapes = stage(shapes.groupBy("grp").agg(F.expr(best)).select("grp", "_best.*"), "best")
     done = []
     while not shapes.isEmpty():
-        after = _step(rows, shapes)
-        told = after.selectExpr("grp", "centre as _centre", "inverse as _inverse", "logdet as _logdet")
+        told = _step(rows, shapes, near).selectExpr("grp", "centre as _centre", "inverse as _inverse", "logdet as _logdet")
         both = stage(shapes.join(told, "grp"), "fallen")
         done.append(both.where("_logdet >= logdet - 1e-9D").select("grp", "start", "centre", "inverse", "logdet"))
         # only groups whose determinant has fallen go on
@@ -264,10 +271,10 @@ def fit(counted: DataFrame) -> DataFrame:
     shapes = stage(reduce(DataFrame.union, done), "shapes") if done else shapes
     # a half's scatter is too small: scale it so that the median distance is that of the normal law
     median = d * (1 - 2 / (9 * d)) ** 3
-    measured = _measured(attach(rows, shapes, ["grp"])).select("grp", "d2")
-    middle = ranked(measured, ["grp"], "d2", (0.5,))
+    measured = _measured(rows.join(near(shapes), "grp")).select("grp", "d2")
+    middle = ranked(measured, ["grp"], "d2", (0.5,), near)
     scale = middle.selectExpr("grp", f"greatest(d2 / {median!r}D, 1D) as scale")
-    return stage(attach(shapes.drop("start"), stage(scale, "scale"), ["grp"]), "shapes")
+    return stage(shapes.drop("start").join(scale, "grp"), "shapes")
 
 
 def judged(counted: DataFrame, shapes: DataFrame) -> DataFrame:
