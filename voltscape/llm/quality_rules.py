@@ -39,6 +39,8 @@ DIMENSIONS = len(STATISTICS)
 HALF = 0.5
 #: Concentration steps that every start takes before the best of a group goes on alone.
 FIRST_STEPS = 2
+#: A search ends with a step that takes no more than this from the logarithm of the determinant.
+SETTLED = 0.01
 #: Statistics are whole millionths, so that no sum depends on the order of its terms.
 UNIT = 1_000_000
 #: Squared Mahalanobis distance above which a document is rejected. It lies far out, as the statistics of
@@ -243,7 +245,7 @@ def fit(counted: DataFrame) -> DataFrame:
     From several starts, concentration steps seek the half of the group whose scatter has the least
     determinant: the half nearest to the present centre, by Mahalanobis distance, gives the next
     centre and scatter, whose determinant can't rise. After FIRST_STEPS the start with the least
-    determinant goes on alone, until no group's determinant falls any more. A step is a few
+    determinant goes on alone, until its fall has settled. A step is a few
     grouped aggregations over all rows, partly summed before the shuffle, so a hot group is spread
     over all tasks. Halves and sums are exact: neither partitions nor reruns change the result.
     """
@@ -264,9 +266,9 @@ def fit(counted: DataFrame) -> DataFrame:
     while not shapes.isEmpty():
         told = _step(rows, shapes, near).selectExpr("grp", "centre as _centre", "inverse as _inverse", "logdet as _logdet")
         both = stage(shapes.join(told, "grp"), "fallen")
-        done.append(both.where("_logdet >= logdet - 1e-9D").select("grp", "start", "centre", "inverse", "logdet"))
+        done.append(both.where(f"_logdet >= logdet - {SETTLED}D").select("grp", "start", "centre", "inverse", "logdet"))
         # only groups whose determinant has fallen go on
-        go_on = both.where("_logdet < logdet - 1e-9D")
+        go_on = both.where(f"_logdet < logdet - {SETTLED}D")
         shapes = go_on.selectExpr("grp", "start", "_centre as centre", "_inverse as inverse", "_logdet as logdet")
     shapes = stage(reduce(DataFrame.union, done), "shapes") if done else shapes
     # a half's scatter is too small: scale it so that the median distance is that of the normal law
