@@ -41,8 +41,13 @@ HALF = 0.5
 FIRST_STEPS = 2
 #: A search ends with a step that takes no more than this from the logarithm of the determinant.
 SETTLED = 0.01
+#: Places between the numbers of two groups: a group's starts, or its statistics, are numbered from there.
+#: One long number as a key keeps a broadcast table at its own size; any other key costs a page of memory.
+PLACES = 8
 #: Statistics are whole millionths, so that no sum depends on the order of its terms.
 UNIT = 1_000_000
+#: The group of a unit.
+_ID = f"unit - pmod(unit, {PLACES})"
 #: Squared Mahalanobis distance above which a document is rejected. It lies far out, as the statistics of
 #: clean texts have longer tails than the normal law.
 CUTOFF = 40.0
@@ -116,11 +121,11 @@ def _vectors(counted: DataFrame) -> DataFrame:
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    """Per group and start: rows, sums and sums of products, exact, partly summed before the shuffle."""
+    """Per unit (group and start): rows, sums and sums of products, exact, partly summed before the shuffle."""
     d = DIMENSIONS
     sums = ", ".join(f"sum(q[{i}])" for i in range(d))
     products = ", ".join(f"sum(cast(q[{i}] * q[{j}] as decimal(18,0)))" for i in range(d) for j in range(i, d))
-    return rows.groupBy("grp", "start").agg(
+    return rows.groupBy("unit").agg(
         F.count(F.lit(1)).alias("n"), F.expr(f"array({sums}) as s"), F.expr(f"array({products}) as p")
     )
 
@@ -131,7 +136,8 @@ def ranked(
     """(keys, share, value): for each share of a group's rows the smallest value that so many rows
     don't exceed, exactly. Values are counted in steps of a scale first; then equal values within the
     one step that holds the rank, so no task sees a group's rows. `near` is how a row per group
-    and share is joined: broadcast, if that many are known to be few."""
+    and share is joined: broadcast, if that many are known to be few. It is joined by the group alone,
+    and the step is compared afterwards, so that one long number can be the key."""
     step = f"cast(floor(asinh({value}) * 1024) as bigint)"
     listed = ", ".join(keys)
     counts = rows.groupBy(*keys, F.expr(f"{step} as _step")).agg(F.count(F.lit(1)).alias("_n"))
@@ -139,8 +145,8 @@ def ranked(
     cumulated = counts.selectExpr("*", f"{upto} as _upto", f"sum(_n) over (partition by {listed}) as _all")
     ranks = f"explode(array({', '.join(f'{share}D' for share in shares)})) as share"
     wanted = cumulated.selectExpr("*", ranks).selectExpr("*", "cast(ceil(_all * share) as bigint) - (_upto - _n) as _rank")
-    held = wanted.where("_rank between 1 and _n").select(*keys, "_step", "share", "_rank")
-    inside = rows.selectExpr(*keys, f"{value} as _v", f"{step} as _step").join(near(held), [*keys, "_step"])
+    held = wanted.where("_rank between 1 and _n").selectExpr(*keys, "_step as _at", "share", "_rank")
+    inside = rows.selectExpr(*keys, f"{value} as _v", f"{step} as _step").join(near(held), keys).where("_step between _at and _at")
     equal = inside.groupBy(*keys, "share", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
     order = f"sum(_n) over (partition by {listed}, share order by _v rows unbounded preceding)"
     found = equal.selectExpr("*", f"{order} as _upto").where("_upto >= _rank and _upto - _n < _rank")
@@ -148,29 +154,28 @@ def ranked(
 
 
 def _starts(rows: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """grp, start, centre, inverse: where the search starts. The medians, the lower and the upper
+    """unit, centre, inverse: where the search starts. The medians, the lower and the upper
     quartiles, each with the least scales; the medians with scales from the quartiles; and the
     medians with the scatter of the directions from there."""
     d = DIMENSIONS
     floors = list(STATISTICS.values())
-    each = rows.selectExpr("grp", f"posexplode(q) as (i, v)").selectExpr("grp", "i", f"v / {UNIT}D as v")
-    marks = ranked(each, ["grp", "i"], "v", (0.25, 0.5, 0.75), near)
+    each = rows.selectExpr("id", "posexplode(q) as (i, v)").selectExpr("id + i as unit", f"v / {UNIT}D as v")
+    marks = ranked(each, ["unit"], "v", (0.25, 0.5, 0.75), near).selectExpr(f"{_ID} as id", f"pmod(unit, {PLACES}) as i", "share", "v")
 
     def of(share: float) -> str:
         return f"transform(array_sort(collect_list(if(share = {share}D, struct(i, v), null))), c -> c.v)"
 
-    quartiles = stage(marks.groupBy("grp").agg(*(F.expr(f"{of(s)} as c{i}") for i, s in enumerate((0.25, 0.5, 0.75)))), "quartiles")
+    quartiles = stage(marks.groupBy("id").agg(*(F.expr(f"{of(s)} as c{i}") for i, s in enumerate((0.25, 0.5, 0.75)))), "quartiles")
     # the quartiles of a normal law are 1.349 deviations apart
     spread = "zip_with(zip_with(c2, c0, (a, b) -> (a - b) / 1.349D), floors, (a, b) -> greatest(a, b))"
     scaled = f"array({', '.join(f'{f!r}D' for f in floors)})"
-    sides = rows.join(near(quartiles), "grp").selectExpr(
-        "grp", f"zip_with(zip_with(q, c1, (a, b) -> a / {UNIT}D - b), {scaled}, (a, f) -> a / f) as u"
+    sides = rows.join(near(quartiles), "id").selectExpr(
+        "id", f"zip_with(zip_with(q, c1, (a, b) -> a / {UNIT}D - b), {scaled}, (a, f) -> a / f) as u"
     )
     length = "sqrt(aggregate(u, 0D, (s, v) -> s + v * v))"
-    signs = sides.selectExpr("grp", f"transform(u, v -> cast(round(v / greatest({length}, 1e-9D) * {UNIT}) as bigint)) as q", "4 as start")
-    by_sign = _moments(signs).join(near(quartiles.select("grp", "c1")), "grp")
-    kind = quartiles.schema["grp"].dataType.simpleString()
-    shape = f"grp {kind}, start int, centre array<double>, inverse array<double>"
+    signs = sides.selectExpr("id + 4 as unit", f"transform(u, v -> cast(round(v / greatest({length}, 1e-9D) * {UNIT}) as bigint)) as q")
+    by_sign = _moments(signs).join(near(quartiles.selectExpr("id + 4 as unit", "c1")), "unit")
+    shape = "unit long, centre array<double>, inverse array<double>"
 
     def turned(batch: dict[str, list]) -> dict[str, list]:
         inverses = []
@@ -181,15 +186,15 @@ def _starts(rows: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFram
             # directions have unit scales: back to the statistics' own
             own = scatter * d * np.outer(floors, floors) + np.diag(np.square(floors))
             inverses.append(np.linalg.inv(own).ravel().tolist())
-        return {"grp": batch["grp"], "start": batch["start"], "centre": batch["c1"], "inverse": inverses}
+        return {"unit": batch["unit"], "centre": batch["c1"], "inverse": inverses}
 
     diagonal = f"flatten(transform(sequence(0, {d - 1}), i -> transform(sequence(0, {d - 1}), j -> if(i = j, 1 / pow(w[i], 2), 0D))))"
-    plain = quartiles.selectExpr("grp", "c0", "c1", "c2", f"{scaled} as floors").selectExpr(
-        "grp", "inline(array(" + ", ".join(
+    plain = quartiles.selectExpr("id", "c0", "c1", "c2", f"{scaled} as floors").selectExpr(
+        "id", "inline(array(" + ", ".join(
             f"struct({i} as start, {centre} as centre, {scales} as w)"
             for i, (centre, scales) in enumerate([("c1", "floors"), ("c0", "floors"), ("c2", "floors"), ("c1", spread)])
         ) + "))"
-    ).selectExpr("grp", "start", "centre", f"{diagonal} as inverse")
+    ).selectExpr("id + start as unit", "centre", f"{diagonal} as inverse")
     return plain.unionByName(map_rows(by_sign, shape, turned))
 
 
@@ -209,23 +214,21 @@ def _estimate(n: list[int], sums: list[list[float]], products: list[list[float]]
 
 
 def _shapes(moments: DataFrame) -> DataFrame:
-    kind = moments.schema["grp"].dataType.simpleString()
-
     def kernel(batch: dict[str, list]) -> dict[str, list]:
         if not batch["n"]:
-            return {"grp": [], "start": [], "centre": [], "inverse": [], "logdet": []}
+            return {"unit": [], "centre": [], "inverse": [], "logdet": []}
         centre, inverse, logdet = _estimate(batch["n"], batch["s"], batch["p"])
-        return {"grp": batch["grp"], "start": batch["start"], "centre": centre, "inverse": inverse, "logdet": logdet}
+        return {"unit": batch["unit"], "centre": centre, "inverse": inverse, "logdet": logdet}
 
-    return map_rows(moments, f"grp {kind}, start int, centre array<double>, inverse array<double>, logdet double", kernel)
+    return map_rows(moments, "unit long, centre array<double>, inverse array<double>, logdet double", kernel)
 
 
 def _step(rows: DataFrame, shapes: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """One concentration step of every group and start of `shapes`: the half of the group nearest to
     the centre gives the next centre and scatter. One job over the rows."""
-    measured = _measured(rows.join(near(shapes), "grp")).select("grp", "start", "q", "d2")
-    halves = ranked(measured, ["grp", "start"], "d2", (HALF,), near).withColumnRenamed("d2", "_most").drop("share")
-    return _shapes(_moments(measured.join(near(halves), ["grp", "start"]).where("d2 <= _most")))
+    measured = _measured(rows.join(near(shapes.selectExpr("*", f"{_ID} as id")), "id")).select("unit", "q", "d2")
+    halves = ranked(measured, ["unit"], "d2", (HALF,), near).withColumnRenamed("d2", "_most").drop("share")
+    return _shapes(_moments(measured.join(near(halves), "unit").where("d2 <= _most")))
 
 
 def _measured(rows: DataFrame) -> DataFrame:
@@ -250,33 +253,38 @@ def fit(counted: DataFrame) -> DataFrame:
     over all tasks. Halves and sums are exact: neither partitions nor reruns change the result.
     """
     d = DIMENSIONS
-    rows = stage(_vectors(counted), "vectors")
+    vectors = _vectors(counted)
+    groups = stage(
+        vectors.select("grp").distinct().select("grp", (F.monotonically_increasing_id() * PLACES).alias("id")), "groups"
+    )
     # a row or so for each group, start and statistic is all that is joined with the rows
-    few = rows.select("grp").distinct().count() <= BROADCAST_ROWS // (3 * d)
+    few = groups.count() <= BROADCAST_ROWS // (3 * d)
 
     def near(small: DataFrame) -> DataFrame:
         return F.broadcast(small) if few else small
 
+    rows = stage(vectors.join(near(groups), "grp").select("id", "q"), "vectors")
     shapes = stage(_starts(rows, near), "starts")
     for _ in range(FIRST_STEPS):
         shapes = stage(_step(rows, shapes, near), "shapes")
-    best = "min_by(struct(start, centre, inverse, logdet), struct(round(logdet, 9), start)) as _best"
-    shapes = stage(shapes.groupBy("grp").agg(F.expr(best)).select("grp", "_best.*"), "best")
+    best = "min_by(struct(unit, centre, inverse, logdet), struct(round(logdet, 9), unit)) as _best"
+    shapes = stage(shapes.groupBy(F.expr(_ID)).agg(F.expr(best)).select("_best.*"), "best")
     done = []
     while not shapes.isEmpty():
-        told = _step(rows, shapes, near).selectExpr("grp", "centre as _centre", "inverse as _inverse", "logdet as _logdet")
-        both = stage(shapes.join(told, "grp"), "fallen")
-        done.append(both.where(f"_logdet >= logdet - {SETTLED}D").select("grp", "start", "centre", "inverse", "logdet"))
+        told = _step(rows, shapes, near).selectExpr("unit", "centre as _centre", "inverse as _inverse", "logdet as _logdet")
+        both = stage(shapes.join(told, "unit"), "fallen")
+        done.append(both.where(f"_logdet >= logdet - {SETTLED}D").select("unit", "centre", "inverse", "logdet"))
         # only groups whose determinant has fallen go on
         go_on = both.where(f"_logdet < logdet - {SETTLED}D")
-        shapes = go_on.selectExpr("grp", "start", "_centre as centre", "_inverse as inverse", "_logdet as logdet")
+        shapes = go_on.selectExpr("unit", "_centre as centre", "_inverse as inverse", "_logdet as logdet")
     shapes = stage(reduce(DataFrame.union, done), "shapes") if done else shapes
     # a half's scatter is too small: scale it so that the median distance is that of the normal law
     median = d * (1 - 2 / (9 * d)) ** 3
-    measured = _measured(rows.join(near(shapes), "grp")).select("grp", "d2")
-    middle = ranked(measured, ["grp"], "d2", (0.5,), near)
-    scale = middle.selectExpr("grp", f"greatest(d2 / {median!r}D, 1D) as scale")
-    return stage(shapes.drop("start").join(scale, "grp"), "shapes")
+    shapes = shapes.selectExpr(f"{_ID} as id", "centre", "inverse", "logdet")
+    measured = _measured(rows.join(near(shapes), "id")).select("id", "d2")
+    middle = ranked(measured, ["id"], "d2", (0.5,), near)
+    scale = middle.selectExpr("id", f"greatest(d2 / {median!r}D, 1D) as scale")
+    return stage(groups.join(shapes, "id").join(scale, "id").drop("id"), "shapes")
 
 
 def judged(counted: DataFrame, shapes: DataFrame) -> DataFrame:
