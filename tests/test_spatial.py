@@ -191,6 +191,25 @@ def test_spread_join_splits_hot_keys_without_loss(spark):
         assert spread.columns == ["k", "l", "r"]
 
 
+def test_spread_join_broadcasts_no_side_by_its_estimate(spark):
+    left = spark.range(100).selectExpr("id as k", "id as l")
+    # 80 bytes by estimate, however many rows they become
+    right = spark.range(10).selectExpr("id as k", "explode(sequence(0, 1000)) as r")
+    spread = joins.spread_join(left, right, ["k"])
+    assert "SortMergeJoin [k" in spread._jdf.queryExecution().executedPlan().toString()
+    assert spread.count() == 10_010
+
+
+def test_dealt_rows_follow_their_weight(spark):
+    rows = spark.createDataFrame([(i, i % 7 if i % 5 else None) for i in range(100)], "k long, w int").coalesce(1)
+    for weight, parts in (("1", 10), ("w", 24), ("0", 1)):
+        spread = joins.dealt(rows, weight, per_task=10)
+        assert spread.rdd.getNumPartitions() == parts
+        assert sorted(r.k for r in spread.collect()) == list(range(100))
+    none = rows.where("k < 0")
+    assert joins.dealt(none, "w", per_task=10).count() == 0
+
+
 def test_lookup_pairs_equals_join(spark):
     left = spark.range(300).selectExpr("if(id < 200, 0, id) as k", "id as l")
     right = spark.range(300).selectExpr("id as k", "id * 2 as r")
