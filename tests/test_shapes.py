@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voltscape.functions import geo
 from voltscape.operators import shapes
+from voltscape.sources import derived
 
 RADIUS = geo.EARTH_RADIUS_M
 
@@ -178,3 +179,23 @@ def test_no_cross_join_and_few_edges_per_place(spark):
     areas = frame(spark, {1: ("POLYGON", [[ring]])})
     plan = shapes.inside(places_of(spark, [(0.1, 0.1)]), areas, "key")._jdf.queryExecution().executedPlan().toString()
     assert "Nested" not in plan and "Cartesian" not in plan
+
+
+def test_texts_are_made_and_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    spark.range(1, 61).selectExpr("nullif(id, 7) as s_suppkey").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    parts = "nullif(id, 7) as p_partkey", "'LARGE' as p_type", "1 as p_size", "'part' as p_name"
+    spark.range(1, 61).selectExpr(*parts).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+
+    def inputs():
+        return derived.Inputs(spark, str(tmp_path))
+
+    def rows(df):
+        return sorted(map(repr, df.collect()))
+
+    before = rows(inputs().trails), rows(inputs().shapes)
+    monkeypatch.setattr(derived, "VERTICES_PER_TASK", 1_000)
+    monkeypatch.setattr(derived, "TEXTS_PER_TASK", 10)
+    after = inputs()
+    # 59 trails of 6,050 vertices, 60 points of interest
+    assert after.trails.rdd.getNumPartitions() == 7 and after.shapes.rdd.getNumPartitions() == 6
+    assert (rows(after.trails), rows(after.shapes)) == before
