@@ -185,7 +185,7 @@ def kept_terms(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
 
     def rows_of(counts: dict) -> Iterator[dict]:
         for (lang,), own in counts.items():
-            yield {"lang": [lang] * len(own), "term": list(own), "n": list(own.values())}
+            yield {"lang": pa.repeat(lang, len(own)), "term": list(own), "n": np.fromiter(own.values(), np.int64, len(own))}
 
     found = _counted(docs, ["lang"], "lang string, term binary, n long", count, rows_of)
     return found.groupBy("lang", "term").agg(F.sum("n").alias("n")).where(f"n >= {least}").select("lang", "term")
@@ -297,9 +297,10 @@ def recounted(docs: DataFrame, vocab: list[DataFrame]) -> DataFrame:
                 place = dict(zip(listed, shared.value.ordinals(lang, listed).tolist()))
                 for (name, source), own in counts.items():
                     if name == lang:
-                        rows = [(at, n) for term, n in own.items() if (at := place[term]) >= 0]
-                        ordinals, n = zip(*rows) if rows else ((), ())
-                        yield {"lang": [lang] * len(rows), "source": [source] * len(rows), "ordinal": ordinals, "n": n}
+                        ordinals = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
+                        kept = ordinals >= 0
+                        n = np.fromiter(own.values(), np.int64, len(own))[kept]
+                        yield {"lang": pa.repeat(lang, len(n)), "source": pa.repeat(source, len(n)), "ordinal": ordinals[kept], "n": n}
 
         found = _counted(docs, ["lang", "source"], "lang string, source string, ordinal long, n long", count, rows_of)
         out = found if out is None else out.union(found)
