@@ -58,6 +58,16 @@ def test_geojson(sql):
         assert sql("st_geogfromgeojson(:d)", d=bad) is None
 
 
+def test_edges_of_geojson_are_straight_in_degrees(sql):
+    # the great circle from (0, 60) to (40, 60) rises to 61.5 degrees
+    ring = [[0, 60], [0, 50], [40, 50], [40, 60], [0, 60]]
+    document = json.dumps({"type": "Polygon", "coordinates": [ring]})
+    text = "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in ring) + "))"
+    for lat, straight, circle in ((59.9999, True, True), (60.0001, False, True), (61.0, False, True), (62.0, False, False)):
+        assert sql("st_within(st_geogpoint(20D, :y), st_geogfromgeojson(:d))", y=lat, d=document) == straight
+        assert sql("st_within(st_geogpoint(20D, :y), st_geogfromtext(:t))", y=lat, t=text) == circle
+
+
 def test_nulls_and_what_is_not_measured(sql):
     assert sql("st_distance(st_geogpoint(1D, null), st_geogpoint(1D, 2D))") is None
     assert sql("st_within(st_geogfromtext('x'), st_geogpoint(1D, 2D))") is None

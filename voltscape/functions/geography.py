@@ -23,6 +23,23 @@ def _edges(lists: str) -> str:
     return f"flatten(transform({lists}, v -> {pairs}))"
 
 
+#: Edges of GeoJSON are straight in degrees: pieces this long stay within two metres of that.
+STRAIGHT_DEGREES = 0.1
+
+
+def _straight(shape: str) -> str:
+    """The geometry with its edges cut into pieces, so that great circles between the vertices follow
+    the straight lines in degrees. An edge of over half a turn stays as it is."""
+    west, north = "(get(v, i + 1).lon - v[i].lon)", "(get(v, i + 1).lat - v[i].lat)"
+    many = f"if(abs({west}) > 180, 1, cast(greatest(ceil(greatest(abs({west}), abs({north})) / {STRAIGHT_DEGREES}D), 1) as int))"
+    vertex = f"named_struct('lon', v[i].lon + {west} * k / n, 'lat', v[i].lat + {north} * k / n)"
+    pieces = wkt.let("n", many, f"transform(sequence(0, n - 1), k -> {vertex})")
+    cut = f"flatten(transform(sequence(0, size(v) - 1), i -> if(i = size(v) - 1, array(v[i]), {pieces})))"
+    lists = f"transform(g.parts, p -> transform(p, v -> if(size(v) > 1, {cut}, v)))"
+    made = f"if(g is null, null, named_struct('kind', g.kind, 'parts', {lists}))"
+    return f"cast({wkt.let('g', shape, made)} as {wkt.TYPE})"
+
+
 _SPOT = wkt.let("o", "at.parts[0][0][0]", _place("o.lon", "o.lat"))
 
 
@@ -60,7 +77,7 @@ def _functions() -> dict[str, str]:
             "named_struct('kind', 'POINT', 'parts', array(array(array(named_struct('lon', lon, 'lat', lat))))))"
         ),
         "st_geogfromtext(text string)": f"returns {wkt.TYPE} return {wkt.geometry_sql('text')}",
-        "st_geogfromgeojson(text string)": f"returns {wkt.TYPE} return {wkt.geojson_sql('text')}",
+        "st_geogfromgeojson(text string)": f"returns {wkt.TYPE} return {_straight(wkt.geojson_sql('text'))}",
         f"st_point_within(at {wkt.TYPE}, shape {wkt.TYPE})": f"returns boolean return {_inside()}",
         f"st_point_distance(at {wkt.TYPE}, shape {wkt.TYPE})": (
             f"returns double return if(st_point_within(at, shape), 0D, {geo.arc_m(least)})"
@@ -81,7 +98,7 @@ def _functions() -> dict[str, str]:
 def register(spark: SparkSession) -> None:
     """Make the functions known to the session's SQL text.
 
-    Geometries are structs (see `wkt`); distances are metres on the sphere, from a point to a
+    Geometries are structs (see `wkt`); edges are great circles, those of GeoJSON straight in degrees. Distances are metres on the sphere, from a point to a
     point, a line or an area, 0 inside it. What does not depend on a row, such as a boundary given
     as a parameter, is worked out once. NULL or empty geometries give NULL. For joins of two large
     tables use `points_within`, `shapes_within` or `inside`, which look partners up by cell: a
