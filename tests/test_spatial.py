@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -231,3 +233,76 @@ def test_repeated_rows_give_the_same_pairs_on_both_paths(spark, monkeypatch):
         roads = spatial.lines_within(sites, lines).selectExpr("site_lon", "road_id", "round(distance_m, 3) as d").collect()
         found[few] = sorted(map(tuple, pairs)), sorted(map(tuple, roads))
     assert found[True] == found[False] and len(found[True][0]) == 8
+
+
+def _around(spark, monkeypatch, few, limits, frame, *rest):
+    monkeypatch.setattr(spatial, "is_small", lambda df, n=0: few)
+    monkeypatch.setattr(spatial, "spread_sides", partial(joins.spread_sides, **limits))
+    rows = (road_proximity if len(rest) == 1 else poi_proximity)(frame, *rest).collect()
+    return sorted((tuple(r)[:5] + (round(r[5] or 0, 6), r[6]) for r in [(*r[:3], str(r[3]), r[4], r[5], r[6]) for r in rows]), key=str)
+
+
+def test_proximity_is_the_same_whole_and_in_parts(spark, monkeypatch):
+    rng = random.Random(11)
+    centres = [(10.0, 60.0), (179.999, -17.0)]
+    places = [(i, *p) for i, p in enumerate(cloud(12, centres, 60, 0.01))]
+    stations = spark.createDataFrame([*places, (100, *places[0][1:]), (101, None, 60.0), (102, None, None), (103, 50.0, 10.0)], "id bigint, lon double, lat double")
+    roads = []
+    for i, (lon, lat) in enumerate(cloud(13, centres, 200, 0.01)):
+        # ids repeat or are missing, lines have several segments near one place, some no vertex
+        line = [(lon + k * 0.001, lat + (k % 2) * 0.001) for k in range(i % 5)]
+        roads.append((None if i % 17 == 0 else i // 2, rng.choice(["a", "b", None]), rng.choice(["n", "m", None]), [*line, (None, lat)] if i % 13 == 0 else line))
+    lines = spark.createDataFrame(roads, "id bigint, class string, name string, coordinates array<struct<lon:double,lat:double>>")
+    points = [(None if i % 17 == 0 else i // 2, rng.choice(["x", "y", "z"]), rng.choice(["n", "m", None]), *p) for i, p in enumerate(cloud(14, centres, 300, 0.01))]
+    pois = spark.createDataFrame([*points, (900, "x", "n", None, 60.0), (901, "x", "n", 10.0, None)], "id bigint, fclass string, name string, lon double, lat double")
+    categories = spark.createDataFrame([("X", ["x", "y"]), ("Y", ["y"])], "superclass string, subclass array<string>")
+    for rest in ((lines,), (pois, categories)):
+        whole = _around(spark, monkeypatch, True, {}, stations, *rest)
+        assert len(whole) > 100 and any(r[6] and len(r[6]) > 1 for r in whole)
+        for limits in ({}, {"rows_per_task": 3, "pairs_per_task": 20}):
+            assert _around(spark, monkeypatch, False, limits, stations, *rest) == whole
+
+
+def test_pairs_are_not_moved_to_be_counted(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "is_small", lambda df, n=0: False)
+    stations = spark.createDataFrame(STATIONS, "id bigint, lon double, lat double")
+    roads = spark.createDataFrame([(1, "a", "n", [(10.0, 60.0), (10.01, 60.0)])], "id bigint, class string, name string, coordinates array<struct<lon:double,lat:double>>")
+    plan = road_proximity(stations, roads, names=False)._jdf.queryExecution().executedPlan().toString()
+    moved = re.findall(r"Exchange hashpartitioning\((.*)", plan)
+    assert moved and not any("road_id" in keys for keys in moved)
+    # rows meet by part only, and are moved before they are repeated for cells or measured
+    assert "ShuffledHashJoin [_part" in plan and not any("_chord2" in keys or "band" in keys for keys in moved)
+
+
+def test_few_keys_drop_other_rows_and_parts_add_up(spark):
+    left = spark.range(300).selectExpr("if(id < 200, 0, id) as k", "id as l")
+    right = spark.range(600).selectExpr("if(id < 240, 0, id - 100) as k", "id div 3 as r")
+    wanted = {r.l: r.n for r in left.join(right, "k").groupBy("l").agg(F.count_distinct("r").alias("n")).collect()}
+    for limits in ({}, {"rows_per_task": 50, "pairs_per_task": 100}):
+        for most in (500, 1):
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(joins, "BROADCAST_ROWS", most)
+                here, there = joins.spread_sides(left, right, ["k"], ["r"], **limits)
+            met = here.join(there, joins.PART)
+            parts = met.groupBy(joins.PART, "l").agg(F.count_distinct("r").alias("n"))
+            found = {r.l: r.n for r in parts.groupBy("l").agg(F.sum("n").alias("n")).collect()}
+            assert found == wanted
+            if most == 500:
+                assert there.select("r").distinct().count() == 114
+            assert limits or met.groupBy(joins.PART).count().count() == 101
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_lines_over_the_pole(spark, monkeypatch, few):
+    monkeypatch.setattr(spatial, "is_small", lambda df, n=0: few)
+    rng = random.Random(15)
+    # up to some 10 km from the pole, lines of up to 20 km that pass beside or over it
+    places = [(rng.uniform(-180, 180), 90 - abs(rng.gauss(0, 0.03))) for _ in range(80)] + [(0.0, 90.0), (12.0, 89.9999)]
+    lines = [[(rng.uniform(-180, 180), 90 - rng.uniform(0.001, 0.09)) for _ in range(2)] for _ in range(30)]
+    lines += [[(10.0, 89.93), (-170.0, 89.93)], [(0.0, 89.95), (179.0, 89.95)], [(30.0, 89.9955), (-150.0, 89.9955)]]
+    sites = spark.createDataFrame(places, "lon double, lat double")
+    frame = spark.createDataFrame(list(enumerate(lines)), "road_id bigint, coordinates array<struct<lon:double,lat:double>>")
+    found = {(r.site_lon, r.site_lat, r.road_id) for r in spatial.lines_within(sites, frame, 500.0).collect()}
+    near = {(*a, i): segment_brute(*a, *line, steps=600) for a in places for i, line in enumerate(lines)}
+    assert {k for k, d in near.items() if d <= 499} <= found <= {k for k, d in near.items() if d <= 501}
+    assert len(found) > 100
