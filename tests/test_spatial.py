@@ -302,7 +302,8 @@ def test_lines_over_the_pole(spark, monkeypatch, few):
     lines += [[(10.0, 89.93), (-170.0, 89.93)], [(0.0, 89.95), (179.0, 89.95)], [(30.0, 89.9955), (-150.0, 89.9955)]]
     sites = spark.createDataFrame(places, "lon double, lat double")
     frame = spark.createDataFrame(list(enumerate(lines)), "road_id bigint, coordinates array<struct<lon:double,lat:double>>")
-    found = {(r.site_lon, r.site_lat, r.road_id) for r in spatial.lines_within(sites, frame, 500.0).collect()}
+    pairs = spatial.lines_within(sites, frame, 500.0, together="road_id")
+    found = {(r.site_lon, r.site_lat, r.road_id) for r in pairs.collect()}
     near = {(*a, i): segment_brute(*a, *line, steps=600) for a in places for i, line in enumerate(lines)}
     assert {k for k, d in near.items() if d <= 499} <= found <= {k for k, d in near.items() if d <= 501}
     assert len(found) > 100
